@@ -46,3 +46,20 @@ def adjacent_pairs(tokens: Column, sep: str = " ") -> Column:
 
 def empty_if_null(c: Column) -> Column:
     return F.coalesce(c, F.array().cast("array<string>"))
+
+
+def explode_rows(df: DataFrame, keep: list, arr, names: list, with_pos: bool = False) -> DataFrame:
+    """One row per array element, rows with empty/NULL arrays dropped.
+
+    Uses the *_outer generators and filters above them: a plain explode makes
+    Catalyst infer ``size(arr) > 0`` and push it below the projection, which
+    re-evaluates the whole array expression (and inlines it into lambdas).
+    """
+    if with_pos:
+        out = df.select(*keep, F.posexplode_outer(arr).alias(*names))
+        return out.filter(F.col(names[0]).isNotNull())
+    if len(names) == 1:
+        out = df.select(*keep, F.explode_outer(arr).alias(names[0]))
+        return out.filter(F.col(names[0]).isNotNull())
+    out = df.select(*keep, F.inline_outer(arr))
+    return out.filter(F.col(names[0]).isNotNull())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from topiary.functions import text as T
+from topiary.functions.arrays import explode_rows
 from topiary.plans import sql as S
 from topiary.plans.catalog import register
 from topiary.sources import web
@@ -116,10 +117,9 @@ SELECT page_id, link, right(link, 4) AS year, domain || link AS abs_url,
 FROM links""")
 def q_link_metadata(spark, sf):
     pages = read_table(spark, sf, "pages")
-    links = pages.select(
-        "page_id", web.site_domain("url").alias("domain"),
-        web.first_pdf_link("html").alias("pdf_link"),
-        F.explode(F.regexp_extract_all("html", F.lit(web.link_pattern("/")), 1)).alias("link"))
+    links = explode_rows(
+        pages, ["page_id", web.site_domain("url").alias("domain"), web.first_pdf_link("html").alias("pdf_link")],
+        F.regexp_extract_all("html", F.lit(web.link_pattern("/")), 1), ["link"])
     out = web.link_metadata(links)
     return out.select("page_id", "link", "year", "abs_url", "name", "pdf_link")
 

@@ -1 +1,81 @@
-"""placeholder"""
+"""Queries for T1-T8. Token arrays are reported as (count, md5 of the
+'|'-joined list), which pins order and multiplicity exactly."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from topiary.functions.text import clean_fulltext
+from topiary.operators import tokens as TK
+from topiary.plans import sql as S
+from topiary.plans.catalog import register
+from topiary.sources.corpus import decorated_publications, publications_raw, read_table
+
+
+def _digest(col, name="tokens"):
+    return [F.size(col).alias(f"n_{name}"), F.md5(F.array_join(col, "|")).alias(f"{name}_md5")]
+
+
+def _sql_digest(expr, name="tokens"):
+    return f"len({expr}) AS n_{name}, {S.md5_list(expr)} AS {name}_md5"
+
+
+def _pubs(spark, sf):
+    return publications_raw(read_table(spark, sf, "documents"))
+
+
+_P = f"WITH {S.PUBS}"
+
+
+@register("tokenize", f"{_P} SELECT doc_id, {_sql_digest(S.tokenize('content'))} FROM pubs")
+def q_tokenize(spark, sf):
+    return _pubs(spark, sf).select("doc_id", *_digest(TK.tokenize("content")))
+
+
+@register("remove_stopwords",
+          f"{_P} SELECT doc_id, {_sql_digest(S.remove_stopwords(S.tokenize('content')))} FROM pubs")
+def q_remove_stopwords(spark, sf):
+    return _pubs(spark, sf).select("doc_id", *_digest(TK.remove_stopwords(TK.tokenize("content"))))
+
+
+@register("lemmatize", f"{_P} SELECT doc_id, {_sql_digest(S.unigrams('content'))} FROM pubs")
+def q_lemmatize(spark, sf):
+    return _pubs(spark, sf).select("doc_id", *_digest(TK.unigrams("content")))
+
+
+@register("bigrams", f"""{_P}, uni AS (SELECT doc_id, {S.unigrams('content')} AS u FROM pubs)
+SELECT doc_id, {_sql_digest(S.bigrams('u'), 'bigrams')} FROM uni""")
+def q_bigrams(spark, sf):
+    d = _pubs(spark, sf).withColumn("u", TK.unigrams("content"))
+    return d.select("doc_id", *_digest(TK.bigrams("u"), "bigrams"))
+
+
+@register("frequent_bigrams", f"""{_P}, uni AS (SELECT doc_id, {S.unigrams('content')} AS u FROM pubs),
+bgs AS (SELECT doc_id, {S.bigrams('u')} AS b FROM uni),
+{S.frequent_bigrams_cte('bgs', 'b', 'fbg', 5)}
+SELECT doc_id, {_sql_digest('fb', 'bigrams')} FROM fbg""")
+def q_frequent_bigrams(spark, sf):
+    d = _pubs(spark, sf).withColumn("u", TK.unigrams("content")).withColumn("b", TK.bigrams("u"))
+    d = TK.with_frequent_bigrams(d, "b", "fb", 5)
+    return d.select("doc_id", *_digest(F.col("fb"), "bigrams"))
+
+
+@register("entities", f"""{_P}, ent AS (SELECT doc_id, {S.entities('content')} AS e FROM pubs)
+SELECT doc_id, {_sql_digest('e', 'entities')} FROM ent""")
+def q_entities(spark, sf):
+    return _pubs(spark, sf).select("doc_id", *_digest(TK.entities("content"), "entities"))
+
+
+@register("assemble_tokens", f"""{_P}, {S.tokens_ctes('pubs')}
+SELECT doc_id, {_sql_digest('tokens')} FROM toks""")
+def q_assemble_tokens(spark, sf):
+    d = TK.general_preprocess(_pubs(spark, sf), "content")
+    return d.select("doc_id", *_digest(F.col("tokens")))
+
+
+@register("general_preprocess", f"""WITH {S.PUBS}, {S.DECORATED}, {S.CLEANED}, {S.tokens_ctes('cleaned')}
+SELECT doc_id, {_sql_digest('tokens')} FROM toks""")
+def q_general_preprocess(spark, sf):
+    d = decorated_publications(read_table(spark, sf, "documents"))
+    d = TK.general_preprocess(d.withColumn("content", clean_fulltext("content")), "content")
+    return d.select("doc_id", *_digest(F.col("tokens")))

@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from topiary.functions.arrays import explode_rows
+
 # The crawl's link patterns, as written in the reference.
 BOOK_LINK = r'<a href="(/book.*?)">'
 PAPER_LINK = r'<a href="(/paper.*?)">'
@@ -27,7 +29,7 @@ def harvest_links(pages: DataFrame, prefix: str = "/", html_col: str = "html",
                   key: str = "page_id") -> DataFrame:
     """Every link matching the pattern, with its position on the page."""
     links = F.regexp_extract_all(F.col(html_col), F.lit(link_pattern(prefix)), 1)
-    return pages.select(F.col(key), F.posexplode(links).alias("pos", "link"))
+    return explode_rows(pages, [F.col(key)], links, ["pos", "link"], with_pos=True)
 
 
 def first_pdf_link(html) -> Column:
