@@ -1 +1,164 @@
-"""placeholder"""
+"""Queries for E1-E8 (c_v coherence and topic tables) on the stand-in model.
+
+Texts are the T1+T2 tokens of documents.text; the model is the hash
+stand-in (FIXTURES.md), one model (K=10) for E1-E3/E7/E8 and a grid of
+stand-in models (K 2..20 x seeds 42/99, the seed salting the hash) for
+E4-E6. The stand-in has no passes/iterations, so grid points that differ
+only there share one assignment and one score.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from topiary.operators import coherence as CO
+from topiary.operators import incremental as INC
+from topiary.operators import tables as TB
+from topiary.operators import topics as TP
+from topiary.plans import sql as S
+from topiary.plans.catalog import register
+from topiary.plans.q_views import K, standin_texts
+
+W = CO.WINDOW
+
+
+def terms_sql(top_n: int, k: int = K, salt: str | None = None, name: str = "top") -> str:
+    """CTEs words/wt/tot/ranked/<name>(topic_id, rank, word, p) of a stand-in model."""
+    salt_sql = None if salt is None else S.lit(salt)
+    return f"""words AS (SELECT w AS word, count(*) AS cf FROM (SELECT unnest(tokens) AS w FROM texts) GROUP BY w),
+wt AS (SELECT word, cf, CAST({S.word_topic('word', k, salt_sql)} AS INTEGER) AS topic_id FROM words),
+tot AS (SELECT topic_id, sum(cf) AS tot FROM wt GROUP BY topic_id),
+ranked AS (
+  SELECT topic_id, word, cf / tot AS p,
+         row_number() OVER (PARTITION BY topic_id ORDER BY cf / tot DESC, word) AS rank
+  FROM wt JOIN tot USING (topic_id)),
+{name} AS (SELECT topic_id, rank, word, p FROM ranked WHERE rank <= {top_n})"""
+
+
+CV_SQL = f"""WITH {S.TEXTS}, {terms_sql(CO.TOP_N)},
+tk AS (SELECT doc_id, len(tokens) AS n, unnest(tokens) AS w, generate_subscripts(tokens, 1) - 1 AS pos FROM texts),
+hits AS (SELECT doc_id, n, w, pos FROM tk WHERE w IN (SELECT word FROM top)),
+starts AS (
+  SELECT DISTINCT doc_id, w, s FROM (
+    SELECT doc_id, w, unnest(range(greatest(pos - {W - 1}, 0), least(pos, greatest(n - {W}, 0)) + 1)) AS s FROM hits)),
+occ AS (SELECT w AS word, count(*) AS occ FROM starts GROUP BY w),
+nwin AS (SELECT sum(greatest(n - {W} + 1, 1)) AS num_windows FROM (SELECT DISTINCT doc_id, n FROM hits)),
+st AS (SELECT s.doc_id, s.s, s.w, t.topic_id FROM starts s JOIN top t ON t.word = s.w),
+co AS (
+  SELECT a.topic_id, a.w AS w1, b.w AS w2, count(*) AS co
+  FROM st a JOIN st b ON a.doc_id = b.doc_id AND a.s = b.s AND a.topic_id = b.topic_id AND a.w < b.w
+  GROUP BY ALL),
+grid AS (SELECT a.topic_id, a.word AS wi, b.word AS wj FROM top a JOIN top b USING (topic_id)),
+g AS (
+  SELECT grid.topic_id, wi, wj, oi.occ AS occ_i, oj.occ AS occ_j,
+         CASE WHEN wi = wj THEN oi.occ ELSE coalesce(co.co, 0) END AS co_ij, nwin.num_windows AS nw
+  FROM grid LEFT JOIN occ oi ON oi.word = wi LEFT JOIN occ oj ON oj.word = wj
+  LEFT JOIN co ON co.topic_id = grid.topic_id AND co.w1 = least(wi, wj) AND co.w2 = greatest(wi, wj)
+  CROSS JOIN nwin),
+nm AS (
+  SELECT topic_id, wi, wj, co_ij, nw,
+         ln((co_ij / nw + 1e-12) / ((occ_i / nw) * (occ_j / nw))) / (-ln(co_ij / nw + 1e-12)) AS npmi
+  FROM g),
+v AS (SELECT topic_id, wj, sum(npmi) AS vj FROM nm GROUP BY ALL),
+vn AS (SELECT topic_id, sqrt(sum(vj * vj)) AS vnorm FROM v GROUP BY ALL),
+pw AS (
+  SELECT nm.topic_id, wi, sum(npmi * vj) AS dot, sqrt(sum(npmi * npmi)) AS norm
+  FROM nm JOIN v USING (topic_id, wj) GROUP BY ALL),
+cv AS (SELECT topic_id, avg(dot / (norm * vnorm)) AS coherence FROM pw JOIN vn USING (topic_id) GROUP BY ALL)"""
+
+
+def _top(spark, sf, top_n=CO.TOP_N):
+    texts = standin_texts(spark, sf)
+    top = TP.standin_topic_terms(texts, K, top_n).withColumn("model_id", F.lit(0))
+    return texts, top
+
+
+def _npmi(spark, sf):
+    texts, top = _top(spark, sf)
+    occ, co, nwin = CO.window_counts(texts, top)
+    return CO.npmi(top, occ, co, nwin)
+
+
+@register("window_occurrence", f"""{CV_SQL}
+SELECT topic_id, wi AS w1, wj AS w2, co_ij AS n_windows, nw AS num_windows FROM nm WHERE wi <= wj""")
+def q_window_occurrence(spark, sf):
+    nm = _npmi(spark, sf).filter(F.col("wi") <= F.col("wj"))
+    return nm.select("topic_id", F.col("wi").alias("w1"), F.col("wj").alias("w2"),
+                     F.col("co_ij").cast("bigint").alias("n_windows"), "num_windows")
+
+
+@register("npmi", f"{CV_SQL} SELECT topic_id, wi, wj, round(npmi, 6) AS npmi FROM nm")
+def q_npmi(spark, sf):
+    return _npmi(spark, sf).select("topic_id", "wi", "wj", F.round("npmi", 6).alias("npmi"))
+
+
+@register("coherence_cv", f"{CV_SQL} SELECT topic_id, round(coherence, 6) AS coherence FROM cv")
+def q_coherence_cv(spark, sf):
+    per_topic = CO.cv_by_topic(_npmi(spark, sf))
+    return per_topic.select("topic_id", F.round("coherence", 6).alias("coherence"))
+
+
+# --- E7 / E8 topic list and topic table (top 10 words) --------------------------------
+
+TABLE_SQL = f"WITH {S.TEXTS}, {terms_sql(10)}"
+
+
+@register("topic_list", f"""{TABLE_SQL}
+SELECT CAST(topic_id + 1 AS INTEGER) AS topic_no, string_agg(word, ', ' ORDER BY rank) AS words
+FROM top GROUP BY topic_id""")
+def q_topic_list(spark, sf):
+    return TB.topic_list(TP.standin_topic_terms(standin_texts(spark, sf), K, 10))
+
+
+@register("topic_table", f"""{TABLE_SQL}
+SELECT CAST(topic_id AS INTEGER) AS topic_id, 0 AS section, 0 AS rank,
+       'TOPIC ' || CAST(topic_id AS VARCHAR) AS c1, CAST(NULL AS VARCHAR) AS c2
+FROM (SELECT DISTINCT topic_id FROM top)
+UNION ALL SELECT DISTINCT topic_id, 1, 0, 'word', 'prob.' FROM top
+UNION ALL SELECT topic_id, 2, CAST(rank AS INTEGER), upper(word), replace(printf('%.3f', p), '0.', '.') FROM top
+UNION ALL SELECT DISTINCT topic_id, 3, 0, '', NULL FROM top""")
+def q_topic_table(spark, sf):
+    return TB.topic_table(TP.standin_topic_terms(standin_texts(spark, sf), K, 10))
+
+
+# --- E4-E6, S16, X5 over a grid of stand-in models ------------------------------------
+
+GRID_SEEDS = INC.GRID_SEEDS
+GRID_K = INC.GRID_K
+
+
+def grid_scores(spark, sf):
+    """(k, dir_prior, random_state, num_pass, iteration, coherence_score)."""
+    texts = standin_texts(spark, sf)
+    tops = None
+    for seed in GRID_SEEDS:
+        for k in GRID_K:
+            t = (TP.standin_topic_terms(texts, k, CO.TOP_N, salt=f"{seed}/")
+                 .withColumn("model_id", F.lit(k * 1000 + seed)))
+            tops = t if tops is None else tops.unionByName(t)
+    scores = CO.coherence_cv(texts, tops)
+    pts = INC.grid(spark).withColumn("model_id", F.col("k") * 1000 + F.col("random_state"))
+    return pts.join(F.broadcast(scores), "model_id").select(
+        *INC.GRID_KEY, F.round("coherence", 6).alias("coherence_score"))
+
+
+@register("coherence_table")
+def q_coherence_table(spark, sf):
+    return grid_scores(spark, sf)
+
+
+@register("coherence_pivot")
+def q_coherence_pivot(spark, sf):
+    return TB.coherence_pivot(grid_scores(spark, sf), min(GRID_K), max(GRID_K))
+
+
+@register("best_model")
+def q_best_model(spark, sf):
+    return TB.best_model(grid_scores(spark, sf))
+
+
+@register("skip_scored_models")
+def q_skip_scored_models(spark, sf):
+    """Grid points still to score once the K <= 10 models are scored."""
+    scored = grid_scores(spark, sf).filter(F.col("k") <= 10)
+    return INC.skip_scored_models(INC.grid(spark), scored)
