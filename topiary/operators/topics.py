@@ -34,20 +34,41 @@ def standin_doc_topics(texts: DataFrame, k: int = 10, tokens_col: str = "tokens"
     return d.select(*keep, F.map_from_arrays(F.sequence(F.lit(0), F.lit(k - 1)), shares).alias("topics"))
 
 
+def word_counts(texts: DataFrame, tokens_col: str = "tokens") -> DataFrame:
+    """(word, cf): corpus count of every word (per-row counts, then one
+    partially aggregated shuffle)."""
+    from topiary.operators.vocab import token_counts
+    return (token_counts(texts.select("doc_id", tokens_col), tokens_col)
+            .groupBy(F.col("token").alias("word")).agg(F.sum("n").alias("cf")))
+
+
+def standin_topic_terms_grid(words: DataFrame, models: list, top_n: int = 10) -> DataFrame:
+    """Top words of several stand-in models at once.
+
+    ``models`` = [(model_id, k, salt)], a short literal list: each word fans
+    out to one row per model (a bounded explode, no join), then one
+    aggregate for topic totals and one windowed top-n.
+    (model_id, topic_id, rank, word, p), p = cf / cf of the topic.
+    """
+    from topiary.operators.ranking import top_n_per_group
+    arr = F.array(*[F.struct(F.lit(m).alias("model_id"), F.lit(k).alias("k"),
+                             F.lit(salt if salt is not None else "").alias("salt"))
+                    for m, k, salt in models])
+    wm = words.select("word", "cf", F.inline(arr))
+    wm = wm.select("model_id", "word", "cf",
+                   word_topic(F.col("word"), F.col("k"), F.col("salt")).cast("int").alias("topic_id"))
+    totals = wm.groupBy("model_id", "topic_id").agg(F.sum("cf").alias("__tot"))  # sum of K rows: bounded
+    wm = wm.join(F.broadcast(totals), ["model_id", "topic_id"]).withColumn("p", F.col("cf") / F.col("__tot"))
+    top = top_n_per_group(wm, ["model_id", "topic_id"], [F.desc("p"), F.asc("word")], top_n)
+    return top.select("model_id", "topic_id", "rank", "word", "p")
+
+
 def standin_topic_terms(texts: DataFrame, k: int = 10, top_n: int = 10, tokens_col: str = "tokens",
                         salt=None) -> DataFrame:
     """M6 twin: (topic_id, rank, word, p) with p = count(word) / count(all
     words of the topic); top_n per topic by p desc, then word."""
-    from topiary.operators.ranking import top_n_per_group
-    from topiary.operators.vocab import token_counts
-    words = (token_counts(texts.select("doc_id", tokens_col), tokens_col)
-             .groupBy(F.col("token").alias("word")).agg(F.sum("n").alias("cf")))
-    words = words.withColumn("topic_id", word_topic("word", k, salt).cast("int"))
-    totals = words.groupBy("topic_id").agg(F.sum("cf").alias("__tot"))
-    # K rows: bounded broadcast
-    words = words.join(F.broadcast(totals), "topic_id").withColumn("p", F.col("cf") / F.col("__tot"))
-    top = top_n_per_group(words, ["topic_id"], [F.desc("p"), F.asc("word")], top_n)
-    return top.select("topic_id", "rank", "word", "p")
+    t = standin_topic_terms_grid(word_counts(texts, tokens_col), [(0, k, salt)], top_n)
+    return t.drop("model_id")
 
 
 def topics_array(topics) -> Column:

@@ -130,35 +130,112 @@ GRID_K = INC.GRID_K
 def grid_scores(spark, sf):
     """(k, dir_prior, random_state, num_pass, iteration, coherence_score)."""
     texts = standin_texts(spark, sf)
-    tops = None
-    for seed in GRID_SEEDS:
-        for k in GRID_K:
-            t = (TP.standin_topic_terms(texts, k, CO.TOP_N, salt=f"{seed}/")
-                 .withColumn("model_id", F.lit(k * 1000 + seed)))
-            tops = t if tops is None else tops.unionByName(t)
+    models = [(k * 1000 + seed, k, f"{seed}/") for seed in GRID_SEEDS for k in GRID_K]
+    tops = TP.standin_topic_terms_grid(TP.word_counts(texts), models, CO.TOP_N)
     scores = CO.coherence_cv(texts, tops)
     pts = INC.grid(spark).withColumn("model_id", F.col("k") * 1000 + F.col("random_state"))
     return pts.join(F.broadcast(scores), "model_id").select(
         *INC.GRID_KEY, F.round("coherence", 6).alias("coherence_score"))
 
 
-@register("coherence_table")
 def q_coherence_table(spark, sf):
     return grid_scores(spark, sf)
 
 
-@register("coherence_pivot")
 def q_coherence_pivot(spark, sf):
     return TB.coherence_pivot(grid_scores(spark, sf), min(GRID_K), max(GRID_K))
 
 
-@register("best_model")
 def q_best_model(spark, sf):
     return TB.best_model(grid_scores(spark, sf))
 
 
-@register("skip_scored_models")
 def q_skip_scored_models(spark, sf):
     """Grid points still to score once the K <= 10 models are scored."""
     scored = grid_scores(spark, sf).filter(F.col("k") <= 10)
     return INC.skip_scored_models(INC.grid(spark), scored)
+
+
+GRID_SQL = f"""WITH {S.TEXTS},
+models AS (
+  SELECT k * 1000 + seed AS model_id, k, CAST(seed AS VARCHAR) || '/' AS salt
+  FROM range({min(GRID_K)}, {max(GRID_K) + 1}) r(k), (VALUES {', '.join(f'({s})' for s in GRID_SEEDS)}) s(seed)),
+words AS (SELECT w AS word, count(*) AS cf FROM (SELECT unnest(tokens) AS w FROM texts) GROUP BY w),
+wt AS (SELECT model_id, word, cf, CAST({S.word_topic('word', 'k', 'salt')} AS INTEGER) AS topic_id FROM words, models),
+tot AS (SELECT model_id, topic_id, sum(cf) AS tot FROM wt GROUP BY ALL),
+ranked AS (
+  SELECT model_id, topic_id, word,
+         row_number() OVER (PARTITION BY model_id, topic_id ORDER BY cf / tot DESC, word) AS rank
+  FROM wt JOIN tot USING (model_id, topic_id)),
+top AS (SELECT model_id, topic_id, word FROM ranked WHERE rank <= {CO.TOP_N}),
+tk AS (SELECT doc_id, len(tokens) AS n, unnest(tokens) AS w, generate_subscripts(tokens, 1) - 1 AS pos FROM texts),
+hits AS (SELECT doc_id, n, w, pos FROM tk WHERE w IN (SELECT word FROM top)),
+starts AS (
+  SELECT DISTINCT doc_id, w, s FROM (
+    SELECT doc_id, w, unnest(range(greatest(pos - {W - 1}, 0), least(pos, greatest(n - {W}, 0)) + 1)) AS s FROM hits)),
+occ AS (SELECT w AS word, count(*) AS occ FROM starts GROUP BY w),
+nwin AS (
+  SELECT model_id, sum(greatest(n - {W} + 1, 1)) AS nw
+  FROM (SELECT DISTINCT t.model_id, h.doc_id, h.n FROM hits h JOIN top t ON t.word = h.w) GROUP BY model_id),
+st AS (SELECT s.doc_id, s.s, s.w, t.model_id, t.topic_id FROM starts s JOIN top t ON t.word = s.w),
+co AS (
+  SELECT a.model_id, a.topic_id, a.w AS w1, b.w AS w2, count(*) AS co
+  FROM st a JOIN st b ON a.doc_id = b.doc_id AND a.s = b.s AND a.model_id = b.model_id
+                      AND a.topic_id = b.topic_id AND a.w < b.w
+  GROUP BY ALL),
+grid AS (SELECT a.model_id, a.topic_id, a.word AS wi, b.word AS wj FROM top a JOIN top b USING (model_id, topic_id)),
+g AS (
+  SELECT grid.model_id, grid.topic_id, wi, wj, oi.occ AS occ_i, oj.occ AS occ_j,
+         CASE WHEN wi = wj THEN oi.occ ELSE coalesce(co.co, 0) END AS co_ij, nwin.nw
+  FROM grid LEFT JOIN occ oi ON oi.word = wi LEFT JOIN occ oj ON oj.word = wj
+  LEFT JOIN co ON co.model_id = grid.model_id AND co.topic_id = grid.topic_id
+              AND co.w1 = least(wi, wj) AND co.w2 = greatest(wi, wj)
+  JOIN nwin ON nwin.model_id = grid.model_id),
+nm AS (
+  SELECT model_id, topic_id, wi, wj,
+         ln((co_ij / nw + 1e-12) / ((occ_i / nw) * (occ_j / nw))) / (-ln(co_ij / nw + 1e-12)) AS npmi
+  FROM g),
+v AS (SELECT model_id, topic_id, wj, sum(npmi) AS vj FROM nm GROUP BY ALL),
+vn AS (SELECT model_id, topic_id, sqrt(sum(vj * vj)) AS vnorm FROM v GROUP BY ALL),
+pw AS (
+  SELECT nm.model_id, nm.topic_id, wi, sum(npmi * vj) AS dot, sqrt(sum(npmi * npmi)) AS norm
+  FROM nm JOIN v USING (model_id, topic_id, wj) GROUP BY ALL),
+cvt AS (SELECT model_id, topic_id, avg(dot / (norm * vnorm)) AS coherence FROM pw JOIN vn USING (model_id, topic_id) GROUP BY ALL),
+cvm AS (SELECT model_id, avg(coherence) AS coherence FROM cvt GROUP BY model_id),
+pts AS (
+  SELECT k, 'auto' AS dir_prior, seed AS random_state, p AS num_pass, 200 AS iteration, k * 1000 + seed AS model_id
+  FROM range({min(GRID_K)}, {max(GRID_K) + 1}) r(k), (VALUES {', '.join(f'({s})' for s in GRID_SEEDS)}) s(seed),
+       (VALUES {', '.join(f'({p})' for p in INC.GRID_PASSES)}) q(p)),
+scores AS (
+  SELECT CAST(k AS INTEGER) AS k, dir_prior, CAST(random_state AS INTEGER) AS random_state,
+         CAST(num_pass AS INTEGER) AS num_pass, CAST(iteration AS INTEGER) AS iteration,
+         round(coherence, 6) AS coherence_score
+  FROM pts JOIN cvm USING (model_id))"""
+
+
+_KEY = "k, dir_prior, random_state, num_pass, iteration"
+_PIVOT_COLS = ", ".join(f'max(CASE WHEN k = {k} THEN coherence_score END) AS "{k}"' for k in GRID_K)
+
+register("coherence_table", f"{GRID_SQL} SELECT {_KEY}, coherence_score FROM scores")(q_coherence_table)
+register("coherence_pivot", f"""{GRID_SQL}
+SELECT dir_prior || '-' || CAST(random_state AS VARCHAR) || '-' || CAST(num_pass AS VARCHAR) || '-'
+       || CAST(iteration AS VARCHAR) AS config, {_PIVOT_COLS}
+FROM scores GROUP BY ALL""")(q_coherence_pivot)
+register("best_model", f"""{GRID_SQL}
+SELECT {_KEY}, coherence_score FROM scores
+ORDER BY coherence_score DESC, k, random_state, num_pass, iteration LIMIT 1""")(q_best_model)
+register("skip_scored_models", f"""{GRID_SQL}
+SELECT CAST(k AS INTEGER) AS k, dir_prior, CAST(random_state AS INTEGER) AS random_state,
+       CAST(num_pass AS INTEGER) AS num_pass, CAST(iteration AS INTEGER) AS iteration FROM pts p
+WHERE NOT EXISTS (SELECT 1 FROM scores s WHERE s.k <= 10 AND s.k = p.k AND s.random_state = p.random_state
+                  AND s.num_pass = p.num_pass AND s.iteration = p.iteration)""")(q_skip_scored_models)
+
+
+@register("seed_stability", f"""{GRID_SQL}
+SELECT k, dir_prior, num_pass, iteration, round(avg(coherence_score), 6) AS mean_score,
+       round(stddev_samp(coherence_score), 6) AS std_score, count(*) AS n_seeds
+FROM scores GROUP BY ALL""")
+def q_seed_stability(spark, sf):
+    st = TB.seed_stability(grid_scores(spark, sf))
+    return st.select("k", "dir_prior", "num_pass", "iteration", F.round("mean_score", 6).alias("mean_score"),
+                     F.round("std_score", 6).alias("std_score"), "n_seeds")

@@ -33,6 +33,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the executor too
+        builder = builder.config("spark.driver.memory", "12g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
