@@ -1 +1,65 @@
-"""placeholder"""
+"""Queries for M2-M5, S9 and X4 (LDA). ML output has no SQL oracle: these
+are rows-only checks; tests/ holds the invariants (shares sum to 1, K topics,
+seed reproducibility, reload equality)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from topiary.operators import model as M
+from topiary.operators import vocab as V
+from topiary.operators import views as VW
+from topiary.plans.catalog import register
+from topiary.plans.q_vocab import corpus_tokens
+from topiary.session import work_dir
+
+K = 10
+SEED = 42
+PASSES = 15
+
+
+def lda_inputs(spark, sf):
+    """(vectors, vocab, n_docs): the cleaned corpus as count vectors."""
+    t = corpus_tokens(spark, sf)
+    vocab = V.build_vocab(t).persist()
+    vec = M.stable_input(V.bow_vectors(t, vocab)).persist()
+    return vec, vocab, vec.count()
+
+
+def fitted(spark, sf):
+    vec, vocab, n = lda_inputs(spark, sf)
+    return M.fit_lda(vec, K, SEED, PASSES, n), vec, vocab
+
+
+@register("fit_lda")
+def q_fit_lda(spark, sf):
+    m, _, _ = fitted(spark, sf)
+    return m.describeTopics(10).select(F.col("topic").alias("topic_id"), "termIndices", "termWeights")
+
+
+@register("infer_topics")
+def q_infer_topics(spark, sf):
+    m, vec, _ = fitted(spark, sf)
+    dt = M.infer_topics(m, vec)
+    return VW.long_shares(dt, ["doc_id"]).select("doc_id", "topic_id", F.round("share", 6).alias("share"))
+
+
+@register("topic_top_words")
+def q_topic_top_words(spark, sf):
+    m, _, vocab = fitted(spark, sf)
+    return M.topic_top_words(m, vocab, 10).withColumn("p", F.round("p", 6))
+
+
+@register("save_load_model")
+def q_save_load_model(spark, sf):
+    m, vec, _ = fitted(spark, sf)
+    path = M.model_path(work_dir(spark, "models"), K, "auto", SEED, PASSES, 200)
+    M.save_model(m, path)
+    again = M.load_model(path)
+    return VW.dominant(M.infer_topics(again, vec)).select("doc_id", "topic_id")
+
+
+@register("heldout_likelihood")
+def q_heldout_likelihood(spark, sf):
+    vec, _, _ = lda_inputs(spark, sf)
+    return M.heldout_likelihood(vec, K, SEED, PASSES)
