@@ -41,7 +41,12 @@ LIGATURES = (("ﬂ", "fl"), ("ﬁ", "fi"), ("ﬀ", "ff"), ("ﬃ", "ffi"), ("ﬄ"
 
 
 def unify_dashes(c) -> Column:
-    return F.translate(_col(c), DASHES, "-" * len(DASHES))
+    # replace() returns its input untouched when the character is absent,
+    # while translate() rebuilds every string code point by code point.
+    out = _col(c)
+    for ch in DASHES:
+        out = F.replace(out, F.lit(ch), F.lit("-"))
+    return out
 
 
 def dehyphenate(c) -> Column:

@@ -14,8 +14,11 @@ from topiary.functions.lexicon import LEMMAS, SPARK_LANGUAGES, stop_words, title
 from topiary.functions.text import clean_fulltext
 
 # URLs and e-mail addresses are one non-alphabetic token each for a statistical
-# tokenizer, so they never yield words: remove them first.
-URL_OR_EMAIL = r"(?:https?://|www\.)\S+|\S+@\S+"
+# tokenizer, so they never yield words: remove them first. The e-mail branch
+# is anchored at the start of a non-space run: it matches exactly what
+# "\S+@\S+" matches, but Java's backtracking engine then needs one attempt per
+# run instead of one per character (long junk runs were quadratic).
+URL_OR_EMAIL = r"(?:https?://|www\.)\S+|(?<!\S)\S+@\S+"
 # A maximal run of letters, digits and '_' that consists of >= 2 letters only.
 # Lookarounds make "abc123" vanish instead of shrinking to "abc".
 ALPHA_WORD = r"(?<![\p{L}\p{N}_])\p{L}{2,}+(?![\p{L}\p{N}_])"
@@ -32,7 +35,10 @@ def tokenize(text, lowercase: bool = True) -> Column:
     t = _col(text)
     if lowercase:
         t = F.lower(t)
-    t = F.regexp_replace(t, F.lit(URL_OR_EMAIL), F.lit(" "))
+    # the pattern needs one of these substrings; plain byte searches skip the
+    # regex pass for texts without any
+    maybe = t.contains("@") | t.contains("://") | t.contains("www.")
+    t = F.when(maybe, F.regexp_replace(t, F.lit(URL_OR_EMAIL), F.lit(" "))).otherwise(t)
     return F.regexp_extract_all(t, F.lit(ALPHA_WORD), 0)
 
 
@@ -64,7 +70,9 @@ def lemmatize(tokens, lemmas: dict | None = None) -> Column:
     """Token -> lemma via a small literal lookup; others keep their form."""
     lemmas = LEMMAS if lemmas is None else lemmas
     m = F.create_map(*[F.lit(x) for kv in sorted(lemmas.items()) for x in kv])
-    return F.transform(_col(tokens), lambda x: F.coalesce(F.try_element_at(m, x), x))
+    keys = sorted(lemmas)
+    # hash-set probe first: most tokens have no entry and skip the map scan
+    return F.transform(_col(tokens), lambda x: F.when(x.isin(keys), F.try_element_at(m, x)).otherwise(x))
 
 
 def bigrams(tokens) -> Column:
