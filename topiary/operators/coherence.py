@@ -26,6 +26,7 @@ Spark plan, all counting exact:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,7 +63,10 @@ def window_counts(texts: DataFrame, top: DataFrame, window: int = WINDOW, key: s
     co > 0, nwin(model_id, num_windows)."""
     tw = top.select("model_id", "topic_id", "word").distinct()
     words = tw.select("word").distinct()
-    isl = _islands(texts, words, window, key, tokens_col)
+    # three consumers (occurrences, window totals, pairs): keep the merged
+    # intervals instead of re-running the window pass for each; a lost
+    # block is recomputed from lineage
+    isl = _islands(texts, words, window, key, tokens_col).persist(StorageLevel.MEMORY_AND_DISK)
 
     occ = isl.groupBy("word").agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("occ"))
 
