@@ -27,9 +27,11 @@ def token_counts(docs: DataFrame, tokens_col: str = "tokens", key: str = "doc_id
     return explode_rows(rl, [key], F.col("__rl"), ["token", "n"])
 
 
-def doc_freq(docs: DataFrame, tokens_col: str = "tokens", key: str = "doc_id") -> DataFrame:
-    """V1: (token, df, cf) — documents containing the token, total count."""
-    tc = token_counts(docs, tokens_col, key)
+def doc_freq(docs: DataFrame, tokens_col: str = "tokens", key: str = "doc_id",
+             counts: DataFrame | None = None) -> DataFrame:
+    """V1: (token, df, cf) — documents containing the token, total count.
+    ``counts``: token_counts already computed (shared with doc2bow)."""
+    tc = counts if counts is not None else token_counts(docs, tokens_col, key)
     return tc.groupBy("token").agg(F.count("*").alias("df"), F.sum("n").alias("cf"))
 
 
@@ -76,9 +78,11 @@ def assign_ids(pruned: DataFrame, keep_n: int | None = 100_000) -> DataFrame:
 
 
 def build_vocab(docs: DataFrame, tokens_col: str = "tokens", no_below: int = 5,
-                no_above: float = 0.90, keep_n: int | None = 100_000) -> DataFrame:
+                no_above: float = 0.90, keep_n: int | None = 100_000,
+                counts: DataFrame | None = None) -> DataFrame:
     """V1 -> V2 -> V3: (term_id, token, df, cf)."""
-    pruned = prune_vocab(doc_freq(docs, tokens_col), n_documents(docs), no_below, no_above, keep_n)
+    pruned = prune_vocab(doc_freq(docs, tokens_col, counts=counts), n_documents(docs),
+                         no_below, no_above, keep_n)
     return assign_ids(pruned, keep_n).select("term_id", "token", "df", "cf")
 
 
@@ -90,10 +94,10 @@ def _vocab_side(vocab: DataFrame, keep_n: int | None) -> DataFrame:
 
 
 def doc2bow(docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", key: str = "doc_id",
-            keep_n: int | None = 100_000) -> DataFrame:
+            keep_n: int | None = 100_000, counts: DataFrame | None = None) -> DataFrame:
     """V4: (doc_id, term_id, tf); out-of-vocabulary tokens dropped. A document
     with no known token has no rows here (it keeps its row in V5)."""
-    tc = token_counts(docs, tokens_col, key)
+    tc = counts if counts is not None else token_counts(docs, tokens_col, key)
     return tc.join(_vocab_side(vocab, keep_n), "token").select(key, "term_id", F.col("n").alias("tf"))
 
 

@@ -36,8 +36,9 @@ FROM tc JOIN vocab USING (token), nd
 WHERE tc.n * ln((nd.n + 1) / (df + 1)) >= 2.0""")
 def q_tfidf_filter(spark, sf):
     t = corpus_tokens(spark, sf).persist()
-    vocab = V.build_vocab(t)
-    band = X.tfidf_band(V.doc2bow(t, vocab), vocab, V.n_documents(t), 2.0)
+    tc = V.token_counts(t).persist()
+    vocab = V.build_vocab(t, counts=tc)
+    band = X.tfidf_band(V.doc2bow(t, vocab, counts=tc), vocab, V.n_documents(t), 2.0)
     return band.select("doc_id", "token", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 

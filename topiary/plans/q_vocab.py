@@ -51,7 +51,8 @@ def q_assign_ids(spark, sf):
 SELECT doc_id, term_id, n AS tf FROM tc JOIN vocab USING (token)""")
 def q_doc2bow(spark, sf):
     t = corpus_tokens(spark, sf).cache()
-    return V.doc2bow(t, V.build_vocab(t))
+    tc = V.token_counts(t).persist()  # one per-document count pass for df and bow
+    return V.doc2bow(t, V.build_vocab(t, counts=tc), counts=tc)
 
 
 @register("bow_vectors")
