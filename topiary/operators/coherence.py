@@ -11,15 +11,17 @@ vector, averaged over topics.
 Spark plan, all counting exact:
 1. hits: posexplode tokens and keep top words (broadcast join against the
    distinct top words, a set bounded by models x K x top_n); narrow.
-2. one shuffle of the hits by document; everything up to the final sums is
-   per document.
+2. hits are shuffled by (document, word): a key holds one word of one
+   document, so even a document holding a third of the corpus is spread
+   over many tasks.
 3. each hit covers window starts [max(0, p-W+1), min(p, max(0, n-W))];
    overlapping intervals of one word merge into islands (gaps and islands
    with lag + running sum). occ(w) = total island length.
 4. co-occurrence: islands are cut into buckets of ``window`` starts and
-   grouped by (doc, bucket, model, topic). A group holds at most a few
-   pieces per top word of one topic, a bound independent of document length
-   and corpus size; overlaps of piece pairs of different words are summed.
+   shuffled/grouped by (doc, bucket, model, topic). A group holds at most a
+   few pieces per top word of one topic, a bound independent of document
+   length and corpus size; overlaps of piece pairs of different words are
+   summed.
 5. NPMI, vectors and cosines run on the top-word grid (models x K x top_n^2
    rows).
 """
@@ -46,7 +48,6 @@ def _islands(texts: DataFrame, words: DataFrame, window: int, key: str, tokens_c
     hits = hits.select(key, "word", "n",
                        F.greatest(F.col("pos") - (window - 1), F.lit(0)).alias("lo"),
                        F.least(F.col("pos"), last_start).alias("hi"))
-    hits = hits.repartition(key)  # the one big shuffle; later steps reuse it
     w = Window.partitionBy(key, "word").orderBy("lo", "hi")
     flagged = hits.withColumn(
         "__new", F.when(F.col("lo") > F.lag("hi").over(w), 1).otherwise(0))

@@ -63,3 +63,29 @@ def q_save_load_model(spark, sf):
 def q_heldout_likelihood(spark, sf):
     vec, _, _ = lda_inputs(spark, sf)
     return M.heldout_likelihood(vec, K, SEED, PASSES)
+
+
+def _grid_sql():
+    from topiary.operators import incremental as INC
+    vals = ", ".join(f"({k}, '{p}', {s}, {n}, {i})" for k in INC.GRID_K for p in INC.GRID_PRIORS
+                     for s in INC.GRID_SEEDS for n in INC.GRID_PASSES for i in INC.GRID_ITERATIONS)
+    return f"""SELECT CAST(k AS INTEGER) AS k, dir_prior, CAST(random_state AS INTEGER) AS random_state,
+       CAST(num_pass AS INTEGER) AS num_pass, CAST(iteration AS INTEGER) AS iteration
+FROM (VALUES {vals}) g(k, dir_prior, random_state, num_pass, iteration)
+WHERE NOT (k = {K} AND dir_prior = 'auto' AND random_state = {SEED} AND num_pass = {PASSES} AND iteration = 200)"""
+
+
+@register("skip_existing_models", _grid_sql())
+def q_skip_existing_models(spark, sf):
+    """M1 + M3 + S15: fit the configuration the reference reports (K=10,
+    auto, seed 42, 15 passes, 200 iterations) through the resumable grid
+    fitter, run it again (nothing left to fit), then list the grid points
+    that still have no model."""
+    from topiary.operators import incremental as INC
+    vec, _, _ = lda_inputs(spark, sf)
+    root = work_dir(spark, "model_store")
+    chosen = INC.grid(spark).filter((F.col("k") == K) & (F.col("random_state") == SEED)
+                                    & (F.col("num_pass") == PASSES))
+    M.fit_grid(spark, vec, chosen, root)
+    M.fit_grid(spark, vec, chosen, root)  # resumed: already registered, no fit
+    return INC.skip_existing_models(INC.grid(spark), M.registry(spark, root))
