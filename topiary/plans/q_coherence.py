@@ -68,7 +68,7 @@ cv AS (SELECT topic_id, avg(dot / (norm * vnorm)) AS coherence FROM pw JOIN vn U
 
 
 def _top(spark, sf, top_n=CO.TOP_N):
-    texts = standin_texts(spark, sf)
+    texts = standin_texts(spark, sf).persist()  # read by the top words and by the window pass
     top = TP.standin_topic_terms(texts, K, top_n).withColumn("model_id", F.lit(0))
     return texts, top
 
@@ -129,7 +129,7 @@ GRID_K = INC.GRID_K
 
 def grid_scores(spark, sf):
     """(k, dir_prior, random_state, num_pass, iteration, coherence_score)."""
-    texts = standin_texts(spark, sf)
+    texts = standin_texts(spark, sf).persist()
     models = [(k * 1000 + seed, k, f"{seed}/") for seed in GRID_SEEDS for k in GRID_K]
     tops = TP.standin_topic_terms_grid(TP.word_counts(texts), models, CO.TOP_N)
     scores = CO.coherence_cv(texts, tops)

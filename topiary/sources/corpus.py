@@ -16,9 +16,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+SCAN_PARTITIONS_CONF = "topiary.scan.partitions"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """S1 scan: one parquet table; projection and filters reach the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """S1 scan: one parquet table; projection and filters reach the scan.
+
+    Parquet splits at row-group boundaries, so a file written as one large
+    row group is read by one task however many cores there are, and every
+    per-document stage after it (clean-up, tokens, hashing) runs serially.
+    When the session sets ``topiary.scan.partitions`` the rows are spread
+    round-robin over that many partitions right after the scan. Unset by
+    default: inputs with normal row groups already scan in parallel, and a
+    blanket repartition would shuffle the whole corpus for nothing.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    n = spark.conf.get(SCAN_PARTITIONS_CONF, None)
+    if n:
+        df = df.repartition(int(n))
+    return df
 
 
 def year_of(doc_id) -> F.Column:
