@@ -239,3 +239,26 @@ def q_seed_stability(spark, sf):
     st = TB.seed_stability(grid_scores(spark, sf))
     return st.select("k", "dir_prior", "num_pass", "iteration", F.round("mean_score", 6).alias("mean_score"),
                      F.round("std_score", 6).alias("std_score"), "n_seeds")
+
+
+
+def _q(expr):
+    return f"""CASE WHEN strpos({expr}, ',') > 0 OR strpos({expr}, '"') > 0
+          THEN '"' || replace({expr}, '"', '""') || '"' ELSE {expr} END"""
+
+
+@register("topic_table_csv", f"""{TABLE_SQL},
+heads AS (SELECT DISTINCT topic_id, '(' || CAST(topic_id + 1 AS VARCHAR) || ') ' || upper({S.label_of('topic_id')}) AS h FROM top)
+SELECT {_q('h')} AS line FROM heads
+UNION ALL SELECT 'word,prob.' FROM heads
+UNION ALL SELECT upper(word) || ',' || replace(printf('%.3f', p), '0.', '.') FROM top
+UNION ALL SELECT '""' FROM heads""")
+def q_topic_table_csv(spark, sf):
+    """E8 written like the reference's sample file ('(1) CONVERGENCE', '""'
+    blank rows, quoted headers with commas) and read back line by line."""
+    from topiary.session import work_dir
+    table = TB.topic_table(TP.standin_topic_terms(standin_texts(spark, sf), K, 10),
+                           labels_available=True, numbered=True)
+    path = work_dir(spark, "topic_table_csv")
+    TB.write_table_csv(table, path)
+    return spark.read.option("lineSep", "\n").text(path).select(F.col("value").alias("line"))
