@@ -45,3 +45,12 @@ def test_format_prob_and_labels(spark):
 def test_row_label_pct(spark):
     df = spark.createDataFrame([("Inference", 12.3456), ("NLP", 10.0)], "l string, v double")
     assert [r[0] for r in df.select(T.row_label_pct("l", "v")).collect()] == ["Inference (12.35%)", "NLP (10.0%)"]
+
+
+def test_topic_table_csv_lines(spark):
+    from topiary.operators import tables as TB
+    terms = spark.createDataFrame([(1, 1, "state", 0.026), (1, 2, "policy", 0.0175)],
+                                  "topic_id int, rank int, word string, p double")
+    t = TB.topic_table(terms, labels_available=True, numbered=True)
+    lines = [r["line"] for r in TB.table_lines(t).orderBy("topic_id", "section", "rank").collect()]
+    assert lines == ['"(2) STATE, POLICY, ACTION"', "word,prob.", "STATE,.026", "POLICY,.018", '""']
