@@ -143,6 +143,8 @@ def cv_by_topic(nm: DataFrame) -> DataFrame:
 def coherence_cv(texts: DataFrame, top: DataFrame, window: int = WINDOW, key: str = "doc_id",
                  tokens_col: str = "tokens") -> DataFrame:
     """(model_id, coherence) — mean of topic coherences."""
+    # the top-word table (models x K x top_n rows) feeds five branches
+    top = top.persist(StorageLevel.MEMORY_AND_DISK)
     occ, co, nwin = window_counts(texts, top, window, key, tokens_col)
     per_topic = cv_by_topic(npmi(top, occ, co, nwin))
     return per_topic.groupBy("model_id").agg(F.avg("coherence").alias("coherence"))

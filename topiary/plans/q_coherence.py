@@ -70,7 +70,8 @@ cv AS (SELECT topic_id, avg(dot / (norm * vnorm)) AS coherence FROM pw JOIN vn U
 def _top(spark, sf, top_n=CO.TOP_N):
     texts = standin_texts(spark, sf)
     top = TP.standin_topic_terms(texts, K, top_n).withColumn("model_id", F.lit(0))
-    return texts, top
+    # bounded (K x top_n rows) and read by several branches of the plan
+    return texts, top.persist()
 
 
 def _npmi(spark, sf):
