@@ -50,3 +50,10 @@ def test_general_preprocess_concatenates(spark):
     toks = TK.general_preprocess(df, "content").first()["tokens"]
     assert toks[:12] == ["neural", "network"] * 6
     assert toks.count("neural network") == 6 and toks[-1] == "alpha beta gamma"
+
+
+def test_stopwords_per_language(spark):
+    df = spark.createDataFrame([("en", ["the", "le", "modèle"]), ("fr", ["the", "le", "modèle"]), ("xx", ["the", "le"])],
+                               "lang string, t array<string>")
+    out = [r["r"] for r in df.select(TK.remove_stopwords("t", lang="lang").alias("r")).collect()]
+    assert out == [["le", "modèle"], ["the", "modèle"], ["the", "le"]]
