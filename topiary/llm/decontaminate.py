@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topiary.llm.common import frozen
 from topiary.llm.textbytes import ALNUM, Words, blocks, shingles
 
 WIDTH = 13
@@ -168,12 +169,12 @@ def _merged(spans: list) -> list[tuple[int, int]]:
     return out
 
 
-def _mark(docs: DataFrame, index: Index, short: bool) -> DataFrame:
-    """``docs`` with ``n_words``, ``hit_spans`` (word places) and ``items``."""
+def _mark(docs: DataFrame, index: Index, short: bool, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of ``docs`` with ``__n_words``, ``__spans`` (word places) and ``__items``."""
     from pyspark.sql import types as T
     shared = docs.sparkSession.sparkContext.broadcast(index)
     span = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
-    schema = T.StructType([*docs.schema.fields, T.StructField("__n_words", T.LongType()),
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("__n_words", T.LongType()),
                            T.StructField("__spans", span), T.StructField("__items", T.ArrayType(T.StringType()))])
     at = docs.columns.index("text")
 
@@ -189,43 +190,46 @@ def _mark(docs: DataFrame, index: Index, short: bool) -> DataFrame:
             kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
             more = [pa.array(np.concatenate(words) if words else np.zeros(0, np.int64), pa.int64()),
                     pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "__n_words", "__spans", "__items"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *more], [*keep, "__n_words", "__spans", "__items"])
 
     return docs.mapInArrow(mark, schema)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` (needs ``text``) with n_words, n_hit, n_items, items_sha256,
+def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES,
+         keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (needs ``text``), or only its columns ``keep``, with n_words, n_hit, n_items, items_sha256,
     contaminated. n_hit counts document words inside any occurrence of a window."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
                              F.coalesce(F.col("text"), F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n_blocks = max(1, -(-size // block_bytes))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    work = docs if n_blocks == 1 else docs.withColumn("__row", F.monotonically_increasing_id())
+    keep = docs.columns if keep is None else keep
+    work = docs.select(*dict.fromkeys([*keep, "text"]))
+    if n_blocks > 1:  # every pass sees the same rows under the same numbers
+        work = frozen(work.withColumn("__row", F.monotonically_increasing_id()))
     marked = []
     for k in range(n_blocks):  # each block is bounded by block_bytes on average
         own = [(r["item_id"], r["text"]) for r in items.filter(part == k).collect()]
         index = Index(own, width)
         short = any(n < SHINGLE for n in index.length)
         counts = _count(docs, index.vocabulary, short) if len(index.vocabulary) else {}
-        marked.append(_mark(work, index.choose(counts), short))
+        marked.append(_mark(work, index.choose(counts), short, keep if n_blocks == 1 else ["__row"]))
     out = marked[0]
     if n_blocks > 1:
-        parts = [m.select("__row", "__n_words", "__spans", "__items") for m in marked]
-        both = parts[0]
-        for p in parts[1:]:
+        both = marked[0]
+        for p in marked[1:]:
             both = both.unionByName(p)
         both = both.groupBy("__row").agg(F.max("__n_words").alias("__n_words"),
                                          F.flatten(F.collect_list("__spans")).alias("__spans"),
                                          F.array_sort(F.array_distinct(F.flatten(F.collect_list("__items")))).alias("__items"))
-        out = work.join(both, "__row").drop("__row")
+        out = work.select("__row", *keep).join(both, "__row").drop("__row")
     ordered = F.array_sort("__spans")
     hit = F.aggregate(ordered, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto")),
                       lambda s, x: F.struct((s["n"] + F.greatest(x["b"] - F.greatest(x["a"], s["upto"]), F.lit(0))).alias("n"),
                                             F.greatest(s["upto"], x["b"]).alias("upto")), lambda s: s["n"])
     out = out.withColumn("__hit", hit)
-    return out.select(*docs.columns, F.col("__n_words").alias("n_words"), F.col("__hit").alias("n_hit"),
+    return out.select(*keep, F.col("__n_words").alias("n_words"), F.col("__hit").alias("n_hit"),
                       F.size("__items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("__items", ",").cast("binary"), 256).alias("items_sha256"),
                       ((F.col("__hit") > 0) & (20 * F.col("__hit") >= F.col("__n_words"))).alias("contaminated"))

@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiary.llm.common import frozen
@@ -346,3 +346,17 @@ def brute_force(docs: list[tuple], n: int = 5) -> dict:
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {d: (len(sets[d]), root(d)) for d in ids}
+
+
+def near_dedup(docs: DataFrame, n: int = 5) -> DataFrame:
+    """The rows of ``docs`` that stay: one per group (of rows that share a
+    doc_id, the one with the least text); rows without a doc_id stay."""
+    dropped = frozen(near_groups(docs, n).filter("not kept").select("doc_id").distinct())
+    left = docs.join(dropped, "doc_id", "left_anti")
+    repeated = frozen(docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
+                          .filter("__n > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return left
+    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    once = left.join(repeated, "doc_id", "left_semi").withColumn("__rn", F.row_number().over(first)).filter("__rn = 1").drop("__rn")
+    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)

@@ -63,10 +63,11 @@ def offset(source: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
-def mix(docs: DataFrame, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken), one row per row."""
+def mix(docs: DataFrame, most: int = MOST, seed: str = SEED, keep: tuple = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken), one row per
+    row, and the columns ``keep`` (small ones, such as keys)."""
     rows = frozen(docs.select("doc_id", F.col("source").cast("string").alias("source"),
-                              word_count(F.col("text")).alias("size")))
+                              word_count(F.col("text")).alias("size"), *keep))
     per = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     targets = source_targets(per.select("source", "source_size"), most)
     ranked = dense_rank_all(rows, ["source", "size", "doc_id"], "rank")
@@ -82,7 +83,21 @@ def mix(docs: DataFrame, most: int = MOST, seed: str = SEED) -> DataFrame:
     return (ranked.join(plan, ranked["source"].eqNullSafe(plan["of"]))
             .withColumn("copies", copies.cast("long"))
             .select("doc_id", "source", "size", "source_size", "target", "copies",
-                    (F.col("copies") * F.col("size")).alias("taken")))
+                    (F.col("copies") * F.col("size")).alias("taken"), *keep))
+
+
+def mixed_rows(docs: DataFrame, most: int = MOST, seed: str = SEED) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it. Rows are matched to
+    their copies by a hash of id, source and text; rows equal in all three share
+    their copies evenly."""
+    key = F.xxhash64("doc_id", "source", "text")
+    keyed = docs.withColumn("__key", key)
+    taken = mix(keyed, most, seed, keep=("__key",)).groupBy("__key").agg(
+        F.sum("copies").alias("__all"), F.count(F.lit(1)).alias("__rows")).filter("__all > 0")
+    same = Window.partitionBy("__key").orderBy("__key")
+    out = keyed.join(taken.hint("merge"), "__key").withColumn("__place", F.row_number().over(same))
+    times = F.expr("cast(__all div __rows + if(__place <= __all % __rows, 1, 0) as int)")
+    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
 
 
 ORACLE = r"""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiary.llm import chat, decontaminate, exact_dedup, minhash, mixing, secrets, sharding, token_counts, toxicity
+from topiary.llm import chat, decontaminate, exact_dedup, minhash, mixing, secrets, sharding, suffix_dedup, token_counts, toxicity
 from topiary.llm.common import read
 
 QUERIES: dict = {}
@@ -39,8 +39,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_decontaminate")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return decontaminate.find(docs, read(spark, sf_dir, "benchmark")).drop("text")
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), keep=["doc_id"])
 
 
 @query("op10_minhash_groups")
@@ -87,3 +86,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter(spans, lambda s: s["kind"] != "entropy")
     return found.select("doc_id", number("assign").alias("n_assign"), number("access").alias("n_access"), number("hex").alias("n_hex"),
                         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(spans).alias("spans"))
+
+
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(read(spark, sf_dir, "documents"))
