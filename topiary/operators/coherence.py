@@ -28,11 +28,11 @@ Spark plan, all counting exact:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiary.functions.arrays import explode_rows
+from topiary.session import frozen
 
 EPSILON = 1e-12
 WINDOW = 110
@@ -64,10 +64,9 @@ def window_counts(texts: DataFrame, top: DataFrame, window: int = WINDOW, key: s
     co > 0, nwin(model_id, num_windows)."""
     tw = top.select("model_id", "topic_id", "word").distinct()
     words = tw.select("word").distinct()
-    # three consumers (occurrences, window totals, pairs): keep the merged
-    # intervals instead of re-running the window pass for each; a lost
-    # block is recomputed from lineage
-    isl = _islands(texts, words, window, key, tokens_col).persist(StorageLevel.MEMORY_AND_DISK)
+    # three consumers (occurrences, window totals, pairs): write the merged
+    # intervals once instead of re-running the window pass for each
+    isl = frozen(_islands(texts, words, window, key, tokens_col))
 
     occ = isl.groupBy("word").agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("occ"))
 
@@ -143,8 +142,7 @@ def cv_by_topic(nm: DataFrame) -> DataFrame:
 def coherence_cv(texts: DataFrame, top: DataFrame, window: int = WINDOW, key: str = "doc_id",
                  tokens_col: str = "tokens") -> DataFrame:
     """(model_id, coherence) — mean of topic coherences."""
-    # the top-word table (models x K x top_n rows) feeds five branches
-    top = top.persist(StorageLevel.MEMORY_AND_DISK)
+    top = frozen(top)  # the top-word table (models x K x top_n rows) feeds five branches
     occ, co, nwin = window_counts(texts, top, window, key, tokens_col)
     per_topic = cv_by_topic(npmi(top, occ, co, nwin))
     return per_topic.groupBy("model_id").agg(F.avg("coherence").alias("coherence"))

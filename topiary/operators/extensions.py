@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from topiary.operators import tokens as TK
 from topiary.operators.topics import word_topic
-from topiary.operators.vocab import doc_freq
+from topiary.operators.vocab import broadcast_if_small, doc_freq
 
 
 def corpus_stopwords(texts: DataFrame, n: int = 20, tokens_col: str = "tokens") -> list:
@@ -19,15 +19,15 @@ def corpus_stopwords(texts: DataFrame, n: int = 20, tokens_col: str = "tokens")
 
 
 def remove_custom_stopwords(texts: DataFrame, extra: list, tokens_col: str = "tokens") -> DataFrame:
-    """T2 with a corpus-specific list on top of the standard one."""
+    """A corpus-specific list, dropped from tokens that T2 has been through already."""
     return texts.withColumn(tokens_col, TK.remove_stopwords(tokens_col, list(extra)))
 
 
 def tfidf_band(bow: DataFrame, vocab: DataFrame, n_docs, lo: float = 2.0, hi: float | None = None) -> DataFrame:
     """Tf * ln((N + 1) / (df + 1)) per (doc, term), kept inside [lo, hi].
-    The vocabulary is capped (keep_n), so it is broadcast."""
+    The vocabulary is broadcast if it is small (counted), else the join shuffles."""
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
-    j = bow.join(F.broadcast(vocab.select("term_id", "token", "df")), "term_id")
+    j = bow.join(broadcast_if_small(vocab.select("term_id", "token", "df")), "term_id")
     score = F.col("tf") * F.log((n + 1) / (F.col("df") + 1))
     j = j.withColumn("tfidf", score)
     cond = F.col("tfidf") >= lo
@@ -48,8 +48,8 @@ def topic_word_distributions(words: DataFrame, models: list) -> DataFrame:
 
 
 def similar_topics(dist: DataFrame, model_a, model_b) -> DataFrame:
-    """Cosine between every topic of model A and every topic of model B
-    over their word distributions. Joined on word: each word meets one row
+    """Cosine between every topic of model A and every topic of model B (the
+    same model: between its different topics, the merge candidates) over their word distributions. Joined on word: each word meets one row
     per model and topic containing it (at most K per model), so no group
     grows with the corpus; the K x K result is then small."""
     a = dist.filter(F.col("model_id") == model_a).select(F.col("topic_id").alias("t1"), "word", F.col("p").alias("pa"))
@@ -57,5 +57,7 @@ def similar_topics(dist: DataFrame, model_a, model_b) -> DataFrame:
     dot = a.join(b, "word").groupBy("t1", "t2").agg(F.sum(F.col("pa") * F.col("pb")).alias("dot"))
     na = a.groupBy("t1").agg(F.sqrt(F.sum(F.col("pa") * F.col("pa"))).alias("na"))
     nb = b.groupBy("t2").agg(F.sqrt(F.sum(F.col("pb") * F.col("pb"))).alias("nb"))
+    if model_a == model_b:
+        dot = dot.filter("t1 < t2")
     return (dot.join(F.broadcast(na), "t1").join(F.broadcast(nb), "t2")
                .select("t1", "t2", (F.col("dot") / (F.col("na") * F.col("nb"))).alias("cosine")))

@@ -26,9 +26,10 @@ GRID_KEY = ["k", "dir_prior", "random_state", "num_pass", "iteration"]
 
 
 def skip_done(todo: DataFrame, done: DataFrame, keys: list) -> DataFrame:
-    """Rows of ``todo`` whose key tuple is not in ``done`` (duplicates in
-    ``done`` do not matter to an anti join, so no distinct/extra shuffle)."""
-    return todo.join(done.select(*keys), keys, "left_anti")
+    """Rows of ``todo`` whose key tuple is not in ``done``. The done-set is made
+    distinct first: partial aggregation drops a key's copies map-side, so one
+    key that stands in ``done`` millions of times reaches the join as one row."""
+    return todo.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
 def skip_processed_docs(files: DataFrame, stored: DataFrame) -> DataFrame:

@@ -47,8 +47,9 @@ def coherence_pivot(scores: DataFrame, min_k: int = 2, max_k: int = 20) -> DataF
     cfg = F.concat_ws("-", "dir_prior", F.col("random_state").cast("string"),
                       F.col("num_pass").cast("string"), F.col("iteration").cast("string"))
     ks = list(range(min_k, max_k + 1))
-    return (scores.withColumn("config", cfg).groupBy("config").pivot("k", ks)
-                  .agg(F.max("coherence_score")))
+    keys = ["dir_prior", "random_state", "num_pass", "iteration"]
+    return (scores.withColumn("config", cfg).groupBy(*keys, "config").pivot("k", ks)
+                  .agg(F.max("coherence_score")).orderBy(*keys).drop(*keys))  # rows in numeric order
 
 
 def best_model(scores: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topiary.functions.arrays import adjacent_pairs, empty_if_null, with_run_lengths
-from topiary.functions.lexicon import LEMMAS, SPARK_LANGUAGES, stop_words, title_forms
+from topiary.functions.lexicon import LEMMAS, stop_words, title_forms
 from topiary.functions.text import clean_fulltext
 
 # URLs and e-mail addresses are one non-alphabetic token each for a statistical
@@ -23,7 +23,8 @@ URL_OR_EMAIL = r"(?:https?://|www\.)\S+|(?<!\S)\S+@\S+"
 # Lookarounds make "abc123" vanish instead of shrinking to "abc".
 ALPHA_WORD = r"(?<![\p{L}\p{N}_])\p{L}{2,}+(?![\p{L}\p{N}_])"
 # Capitalised runs of three or more words stand in for multi-word entities.
-ENTITY = r"\p{Lu}\p{L}+(?: \p{Lu}\p{L}+){2,}"
+# Possessive: nothing is given back, so a run of any length needs no recursion.
+ENTITY = r"\p{Lu}\p{L}++(?: \p{Lu}\p{L}++){2,}+"
 
 
 def _col(c) -> Column:
@@ -42,6 +43,10 @@ def tokenize(text, lowercase: bool = True) -> Column:
     return F.regexp_extract_all(t, F.lit(ALPHA_WORD), 0)
 
 
+#: Languages whose stop lists are chosen by row; any of lexicon.SPARK_LANGUAGES may be added.
+LANGUAGES = ("en", "fr", "de", "es")
+
+
 def remove_stopwords(tokens, words=None, case_sensitive: bool = False,
                      lang=None) -> Column:
     """Drop stop words, keeping order and duplicates.
@@ -49,21 +54,22 @@ def remove_stopwords(tokens, words=None, case_sensitive: bool = False,
     ``x IN (<list>)`` becomes a hash-set probe (InSet) after optimisation.
     Default: tokens are lower case and compared with the lower-case list.
     ``case_sensitive``: the literal rule, surface token against the list plus
-    its Title forms. ``lang``: a column choosing Spark's list per language.
+    its Title forms (tokens must then keep their case). ``lang``: a column that
+    chooses Spark's list per row; ``words`` are dropped besides. Rows of an
+    unknown language keep their other words.
     """
     tokens = _col(tokens)
+    def without(words):
+        words = list(title_forms(words)) if case_sensitive else list(words)
+        return F.filter(tokens, lambda x: ~x.isin(words))
+
     if lang is not None:
-        def keep(x):
-            cond = None
-            for code in sorted(SPARK_LANGUAGES):
-                hit = (_col(lang) == code) & x.isin(list(stop_words(code)))
-                cond = hit if cond is None else (cond | hit)
-            return ~F.coalesce(cond, F.lit(False))
-        return F.filter(tokens, keep)
-    words = list(words if words is not None else stop_words("english"))
-    if case_sensitive:
-        words = list(title_forms(words))
-    return F.filter(tokens, lambda x: ~x.isin(words))
+        out = None  # the language is looked up once per row, not per token
+        for code in LANGUAGES:
+            hit, kept = _col(lang) == code, without([*stop_words(code), *(words or ())])
+            out = F.when(hit, kept) if out is None else out.when(hit, kept)
+        return out.otherwise(without(words) if words else tokens)
+    return without(words if words is not None else stop_words("english"))
 
 
 def lemmatize(tokens, lemmas: dict | None = None) -> Column:
@@ -75,6 +81,20 @@ def lemmatize(tokens, lemmas: dict | None = None) -> Column:
     return F.transform(_col(tokens), lambda x: F.when(x.isin(keys), F.try_element_at(m, x)).otherwise(x))
 
 
+#: Largest lemma table that becomes part of the plan (rows).
+LEMMA_MAX_ROWS = 200_000
+
+
+def lemma_map(table: DataFrame) -> dict:
+    """A (word, lemma) table as the lookup of ``lemmatize``. Counted first: a
+    larger one than LEMMA_MAX_ROWS is refused (join it to exploded tokens then).
+    Several lemmas of one word: the smallest."""
+    rows = table.groupBy("word").agg(F.min("lemma").alias("lemma")).limit(LEMMA_MAX_ROWS + 1).collect()
+    if len(rows) > LEMMA_MAX_ROWS:
+        raise ValueError(f"more than {LEMMA_MAX_ROWS} lemmas")
+    return {r["word"]: r["lemma"] for r in rows}
+
+
 def bigrams(tokens) -> Column:
     """T4: adjacent pairs of the filtered list, 'a b'."""
     return adjacent_pairs(_col(tokens), " ")
@@ -104,19 +124,33 @@ def assemble_tokens(unigrams, bigrams_, entities_) -> Column:
                     empty_if_null(_col(entities_)))
 
 
-def unigrams(content, stop=None, lemmas=None) -> Column:
-    """T1 -> T2 -> T3."""
-    return lemmatize(remove_stopwords(tokenize(content), stop), lemmas)
+def unigrams(content, stop=None, lemmas=None, lang=None, case_sensitive: bool = False) -> Column:
+    """T1 -> T2 -> T3. ``case_sensitive``: stop words are tested on the surface
+    form, and what is left is lower-cased afterwards."""
+    return unigrams_of(tokenize(content, lowercase=not case_sensitive), stop, lemmas, lang, case_sensitive)
+
+
+def unigrams_of(tokens, stop=None, lemmas=None, lang=None, case_sensitive: bool = False) -> Column:
+    """T2 -> T3 on tokens."""
+    kept = remove_stopwords(tokens, stop, case_sensitive, lang)
+    if case_sensitive:
+        kept = F.transform(kept, F.lower)
+    return lemmatize(kept, lemmas)
 
 
 def general_preprocess(df: DataFrame, content_col: str = "content", out: str = "tokens",
-                       min_bigram_count: int = 5, stop=None, lemmas=None) -> DataFrame:
-    """Content -> tokens (unigrams + frequent bigrams + entities)."""
-    df = df.withColumn("__uni", unigrams(content_col, stop, lemmas))
+                       min_bigram_count: int = 5, stop=None, lemmas=None, lang=None,
+                       case_sensitive: bool = False) -> DataFrame:
+    """Content -> tokens (unigrams + frequent bigrams + entities).
+    ``lemmas``: a dict, or a (word, lemma) DataFrame (see lemma_map)."""
+    if isinstance(lemmas, DataFrame):
+        lemmas = lemma_map(lemmas)
+    df = df.withColumn("__tok", tokenize(content_col, lowercase=not case_sensitive))
+    df = df.withColumn("__uni", unigrams_of("__tok", stop, lemmas, lang, case_sensitive))
     df = df.withColumn("__bg", bigrams("__uni"))
     df = with_frequent_bigrams(df, "__bg", "__fbg", min_bigram_count)
     df = df.withColumn(out, assemble_tokens("__uni", "__fbg", entities(content_col)))
-    return df.drop("__uni", "__bg", "__fbg")
+    return df.drop("__tok", "__uni", "__bg", "__fbg")
 
 
 def clean_and_tokenize(df: DataFrame, raw_col: str = "content", **kw) -> DataFrame:

@@ -55,10 +55,15 @@ def topics_by_journal(doc_topics: DataFrame) -> DataFrame:
     return mean_by(doc_topics, "journal")
 
 
-def wide_by_label(long_df: DataFrame, key: str, value: str, k: int = 10,
+def _labels(k: int, labels_available: bool) -> list[str]:
+    """A name per topic; topics beyond the labelled ones are numbered."""
+    return [TOPIC_LABELS[t] if labels_available and t in TOPIC_LABELS else f"Topic {t}" for t in range(k)]
+
+
+def wide_by_label(long_df: DataFrame, key: str, value: str, *, k: int,
                   labels_available: bool = True) -> DataFrame:
-    """One column per topic label (pivot over the known K ids, no extra job)."""
-    lab = [TOPIC_LABELS[t] if labels_available else f"Topic {t}" for t in range(k)]
+    """One column per topic label (pivot over the model's K ids, no extra job)."""
+    lab = _labels(k, labels_available)
     w = long_df.groupBy(key).pivot("topic_id", list(range(k))).agg(F.first(value))
     return w.select(key, *[F.col(str(t)).alias(lab[t]) for t in range(k)])
 
@@ -88,8 +93,9 @@ def cooccurrence_matrix(cooc: DataFrame, labels_available: bool = True) -> DataF
         "row_max")
 
 
-def matrix_wide(long_m: DataFrame) -> DataFrame:
-    """I8 as a table: rows by max desc, columns by label ascending."""
-    cols = sorted(r["col_label"] for r in long_m.select("col_label").distinct().collect())  # <= K
+def matrix_wide(long_m: DataFrame, *, k: int, labels_available: bool = True) -> DataFrame:
+    """I8 as a table: rows by max desc, columns by label ascending. A topic that
+    is never dominant has an empty column."""
+    cols = sorted(_labels(k, labels_available))
     w = long_m.groupBy("row_label", "row_max").pivot("col_label", cols).agg(F.first("value"))
-    return w.orderBy(F.desc("row_max")).drop("row_max")
+    return w.orderBy(F.desc("row_max"), "row_label").drop("row_max")

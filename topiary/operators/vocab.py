@@ -5,9 +5,10 @@ Plan shape at scale:
   only (doc, distinct token, n) rows leave a document;
 * document frequency is one hash aggregate with map-side partial aggregation
   (a hot token collapses to one row per map task before the shuffle);
-* the vocabulary is capped by ``keep_n`` (default 100 000), which is the size
-  bound that lets doc2bow broadcast it; without a cap the join shuffles and
-  AQE decides at run time from the measured size.
+* term ids come from range partitions plus per-partition offsets at every
+  size; ``keep_n`` is an opt-in cap on those ids, off by default;
+* doc2bow counts the vocabulary and broadcasts it only up to a stated number
+  of terms; beyond it the join shuffles.
 """
 
 from __future__ import annotations
@@ -16,9 +17,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiary.functions.arrays import explode_rows, with_run_lengths
+from topiary.session import checkpoint_dir
 
-# Largest vocabulary we broadcast on the strength of keep_n alone (rows).
-BROADCAST_MAX_TERMS = 2_000_000
+# Largest vocabulary that is broadcast (terms; a term takes some 50 bytes).
+BROADCAST_MAX_TERMS = 500_000
+# Largest vocabulary that may be collected to the driver for the ML stages.
+DRIVER_MAX_TERMS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_MAX_TERMS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``limit`` rows."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
 def token_counts(docs: DataFrame, tokens_col: str = "tokens", key: str = "doc_id") -> DataFrame:
@@ -40,15 +49,23 @@ def n_documents(docs: DataFrame) -> Column:
     return docs.select(F.count(F.lit(1))).scalar()
 
 
+BY_DF = ["df DESC", "token ASC"]
+
+
+def _order(cols: list) -> list:
+    """Sort columns from "name DESC" / "name ASC"."""
+    return [F.desc(c.split()[0]) if c.endswith("DESC") else F.asc(c.split()[0]) for c in cols]
+
+
 def prune_vocab(dfreq: DataFrame, n_docs: Column | int, no_below: int = 5,
-                no_above: float = 0.90, keep_n: int | None = 100_000) -> DataFrame:
-    """V2: keep ``no_below <= df <= int(no_above * N)``, then the keep_n
-    highest df (ties by token)."""
+                no_above: float = 0.90, keep_n: int | None = None) -> DataFrame:
+    """V2: keep ``no_below <= df <= int(no_above * N)``; with ``keep_n`` only
+    the keep_n highest df (ties by token)."""
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     max_df = F.floor(F.lit(float(no_above)) * n)
     kept = dfreq.filter((F.col("df") >= no_below) & (F.col("df") <= max_df))
     if keep_n is not None:
-        kept = kept.orderBy(F.desc("df"), F.asc("token")).limit(keep_n)
+        kept = with_dense_index(kept, BY_DF, "__rank").filter(F.col("__rank") < keep_n).drop("__rank")
     return kept
 
 
@@ -56,6 +73,8 @@ def with_dense_index(df: DataFrame, order_cols: list, out: str) -> DataFrame:
     """0-based dense ids in ``order_cols`` order without a single-partition
     window: range-partition, number rows inside each partition, add the row
     count of all earlier partitions (a table of one row per partition)."""
+    order_cols = _order(order_cols)
+    checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__mid", F.monotonically_increasing_id()))
@@ -68,47 +87,42 @@ def with_dense_index(df: DataFrame, order_cols: list, out: str) -> DataFrame:
                   .drop("__pid", "__mid", "__c", "__m0", "__off"))
 
 
-def assign_ids(pruned: DataFrame, keep_n: int | None = 100_000) -> DataFrame:
+def assign_ids(pruned: DataFrame) -> DataFrame:
     """V3: (term_id, token, df, ...) with term_id dense by (df desc, token)."""
-    order = [F.desc("df"), F.asc("token")]
-    if keep_n is not None:
-        # at most keep_n rows: a single ordered window is bounded
-        return pruned.withColumn("term_id", (F.row_number().over(Window.orderBy(*order)) - 1).cast("int"))
-    return with_dense_index(pruned, order, "term_id").withColumn("term_id", F.col("term_id").cast("int"))
+    return with_dense_index(pruned, BY_DF, "term_id").withColumn("term_id", F.col("term_id").cast("int"))
 
 
 def build_vocab(docs: DataFrame, tokens_col: str = "tokens", no_below: int = 5,
-                no_above: float = 0.90, keep_n: int | None = 100_000,
+                no_above: float = 0.90, keep_n: int | None = None,
                 counts: DataFrame | None = None) -> DataFrame:
     """V1 -> V2 -> V3: (term_id, token, df, cf)."""
     pruned = prune_vocab(doc_freq(docs, tokens_col, counts=counts), n_documents(docs),
                          no_below, no_above, keep_n)
-    return assign_ids(pruned, keep_n).select("term_id", "token", "df", "cf")
-
-
-def _vocab_side(vocab: DataFrame, keep_n: int | None) -> DataFrame:
-    v = vocab.select("token", "term_id")
-    if keep_n is not None and keep_n <= BROADCAST_MAX_TERMS:
-        return F.broadcast(v)
-    return v
+    return assign_ids(pruned).select("term_id", "token", "df", "cf")
 
 
 def doc2bow(docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", key: str = "doc_id",
-            keep_n: int | None = 100_000, counts: DataFrame | None = None) -> DataFrame:
+            counts: DataFrame | None = None) -> DataFrame:
     """V4: (doc_id, term_id, tf); out-of-vocabulary tokens dropped. A document
     with no known token has no rows here (it keeps its row in V5)."""
     tc = counts if counts is not None else token_counts(docs, tokens_col, key)
-    return tc.join(_vocab_side(vocab, keep_n), "token").select(key, "term_id", F.col("n").alias("tf"))
+    return tc.join(broadcast_if_small(vocab.select("token", "term_id")), "token") \
+             .select(key, "term_id", F.col("n").alias("tf"))
 
 
 def bow_vectors(docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
                 out: str = "features") -> DataFrame:
     """V5: sparse count vector per document over the fixed vocabulary.
 
-    The vocabulary is bounded (keep_n), so it is collected once to build the
-    JVM CountVectorizerModel; the transform itself is a narrow map.
+    The ML stages hold the whole vocabulary on the driver (a fitted model is a
+    topics x terms matrix there), so it is counted first and a larger one than
+    DRIVER_MAX_TERMS is refused; prune more or pass ``keep_n``. The transform
+    itself is a narrow map.
     """
     from pyspark.ml.feature import CountVectorizerModel
+    n = vocab.count()
+    if n > DRIVER_MAX_TERMS:
+        raise ValueError(f"{n} terms; the model stages take at most {DRIVER_MAX_TERMS}")
     terms = [r["token"] for r in vocab.select("term_id", "token").orderBy("term_id").collect()]
     model = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol=out)
     return model.transform(docs)

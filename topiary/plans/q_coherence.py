@@ -1,6 +1,6 @@
 """Queries for E1-E8 (c_v coherence and topic tables) on the stand-in model.
 
-Texts are the T1+T2 tokens of documents.text; the model is the hash
+Texts are the full T8 tokens of the cleaned documents; the model is the hash
 stand-in (FIXTURES.md), one model (K=10) for E1-E3/E7/E8 and a grid of
 stand-in models (K 2..20 x seeds 42/99, the seed salting the hash) for
 E4-E6. The stand-in has no passes/iterations, so grid points that differ
@@ -18,6 +18,8 @@ from topiary.operators import topics as TP
 from topiary.plans import sql as S
 from topiary.plans.catalog import register
 from topiary.plans.q_views import K, standin_texts
+from topiary.session import frozen
+from topiary.sources.corpus import read_table
 
 W = CO.WINDOW
 
@@ -70,8 +72,7 @@ cv AS (SELECT topic_id, avg(dot / (norm * vnorm)) AS coherence FROM pw JOIN vn U
 def _top(spark, sf, top_n=CO.TOP_N):
     texts = standin_texts(spark, sf)
     top = TP.standin_topic_terms(texts, K, top_n).withColumn("model_id", F.lit(0))
-    # bounded (K x top_n rows) and read by several branches of the plan
-    return texts, top.persist()
+    return texts, frozen(top)
 
 
 def _npmi(spark, sf):
@@ -152,8 +153,11 @@ def q_best_model(spark, sf):
 
 
 def q_skip_scored_models(spark, sf):
-    """Grid points still to score once the K <= 10 models are scored."""
-    scored = grid_scores(spark, sf).filter(F.col("k") <= 10)
+    """Grid points without a score; each row of ``labels`` stands for one score stored before."""
+    lab = read_table(spark, sf, "labels")
+    scored = lab.select((F.lit(2) + F.col("doc_id") % 19).cast("int").alias("k"), F.lit("auto").alias("dir_prior"),
+                        F.when(F.col("toxic") == 1, 42).otherwise(99).alias("random_state"),
+                        F.when(F.col("quality") == 1, 5).otherwise(10).alias("num_pass"), F.lit(200).alias("iteration"))
     return INC.skip_scored_models(INC.grid(spark), scored)
 
 
@@ -225,11 +229,14 @@ FROM scores GROUP BY ALL""")(q_coherence_pivot)
 register("best_model", f"""{GRID_SQL}
 SELECT {_KEY}, coherence_score FROM scores
 ORDER BY coherence_score DESC, k, random_state, num_pass, iteration LIMIT 1""")(q_best_model)
-register("skip_scored_models", f"""{GRID_SQL}
-SELECT CAST(k AS INTEGER) AS k, dir_prior, CAST(random_state AS INTEGER) AS random_state,
-       CAST(num_pass AS INTEGER) AS num_pass, CAST(iteration AS INTEGER) AS iteration FROM pts p
-WHERE NOT EXISTS (SELECT 1 FROM scores s WHERE s.k <= 10 AND s.k = p.k AND s.random_state = p.random_state
-                  AND s.num_pass = p.num_pass AND s.iteration = p.iteration)""")(q_skip_scored_models)
+register("skip_scored_models", """
+WITH pts AS (
+  SELECT k, seed, p FROM range(2, 21) r(k), (VALUES (42), (99)) s(seed), (VALUES (5), (10), (15), (20)) q(p))
+SELECT CAST(k AS INTEGER) AS k, 'auto' AS dir_prior, CAST(seed AS INTEGER) AS random_state,
+       CAST(p AS INTEGER) AS num_pass, CAST(200 AS INTEGER) AS iteration FROM pts
+WHERE NOT EXISTS (
+  SELECT 1 FROM labels l WHERE 2 + l.doc_id % 19 = pts.k AND CASE WHEN l.toxic = 1 THEN 42 ELSE 99 END = pts.seed
+    AND CASE WHEN l.quality = 1 THEN 5 ELSE 10 END = pts.p)""")(q_skip_scored_models)
 
 
 @register("seed_stability", f"""{GRID_SQL}

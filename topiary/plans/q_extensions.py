@@ -24,7 +24,7 @@ cs AS (SELECT list(w) AS cl FROM (SELECT w FROM dfq ORDER BY df DESC, w LIMIT 20
 SELECT doc_id, len(t) AS n_tokens, {S.md5_list('t')} AS tokens_md5
 FROM (SELECT doc_id, list_filter(tokens, lambda x: NOT list_contains(cl, x)) AS t FROM texts, cs)""")
 def q_custom_stopwords(spark, sf):
-    texts = standin_texts(spark, sf).persist()
+    texts = standin_texts(spark, sf)
     out = X.remove_custom_stopwords(texts, X.corpus_stopwords(texts, 20))
     return out.select("doc_id", F.size("tokens").alias("n_tokens"),
                       F.md5(F.array_join("tokens", "|")).alias("tokens_md5"))
@@ -35,10 +35,10 @@ SELECT doc_id, token, tc.n AS tf, round(tc.n * ln((nd.n + 1) / (df + 1)), 6) AS
 FROM tc JOIN vocab USING (token), nd
 WHERE tc.n * ln((nd.n + 1) / (df + 1)) >= 2.0""")
 def q_tfidf_filter(spark, sf):
-    t = corpus_tokens(spark, sf).persist()
-    tc = V.token_counts(t).persist()
-    vocab = V.build_vocab(t, counts=tc)
-    band = X.tfidf_band(V.doc2bow(t, vocab, counts=tc), vocab, V.n_documents(t), 2.0)
+    t, docs = corpus_tokens(spark, sf), read_table(spark, sf, "documents")
+    pruned = V.prune_vocab(V.doc_freq(t), V.n_documents(docs))
+    vocab = V.assign_ids(pruned).select("term_id", "token", "df", "cf")  # frozen: built once
+    band = X.tfidf_band(V.doc2bow(t, vocab), vocab, V.n_documents(docs), 2.0)
     return band.select("doc_id", "token", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 

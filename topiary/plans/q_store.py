@@ -59,9 +59,14 @@ def q_replace_by_key(spark, sf):
     return out.select("doc_id", "journal", "year", "title", F.md5("content").alias("content_md5"))
 
 
-@register("list_files")
+@register("list_files", "SELECT DISTINCT source AS journal FROM documents WHERE source IS NOT NULL")
 def q_list_files(spark, sf):
-    return ST.list_files(spark, sf).select("path", "length")
+    """The documents stored in a folder per journal; the journals found by listing the files."""
+    path = work_dir(spark, "journal_tree")
+    _pubs(spark, sf).select("doc_id", "journal").write.partitionBy("journal").parquet(path)
+    found = ST.list_files(spark, path, "*.parquet")
+    return found.select(F.regexp_extract("path", "/journal=([^/]+)/", 1).alias("journal")) \
+                .filter(~F.col("journal").isin("", "__HIVE_DEFAULT_PARTITION__")).distinct()
 
 
 @register("write_csv", f"WITH {S.PUBS} SELECT doc_id, journal, year, title FROM pubs")
@@ -85,12 +90,12 @@ def q_read_csv(spark, sf):
 @register("write_bow", f"""{TOKS}, {VOCAB_CTES}
 SELECT doc_id, token, n AS tf FROM tc JOIN vocab USING (token)""")
 def q_write_bow(spark, sf):
-    t = corpus_tokens(spark, sf).cache()
-    vocab = V.build_vocab(t)
+    t = corpus_tokens(spark, sf)
     folder = work_dir(spark, "lda_files")
+    vocab = V.build_vocab(t)  # frozen term ids: written and used without a second pass
     ST.write_bow(vocab, V.doc2bow(t, vocab), folder)
     v, b = ST.read_bow(spark, folder)
-    return b.join(F.broadcast(v.select("term_id", "token")), "term_id").select("doc_id", "token", "tf")
+    return b.join(V.broadcast_if_small(v.select("term_id", "token")), "term_id").select("doc_id", "token", "tf")
 
 
 # --- skip logic ----------------------------------------------------------------------
@@ -119,13 +124,14 @@ def q_skip_processed_docs(spark, sf):
 SELECT doc_id, len(tk) AS n_tokens, {S.md5_list('tk')} AS tokens_md5
 FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN ['processed'] ELSE tokens END AS tk FROM toks)""")
 def q_skip_tokenized(spark, sf):
-    """Rows already tokenized keep their tokens; the rest are tokenized and
-    written back by key (S14 then S3)."""
-    p = _pubs(spark, sf).select("doc_id", "content")
+    """Rows already tokenized keep their tokens; the rest are tokenized. The two
+    sets are disjoint, so their union is the new table: no join, no shuffle."""
+    p = _pubs(spark, sf).select("doc_id", "content", "lang")
     base = p.withColumn("tokens", F.when(F.col("doc_id") % 3 == 0, F.array(F.lit("processed"))))
     todo = INC.skip_tokenized(base)
-    done = TK.general_preprocess(todo.drop("tokens"), "content")
-    out = ST.replace_by_key(base, done.select("doc_id", "content", "tokens"), "doc_id")
+    done = TK.general_preprocess(todo.drop("tokens"), "content", lang="lang")
+    finished = base.filter(F.col("tokens").isNotNull())
+    out = finished.select("doc_id", "tokens").unionByName(done.select("doc_id", "tokens"))
     return out.select("doc_id", F.size("tokens").alias("n_tokens"),
                       F.md5(F.array_join("tokens", "|")).alias("tokens_md5"))
 

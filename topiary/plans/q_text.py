@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from topiary.functions import text as T
-from topiary.functions.arrays import explode_rows
 from topiary.plans import sql as S
 from topiary.plans.catalog import register
 from topiary.sources import web
-from topiary.sources.corpus import decorated_publications, pdf_paths, publications_raw, read_table
+from topiary.sources.corpus import decorated_pages, decorated_publications, pdf_paths, publications_raw, read_table
 
 
 def _docs(spark, sf):
@@ -106,36 +105,54 @@ def q_harvest_links(spark, sf):
     return web.harvest_links(read_table(spark, sf, "pages"), "/")
 
 
-@register("link_metadata", """
-WITH links AS (
+@register("harvest_kinds", f"""
+WITH {S.PAGES}, k AS (
+  SELECT page_id, 'book' AS kind, regexp_extract_all(html, '<a href="(/book.*?)">', 1) AS l FROM dpages
+  UNION ALL SELECT page_id, 'paper', regexp_extract_all(html, '<a href="(/paper.*?)">', 1) FROM dpages
+  UNION ALL SELECT page_id, 'pdf', list_filter([regexp_extract(html, 'href="(/paper/.*\\.pdf)">', 1)], lambda x: x <> '') FROM dpages)
+SELECT page_id, kind, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS link FROM k""")
+def q_harvest_kinds(spark, sf):
+    """S10, its three patterns: book links, paper links, the first PDF link."""
+    pages = decorated_pages(read_table(spark, sf, "pages"))
+    kind = lambda name, pattern: web.harvest_kind(pages, pattern, ["page_id"]).withColumn("kind", F.lit(name))
+    pdf = pages.select("page_id", F.lit(0).alias("pos"), web.first_pdf_link("html").alias("link"), F.lit("pdf").alias("kind"))
+    return kind("book", web.BOOK_LINK).unionByName(kind("paper", web.PAPER_LINK)).unionByName(pdf.filter("link <> ''"))
+
+
+@register("link_metadata", f"""
+WITH {S.PAGES}, links AS (
   SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS domain,
          regexp_extract(html, 'href="(/paper/.*\\.pdf)">', 1) AS pdf_link,
-         unnest(regexp_extract_all(html, '<a href="(/.*?)">', 1)) AS link
-  FROM pages)
-SELECT page_id, link, right(link, 4) AS year, domain || link AS abs_url,
+         regexp_extract(html, '<a href="(/book.*?)">', 1) AS book_link,
+         unnest(regexp_extract_all(html, '<a href="(/paper.*?)">', 1)) AS link
+  FROM dpages)
+SELECT page_id, link, right(book_link, 4) AS year, try_cast(right(book_link, 4) AS INTEGER) AS year_int, domain || link AS abs_url,
        string_split(link, '/')[-1] AS name, pdf_link
 FROM links""")
 def q_link_metadata(spark, sf):
-    pages = read_table(spark, sf, "pages")
-    links = explode_rows(
-        pages, ["page_id", web.site_domain("url").alias("domain"), web.first_pdf_link("html").alias("pdf_link")],
-        F.regexp_extract_all("html", F.lit(web.link_pattern("/")), 1), ["link"])
-    out = web.link_metadata(links)
-    return out.select("page_id", "link", "year", "abs_url", "name", "pdf_link")
+    """S11 for the paper links of a page; the year is that of the page's book link."""
+    pages = decorated_pages(read_table(spark, sf, "pages"))
+    links = web.harvest_kind(pages, web.PAPER_LINK, [
+        "page_id", web.site_domain("url").alias("domain"), web.first_pdf_link("html").alias("pdf_link"),
+        F.regexp_extract("html", web.BOOK_LINK, 1).alias("book_link")])
+    out = web.link_metadata(links, year_col="book_link")
+    return out.select("page_id", "link", "year", F.col("year").try_cast("int").alias("year_int"), "abs_url", "name", "pdf_link")
 
 
 _HTML_SQL = r"""trim(regexp_replace(
-  replace(replace(replace(replace(replace(replace(
+  replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(
     regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
       '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'),
       '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'),
-    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&copy;', chr(169)),
+    '&middot;', chr(183)), '&eacute;', chr(233)), '&#233;', chr(233)), '&#x20AC;', chr(8364)), '&#128512;', chr(128512)),
+    '&amp;', '&'),
   '\s+', ' ', 'g'))"""
 
 
-@register("html_to_text", f"""
+@register("html_to_text", f"""WITH {S.PAGES}
 SELECT page_id, md5(t) AS content_md5, length(t) AS content_len
-FROM (SELECT page_id, {_HTML_SQL} AS t FROM pages) WHERE t IS NOT NULL AND length(t) > 0""")
+FROM (SELECT page_id, {_HTML_SQL} AS t FROM dpages) WHERE t IS NOT NULL AND length(t) > 0""")
 def q_html_to_text(spark, sf):
-    d = web.pages_as_documents(read_table(spark, sf, "pages"))
+    d = web.pages_as_documents(decorated_pages(read_table(spark, sf, "pages")))
     return d.select("page_id", *_digest(F.col("content")))

@@ -33,29 +33,29 @@ def q_tokenize(spark, sf):
 
 
 @register("remove_stopwords",
-          f"{_P} SELECT doc_id, {_sql_digest(S.remove_stopwords(S.tokenize('content')))} FROM pubs")
+          f"{_P} SELECT doc_id, {_sql_digest(S.remove_stopwords_by_lang(S.tokenize('content')))} FROM pubs")
 def q_remove_stopwords(spark, sf):
-    return _pubs(spark, sf).select("doc_id", *_digest(TK.remove_stopwords(TK.tokenize("content"))))
+    return _pubs(spark, sf).select("doc_id", *_digest(TK.remove_stopwords(TK.tokenize("content"), lang="lang")))
 
 
-@register("lemmatize", f"{_P} SELECT doc_id, {_sql_digest(S.unigrams('content'))} FROM pubs")
+@register("lemmatize", f"{_P} SELECT doc_id, {_sql_digest(S.unigrams('content', 'lang'))} FROM pubs")
 def q_lemmatize(spark, sf):
-    return _pubs(spark, sf).select("doc_id", *_digest(TK.unigrams("content")))
+    return _pubs(spark, sf).select("doc_id", *_digest(TK.unigrams("content", lang="lang")))
 
 
-@register("bigrams", f"""{_P}, uni AS (SELECT doc_id, {S.unigrams('content')} AS u FROM pubs)
+@register("bigrams", f"""{_P}, uni AS (SELECT doc_id, {S.unigrams('content', 'lang')} AS u FROM pubs)
 SELECT doc_id, {_sql_digest(S.bigrams('u'), 'bigrams')} FROM uni""")
 def q_bigrams(spark, sf):
-    d = _pubs(spark, sf).withColumn("u", TK.unigrams("content"))
+    d = _pubs(spark, sf).withColumn("u", TK.unigrams("content", lang="lang"))
     return d.select("doc_id", *_digest(TK.bigrams("u"), "bigrams"))
 
 
-@register("frequent_bigrams", f"""{_P}, uni AS (SELECT doc_id, {S.unigrams('content')} AS u FROM pubs),
+@register("frequent_bigrams", f"""{_P}, uni AS (SELECT doc_id, {S.unigrams('content', 'lang')} AS u FROM pubs),
 bgs AS (SELECT doc_id, {S.bigrams('u')} AS b FROM uni),
 {S.frequent_bigrams_cte('bgs', 'b', 'fbg', 5)}
 SELECT doc_id, {_sql_digest('fb', 'bigrams')} FROM fbg""")
 def q_frequent_bigrams(spark, sf):
-    d = _pubs(spark, sf).withColumn("u", TK.unigrams("content")).withColumn("b", TK.bigrams("u"))
+    d = _pubs(spark, sf).withColumn("u", TK.unigrams("content", lang="lang")).withColumn("b", TK.bigrams("u"))
     d = TK.with_frequent_bigrams(d, "b", "fb", 5)
     return d.select("doc_id", *_digest(F.col("fb"), "bigrams"))
 
@@ -69,7 +69,7 @@ def q_entities(spark, sf):
 @register("assemble_tokens", f"""{_P}, {S.tokens_ctes('pubs')}
 SELECT doc_id, {_sql_digest('tokens')} FROM toks""")
 def q_assemble_tokens(spark, sf):
-    d = TK.general_preprocess(_pubs(spark, sf), "content")
+    d = TK.general_preprocess(_pubs(spark, sf), "content", lang="lang")
     return d.select("doc_id", *_digest(F.col("tokens")))
 
 
@@ -77,5 +77,5 @@ def q_assemble_tokens(spark, sf):
 SELECT doc_id, {_sql_digest('tokens')} FROM toks""")
 def q_general_preprocess(spark, sf):
     d = decorated_publications(read_table(spark, sf, "documents"))
-    d = TK.general_preprocess(d.withColumn("content", clean_fulltext("content")), "content")
+    d = TK.general_preprocess(d.withColumn("content", clean_fulltext("content")), "content", lang="lang")
     return d.select("doc_id", *_digest(F.col("tokens")))

@@ -9,22 +9,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from topiary.functions.text import format_prob, mask_nonpositive, topic_label
-from topiary.operators import tokens as TK
 from topiary.operators import topics as TP
 from topiary.operators import views as VW
 from topiary.plans import sql as S
 from topiary.plans.catalog import register
-from topiary.sources.corpus import read_table, year_of
+from topiary.plans.q_vocab import corpus_tokens
+from topiary.session import frozen
 
 K = 10
 
 
 def standin_texts(spark, sf):
-    """(doc_id, journal, year, title, tokens): T1 + T2 over documents.text."""
-    d = read_table(spark, sf, "documents")
-    return d.select("doc_id", F.col("source").alias("journal"), year_of(F.col("doc_id")).alias("year"),
-                    F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("title"),
-                    TK.remove_stopwords(TK.tokenize("text")).alias("tokens"))
+    """(doc_id, journal, year, title, tokens): the full T8 tokens of the cleaned
+    corpus, written once (the views read them several times)."""
+    return frozen(corpus_tokens(spark, sf))
 
 
 def doc_topics(spark, sf):
@@ -99,7 +97,7 @@ ym AS (SELECT CAST(year AS INTEGER) AS year, topic_id, avg(share) AS mean_share
 {_wide_sql('year', 'ym')}""")
 def q_topics_by_year_stacked(spark, sf):
     v = VW.topics_by_year(doc_topics(spark, sf)).withColumn("mean_share", r6(F.col("mean_share")))
-    return VW.wide_by_label(v, "year", "mean_share", K)
+    return VW.wide_by_label(v, "year", "mean_share", k=K)
 
 
 @register("topics_by_journal", f"""{DT}
@@ -148,6 +146,14 @@ def q_cooccurrence_matrix(spark, sf):
     return m.withColumn("value", r6(F.col("value"))).withColumn("row_max", r6(F.col("row_max")))
 
 
+@register("cooccurrence_wide", f"""{COOC}
+SELECT row_label, {', '.join(f"round(max(CASE WHEN dominant_id = {t} THEN value END), 6) AS {S.quoted(S.TOPIC_LABELS[t])}" for t in range(K))}
+FROM lm GROUP BY row_label""")
+def q_cooccurrence_wide(spark, sf):
+    """I8 as the table that is drawn: a column per dominant topic."""
+    return VW.matrix_wide(_matrix(spark, sf).withColumn("value", r6(F.col("value"))), k=K)
+
+
 @register("mask_nonpositive", f"""{COOC}
 SELECT topic_id, dominant_id, round(CASE WHEN value > 0 THEN value END, 6) AS value FROM lm""")
 def q_mask_nonpositive(spark, sf):

@@ -15,7 +15,7 @@ from topiary.sources.corpus import decorated_publications, read_table
 def corpus_tokens(spark, sf):
     """publications_raw (cleaned) with T8 tokens: (doc_id, journal, year, title, tokens)."""
     d = decorated_publications(read_table(spark, sf, "documents"))
-    d = TK.general_preprocess(d.withColumn("content", clean_fulltext("content")), "content")
+    d = TK.general_preprocess(d.withColumn("content", clean_fulltext("content")), "content", lang="lang")
     return d.select("doc_id", "journal", "year", "title", "tokens")
 
 
@@ -26,8 +26,7 @@ VOCAB_CTES = """tc AS (
 dfq AS (SELECT token, count(*) AS df, sum(n) AS cf FROM tc GROUP BY token),
 nd AS (SELECT count(*) AS n FROM toks),
 pruned AS (
-  SELECT token, df, cf FROM dfq, nd WHERE df >= 5 AND df <= floor(CAST(0.9 AS DOUBLE) * nd.n)
-  ORDER BY df DESC, token LIMIT 100000),
+  SELECT token, df, cf FROM dfq, nd WHERE df >= 5 AND df <= floor(CAST(0.9 AS DOUBLE) * nd.n)),
 vocab AS (SELECT CAST(row_number() OVER (ORDER BY df DESC, token) - 1 AS INTEGER) AS term_id, token, df, cf FROM pruned)"""
 
 
@@ -50,13 +49,18 @@ def q_assign_ids(spark, sf):
 @register("doc2bow", f"""{TOKS}, {VOCAB_CTES}
 SELECT doc_id, term_id, n AS tf FROM tc JOIN vocab USING (token)""")
 def q_doc2bow(spark, sf):
-    t = corpus_tokens(spark, sf).cache()
-    tc = V.token_counts(t).persist()  # one per-document count pass for df and bow
-    return V.doc2bow(t, V.build_vocab(t, counts=tc), counts=tc)
+    t = corpus_tokens(spark, sf)
+    docs = read_table(spark, sf, "documents")  # N needs no tokens
+    pruned = V.prune_vocab(V.doc_freq(t), V.n_documents(docs))
+    return V.doc2bow(t, V.assign_ids(pruned).select("term_id", "token", "df", "cf"))
 
 
-@register("bow_vectors")
+@register("bow_vectors", f"""{TOKS}, {VOCAB_CTES}
+SELECT doc_id, term_id, n AS tf FROM tc JOIN vocab USING (token)""")
 def q_bow_vectors(spark, sf):
-    t = corpus_tokens(spark, sf).cache()
-    vec = V.bow_vectors(t, V.build_vocab(t))
-    return vec.select("doc_id", "features")
+    """The vectors, read back entry by entry: the same triples as doc2bow."""
+    t = corpus_tokens(spark, sf)
+    vec = V.bow_vectors(t, V.build_vocab(t)).select("doc_id", F.unwrap_udt("features").alias("v"))
+    entries = F.arrays_zip(F.col("v.indices").alias("term_id"), F.col("v.values").alias("tf"))
+    ex = vec.select("doc_id", F.explode(entries).alias("e"))
+    return ex.select("doc_id", F.col("e.term_id").alias("term_id"), F.col("e.tf").cast("bigint").alias("tf"))

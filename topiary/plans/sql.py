@@ -16,6 +16,10 @@ def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def quoted(s: str) -> str:
+    return '"' + s.replace('"', '""') + '"'
+
+
 def str_list(words) -> str:
     return "[" + ", ".join(lit(w) for w in words) + "]"
 
@@ -48,6 +52,15 @@ PATHS = f"""paths AS (
          || '-some-title-' || CAST(doc_id AS VARCHAR) || '.pdf' AS path
   FROM documents)"""
 
+PAGES = f"""dpages AS (
+  SELECT page_id, url,
+         CASE WHEN page_id % 4 < 3 THEN '<a href="/book/proceedings-' || (1990 + page_id % 30) || '">book</a>' || chr(10) ELSE '' END
+      || CASE WHEN page_id % 4 < 2 THEN '<a href="/paper/' || page_id || '-some-title">paper</a>' || chr(10)
+                                     || '<a href="/paper/x-' || page_id || '">other</a>' || chr(10) ELSE '' END
+      || CASE WHEN page_id % 4 IN (0, 2) THEN '<a href="/paper/' || page_id || '-some-title.pdf">pdf</a>' || chr(10) ELSE '' END
+      || '<p>&eacute;&#233;&#x20AC;&#128512; &amp;copy; &unknown; AT&T &#0;</p>' || chr(10) || html AS html
+  FROM pages)"""
+
 DECORATED = f"""decorated AS (
   SELECT doc_id, journal, year, title, lang,
          CASE doc_id % 4
@@ -103,12 +116,23 @@ def remove_stopwords(t: str, stop: str = STOP_EN) -> str:
     return f"list_filter({t}, lambda x: x NOT IN {stop})"
 
 
+#: The languages of the test tables.
+LANGUAGES = ("en", "fr", "de", "es")
+
+
+def remove_stopwords_by_lang(t: str, lang: str = "lang") -> str:
+    """The stop list of the row's language."""
+    return (f"CASE {lang} " + " ".join(f"WHEN '{c}' THEN {remove_stopwords(t, in_list(stop_words(c)))}" for c in LANGUAGES)
+            + f" ELSE {t} END")
+
+
 def lemmatize(t: str) -> str:
     return f"list_transform({t}, lambda x: {LEMMA_CASE})"
 
 
-def unigrams(c: str) -> str:
-    return lemmatize(remove_stopwords(tokenize(c)))
+def unigrams(c: str, lang: str | None = None) -> str:
+    t = tokenize(c)
+    return lemmatize(remove_stopwords(t) if lang is None else remove_stopwords_by_lang(t, lang))
 
 
 def bigrams(u: str) -> str:
@@ -134,9 +158,9 @@ def frequent_bigrams_cte(src: str, bg_col: str, name: str, min_count: int = 5) -
 
 
 def tokens_ctes(src: str = "cleaned", min_count: int = 5) -> str:
-    """T8 over ``src``(doc_id, content): CTE ``toks``(doc_id, tokens)."""
+    """T8 over ``src``(doc_id, content, lang): CTE ``toks``(doc_id, tokens)."""
     return f"""uni AS (
-  SELECT doc_id, content, {unigrams('content')} AS u FROM {src}),
+  SELECT doc_id, content, {unigrams('content', 'lang')} AS u FROM {src}),
 bgs AS (SELECT doc_id, {bigrams('u')} AS b FROM uni),
 {frequent_bigrams_cte('bgs', 'b', 'fbg', min_count)},
 toks AS (
@@ -154,8 +178,6 @@ def word_topic(w: str, k: str | int = 10, salt: str | None = None) -> str:
     return f"(('0x' || substr(md5({src}), 1, 8))::BIGINT % {k})"
 
 
-# Stand-in texts for the topic views and coherence: T1 + T2 over documents.text.
-TEXTS = f"""texts AS (
-  SELECT doc_id, source AS journal, {YEAR} AS year, 'doc-' || CAST(doc_id AS VARCHAR) AS title,
-         {remove_stopwords(tokenize('text'))} AS tokens
-  FROM documents)"""
+# Texts for the topic views and coherence: the full T8 tokens of the cleaned corpus.
+TEXTS = f"""{PUBS}, {DECORATED}, {CLEANED}, {tokens_ctes('cleaned')},
+texts AS (SELECT p.doc_id, p.journal, p.year, p.title, t.tokens FROM pubs p JOIN toks t USING (doc_id))"""

@@ -3,8 +3,9 @@
 On a cluster the caller owns the session; ``get_session`` only fills in
 settings that are unset. Intermediate tables go under the checkpoint
 directory the cluster names (``spark.checkpoint.dir``), never under a
-machine-local temporary folder. Only when nothing is configured (tests, a
-laptop) is a private directory under /tmp created.
+machine-local temporary folder: without that setting a cluster session is
+refused, and only a ``local`` master (tests, a laptop), whose driver is its one
+executor, gets a private directory.
 """
 
 from __future__ import annotations
@@ -47,18 +48,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint directory; a private /tmp one only if unset."""
+    """The cluster's checkpoint directory; raises if a cluster names none."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="topiary-ckpt-", dir="/tmp")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="topiary-ckpt-")
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def frozen(df):
+    """The rows as written once to the checkpoint directory (reliable: it
+    survives lost executors, and later reads do not recompute)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the checkpoint directory for a written table."""
     base = checkpoint_dir(spark)

@@ -79,6 +79,22 @@ def decorated_text(doc_id, text) -> F.Column:
              .otherwise(text))
 
 
+PAGE_REFS = "<p>&eacute;&#233;&#x20AC;&#128512; &amp;copy; &unknown; AT&T &#0;</p>\n"
+
+
+def decorated_pages(pages: DataFrame) -> DataFrame:
+    """pages with what a proceedings site has: three of four hold a book link
+    with a year, some paper links and PDF links, all hold character references."""
+    d = F.col("page_id")
+    book = F.concat(F.lit('<a href="/book/proceedings-'), (F.lit(1990) + d % 30).cast("string"), F.lit('">book</a>\n'))
+    paper = F.concat(F.lit('<a href="/paper/'), d.cast("string"), F.lit('-some-title">paper</a>\n<a href="/paper/x-'),
+                     d.cast("string"), F.lit('">other</a>\n'))
+    pdf = F.concat(F.lit('<a href="/paper/'), d.cast("string"), F.lit('-some-title.pdf">pdf</a>\n'))
+    head = F.when(d % 4 == 0, F.concat(book, paper, pdf)).when(d % 4 == 1, F.concat(book, paper)) \
+            .when(d % 4 == 2, F.concat(book, pdf)).otherwise(F.lit(""))
+    return pages.select("page_id", "url", F.concat(head, F.lit(PAGE_REFS), F.col("html")).alias("html"))
+
+
 def decorated_publications(docs: DataFrame) -> DataFrame:
     """publications_raw with decorated raw content (input to C2-C8)."""
     pubs = publications_raw(docs)

@@ -28,10 +28,11 @@ def overwrite_rows(df: DataFrame, path: str) -> None:
 
 def replace_by_key(base: DataFrame, upd: DataFrame, key: str) -> DataFrame:
     """S3: replace whole rows of ``base`` whose key appears in ``upd``; keys
-    only in ``upd`` are dropped (no upsert). One left join: a single shuffle
-    (or a broadcast of ``upd`` when AQE measures it small)."""
+    only in ``upd`` are dropped (no upsert). Several updates of one key: the
+    largest row, compared column by column, wins (reduced map-side). One left
+    join: a single shuffle (or a broadcast of ``upd`` when AQE measures it small)."""
     cols = [c for c in base.columns if c != key]
-    u = upd.select(key, F.struct(*[F.col(c) for c in cols]).alias("__new"))
+    u = upd.groupBy(key).agg(F.max(F.struct(*[F.col(c) for c in cols])).alias("__new"))
     j = base.join(u, key, "left")
     hit = F.col("__new").isNotNull()
     return j.select(key, *[F.when(hit, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) for c in cols])
@@ -51,18 +52,24 @@ def has_suffix(path_col, suffix: str):
     return p.endswith(suffix)
 
 
-CSV_OPTIONS = {"header": "false", "quote": '"', "escape": '"', "lineSep": "\n"}
+# NULL is written as \N, an empty string as "" in quotes (the writer's default);
+# a text that is exactly \N would come back as NULL.
+CSV_OPTIONS = {"header": "false", "quote": '"', "escape": '"', "lineSep": "\n", "nullValue": "\\N"}
+
+
+# Rows of one CSV part file: a reading task gets whole files.
+CSV_PART_ROWS = 50_000
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Header-less CSV, '\\n' line ends, overwrite; quotes doubled."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", CSV_PART_ROWS).options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Header-less CSV with an explicit schema and unlimited field size.
-    multiLine keeps quoted line breaks inside a field (each part file is read
-    by one task; writers produce one part per partition)."""
+    multiLine keeps quoted line breaks inside a field. Spark cannot split such a
+    file, so write_csv bounds the rows of a part (``CSV_PART_ROWS``)."""
     return (spark.read.schema(schema).options(**CSV_OPTIONS)
             .option("maxCharsPerColumn", "-1").option("multiLine", "true").csv(path))
 

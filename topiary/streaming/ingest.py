@@ -12,7 +12,6 @@ The transformation is stateless (per document), so no state store grows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from topiary.functions.text import clean_fulltext
@@ -34,7 +33,7 @@ def document_stream(spark: SparkSession, directory: str, glob: str = "documents*
 def preprocess(docs: DataFrame) -> DataFrame:
     """publications_raw -> C8 clean-up -> T8 tokens (same code as batch)."""
     d = decorated_publications(docs)
-    d = general_preprocess(d.withColumn("content", clean_fulltext("content")), "content")
+    d = general_preprocess(d.withColumn("content", clean_fulltext("content")), "content", lang="lang")
     return d.select("doc_id", "journal", "year", "title", "tokens")
 
 
@@ -45,6 +44,3 @@ def start_preprocess_stream(spark: SparkSession, directory: str, out_path: str,
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start(out_path)
 
-
-def tokens_per_batch(df: DataFrame) -> DataFrame:
-    return df.select(F.size("tokens").alias("n_tokens"))
