@@ -9,9 +9,9 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from topiary.session import get_session
-    s = get_session("local[4]", 8)
+    s = get_session("local[4]", 8, extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield s
 
 

@@ -23,8 +23,42 @@ def test_doc2bow_drops_unknown(spark):
     assert [(r["doc_id"], r["term_id"], r["tf"]) for r in bow] == [(1, 0, 2)]
 
 
+def test_keep_n_binds(spark):
+    rows = [(i, [f"t{j}" for j in range(40) if i % (j + 1) == 0 or j < 3]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    every = [(r["token"], r["df"]) for r in V.build_vocab(docs, no_below=1, no_above=1.0).orderBy("term_id").collect()]
+    assert every == sorted(every, key=lambda x: (-x[1], x[0]))
+    for n in (1, 2, 5):  # ties on df at the cut are settled by the token
+        got = [(r["token"], r["df"]) for r in V.build_vocab(docs, no_below=1, no_above=1.0, keep_n=n).orderBy("term_id").collect()]
+        assert got == every[:n]
+
+
+def test_vocabulary_is_not_capped(spark):
+    n = 150_000
+    df = spark.range(n).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("token"), F.lit(7).cast("long").alias("df"))
+    out = V.assign_ids(V.prune_vocab(df, 100)).agg(F.count_distinct("term_id").alias("n"), F.max("term_id").alias("m")).first()
+    assert (out["n"], out["m"]) == (n, n - 1)
+
+
+def test_bow_vectors_refuse_a_larger_vocabulary(spark, monkeypatch):
+    import pytest
+    monkeypatch.setattr(V, "DRIVER_MAX_TERMS", 1)
+    docs = spark.createDataFrame([(1, ["x", "y"])], "doc_id long, tokens array<string>")
+    with pytest.raises(ValueError, match="2 terms"):
+        V.bow_vectors(docs, V.build_vocab(docs, no_below=1, no_above=1.0))
+
+
+def test_doc2bow_without_broadcast(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, ["x", "x", "y"]), (2, ["y"])], "doc_id long, tokens array<string>")
+    vocab = V.build_vocab(docs, no_below=1, no_above=1.0)
+    want = sorted(map(tuple, V.doc2bow(docs, vocab).collect()))
+    monkeypatch.setattr(V, "BROADCAST_MAX_TERMS", 0)
+    monkeypatch.setattr(V.broadcast_if_small, "__defaults__", (0,))
+    assert sorted(map(tuple, V.doc2bow(docs, vocab).collect())) == want
+
+
 def test_dense_index_without_cap(spark):
     df = spark.range(0, 1000).select(F.col("id").alias("df"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("token"))
-    out = V.assign_ids(df, keep_n=None).collect()
+    out = V.assign_ids(df).collect()
     assert sorted(r["term_id"] for r in out) == list(range(1000))
     assert all(r["term_id"] == 999 - r["df"] for r in out)

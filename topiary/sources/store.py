@@ -54,7 +54,8 @@ def has_suffix(path_col, suffix: str):
 
 # NULL is written as \N, an empty string as "" in quotes (the writer's default);
 # a text that is exactly \N would come back as NULL.
-CSV_OPTIONS = {"header": "false", "quote": '"', "escape": '"', "lineSep": "\n", "nullValue": "\\N"}
+CSV_OPTIONS = {"header": "false", "quote": '"', "escape": '"', "lineSep": "\n", "nullValue": "\\N",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 # Rows of one CSV part file: a reading task gets whole files.
