@@ -2,10 +2,12 @@
 
 The suffixes at the left-most S positions (the sample) are sorted first: their
 substrings are named in order, the names form a shorter text, and the same
-procedure sorts that text's suffixes. From the sample the L suffixes, then the
-S suffixes, are induced: a queue ordered by first symbol is read from the
-small (then the large) end, and each suffix read puts the suffix one to its left
-behind (before) the ones its bucket already holds.
+procedure sorts that text's suffixes. From level ``DOUBLING`` on, where the text
+is small and most names are unique, prefix doubling sorts what is still tied.
+From the sample the L suffixes, then the S suffixes, are induced: a queue
+ordered by first symbol is read from the small (then the large) end, and each
+suffix read puts the suffix one to its left behind (before) the ones its bucket
+already holds.
 
 The queue is one array with a zone per bucket and a write mark per zone; it,
 the text, the order and the prefix values are kept in files mapped into memory
@@ -29,6 +31,7 @@ import numpy as np
 CAP = 200
 IN_MEMORY = 1 << 26
 BATCH = 1 << 15
+DOUBLING = 2
 
 
 class Space:
@@ -295,28 +298,58 @@ def induce(text, s, sample, space: Space, sample_lcp=None):
 
 
 def common_prefixes(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Common symbols of the suffixes at a and b, up to CAP, four symbols a step."""
+    """Common symbols of the suffixes at a and b, up to CAP, a word of four or eight symbols a step."""
     n = len(text)
-    padded = np.concatenate([text.astype(np.uint16), np.full(CAP + 8, 0xFFFF, np.uint16)])  # nothing equals the end
-    words = np.lib.stride_tricks.as_strided(padded.view(np.uint8), shape=(n + CAP + 4, 8), strides=(2, 1))
+    size = 1 if int(text.max()) < 255 else 2
+    step = 8 // size
+    padded = np.concatenate([text, np.full(CAP + 8, 256 ** size - 1, text.dtype)]).astype(np.uint8 if size == 1 else np.uint16)
+    # the padding is no symbol of the text: nothing equals the end
+    words = np.lib.stride_tricks.as_strided(padded.view(np.uint8), shape=(n + CAP + 1, 8), strides=(size, 1))
     words = np.ascontiguousarray(words).view(np.uint64).ravel()
     out = np.zeros(len(a), dtype=np.int64)
     left = np.arange(len(a))
-    for k in range(0, CAP, 4):
+    for k in range(0, CAP, step):
         x = words[np.minimum(a[left] + k, n + CAP)] ^ words[np.minimum(b[left] + k, n + CAP)]
         more = x == 0
         stop = left[~more]
         x = x[~more]
         same = np.zeros(len(x), dtype=np.int64)
-        for c in range(1, 4):
-            same += (x & np.uint64((1 << (16 * c)) - 1)) == 0
+        for c in range(1, step):
+            same += (x & np.uint64((1 << (8 * size * c)) - 1)) == 0
         out[stop] = k + same
         left = left[more]
     out[left] = CAP
     return np.minimum(out, CAP)
 
 
-def sorted_sample(text: np.ndarray, s: np.ndarray, space: Space) -> np.ndarray:
+def doubled(rank: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of a text of dense ranks, by prefix doubling."""
+    n = len(rank)
+    start = np.concatenate([[0], np.cumsum(np.bincount(rank))])
+    left = np.flatnonzero(np.diff(start)[rank] > 1)
+    rank = np.append(start[rank], -1)  # of each place, the number of smaller ones so far; past the end: least
+    depth = 1
+    while len(left):
+        after = rank[np.minimum(left + depth, n)]
+        order = np.lexsort((after, rank[left]))
+        left, after = left[order], after[order]
+        r = rank[left]
+        place = np.arange(len(left))
+        first = np.append(True, r[1:] != r[:-1])
+        new = first.copy()
+        new[1:] |= after[1:] != after[:-1]
+        group = np.maximum.accumulate(np.where(first, place, 0))
+        subgroup = np.maximum.accumulate(np.where(new, place, 0))
+        rank[left] = r + (subgroup - group)
+        sizes = np.diff(np.append(np.flatnonzero(new), len(left)))
+        left = left[np.repeat(sizes > 1, sizes)]
+        depth *= 2
+    out = np.empty(n, dtype=np.int64)
+    out[rank[:n]] = np.arange(n)
+    return out
+
+
+def sorted_sample(text: np.ndarray, s: np.ndarray, space: Space, level: int = 1) -> np.ndarray:
     """The sample in the order of its suffixes."""
     sample = sample_places(s)
     if len(sample) < 2:
@@ -326,9 +359,11 @@ def sorted_sample(text: np.ndarray, s: np.ndarray, space: Space) -> np.ndarray:
         order = np.empty(len(sample), dtype=np.int64)
         order[names] = np.arange(len(sample))
         return sample[order]
+    if level >= DOUBLING:
+        return sample[doubled(names)]
     shorter = np.append(names + 1, 0)  # ends with its own smallest symbol
     inner = s_types(shorter)
-    order, _ = induce(shorter, inner, sorted_sample(shorter, inner, space), space)
+    order, _ = induce(shorter, inner, sorted_sample(shorter, inner, space, level + 1), space)
     return sample[np.asarray(order[1:])]
 
 

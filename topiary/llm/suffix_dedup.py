@@ -86,9 +86,17 @@ def _digest(text) -> F.Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
+#: A place is one number: first owned string, number of owned strings, anchor's offset in the first.
+_OWN, _AT = 1 << 16, 1 << 8
+
+
+def _packed(lo, own, at):
+    return lo * _OWN + own * _AT + at
+
+
 def _anchor_lists(docs: DataFrame) -> DataFrame:
-    """(d, places: hash, lo, own, at): the anchors of each text; d names the text."""
-    kind = pa.list_(pa.struct([("h", pa.int64()), ("lo", pa.int64()), ("own", pa.int32()), ("at", pa.int32())]))
+    """(d, id, places: hash, place): the anchors of each text; d names the text."""
+    kind = pa.list_(pa.struct([("h", pa.int64()), ("p", pa.int64())]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,40 +105,47 @@ def _anchor_lists(docs: DataFrame) -> DataFrame:
                 sizes = [len(p[0]) for p in parts]
                 fields = [np.concatenate([p[k] for p in parts]) for k in range(4)]
                 flat = pa.StructArray.from_arrays(
-                    [pa.array(fields[0].view(np.int64)), pa.array(fields[1], pa.int64()), pa.array(fields[2].astype(np.int32)),
-                     pa.array((fields[3] - fields[1]).astype(np.int32))], ["h", "lo", "own", "at"])
+                    [pa.array(fields[0].view(np.int64)), pa.array(_packed(fields[1], fields[2], fields[3] - fields[1]), pa.int64())], ["h", "p"])
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(first, end - first),
-                                                  pa.ListArray.from_arrays(pa.array(ends), flat).cast(kind)], ["d", "places"])
+                own = [batch.column(c).slice(first, end - first) for c in (1, 2)]
+                yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(pa.array(ends), flat).cast(kind)], ["d", "id", "places"])
+
+    long_ones = docs.filter(F.octet_length("text") >= LENGTH).select("text", "d", "id")
+    return long_ones.mapInArrow(find, "d binary, id long, places array<struct<h: long, p: long>>")
+
 
-    long_ones = docs.filter(F.octet_length("text") >= LENGTH).select("text", "d")
-    return long_ones.mapInArrow(find, "d binary, places array<struct<h: long, lo: long, own: int, at: int>>")
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, where rows become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def _pieces(texts: DataFrame) -> DataFrame:
-    """From (d, text, places): (d, lo, key, own, at, sid, bytes), one per place;
-    ``bytes`` only where this task meets the snippet first."""
-    schema = "d binary, lo long, key long, own int, at int, sid binary, bytes binary"
+    """From (d, text, places): (n, lo, key, own, at, sid, bytes), one per place;
+    n is the text's number; ``bytes`` only where this task meets the snippet first."""
+    schema = "n long, lo long, key long, own int, at int, sid binary, bytes binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
-            for d, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for n, text, places in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
-                for p in places:
-                    piece = data[p["lo"]:p["lo"] + p["own"] + LENGTH - 1]
-                    sid = hashlib.blake2b(piece, digest_size=16, key=p["h"].to_bytes(8, "big", signed=True)).digest()
+                for x in places:
+                    h, lo, own, at = x["h"], x["p"] // _OWN, x["p"] % _OWN // _AT, x["p"] % _AT
+                    piece = data[lo:lo + own + LENGTH - 1]
+                    sid = hashlib.blake2b(piece, digest_size=16, key=h.to_bytes(8, "big", signed=True)).digest()
                     fresh = sid not in seen
                     if fresh:
                         if len(seen) > 200_000:
                             seen.clear()
                         seen.add(sid)
-                    out.append((d, p["lo"], p["h"], p["own"], p["at"], sid, piece if fresh else None))
-            yield _batch(out, ("d", "lo", "key", "own", "at", "sid", "bytes"),
-                         (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))
+                    out.append((n, lo, h, own, at, sid, piece if fresh else None))
+            yield _batch(out, ("n", "lo", "key", "own", "at", "sid", "bytes"),
+                         (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))
 
-    return texts.select("d", "text", "places").mapInArrow(cut, schema)
+    return texts.select("n", "text", "places").mapInArrow(cut, schema)
 
 
 def _batch(rows: list, names, kinds) -> pa.RecordBatch:
@@ -143,7 +158,7 @@ def _split(snips: DataFrame, run: int) -> DataFrame:
     schema = "sid binary, off int, key long, own int, at int, sub binary, bytes binary, twice boolean"
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for sid, key, own, at, data, twice in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
                 for q in range((at - own + 1) // run, at // run + 1):  # strings whose anchor is run*q .. run*q+run-1 bytes in
@@ -163,9 +178,9 @@ def repeated_in_shard(pieces: list[bytes], own: list[int], twice: list[bool], li
     """For each snippet, the runs (a, b) of its owned strings that repeat within the shard."""
     sizes = np.array([len(p) for p in pieces])
     starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-    text = np.zeros(int((sizes + 1).sum()), dtype=np.uint16)
-    for p, at in zip(pieces, starts, strict=True):
-        text[at:at + len(p)] = np.frombuffer(p, dtype=np.uint8).astype(np.uint16) + 1
+    joined = np.frombuffer(b"\0".join(pieces) + b"\0", dtype=np.uint8)
+    text = joined + np.uint8(1) if joined.max() < 254 else joined.astype(np.uint16) + np.uint16(1)  # UTF-8 has no such bytes
+    text[starts + sizes] = 0
     weight = np.zeros(len(text), dtype=np.uint8)
     for at, n, t in zip(starts, own, twice, strict=True):
         weight[at:at + n] = 2 if t else 1
@@ -175,15 +190,19 @@ def repeated_in_shard(pieces: list[bytes], own: list[int], twice: list[bool], li
         total = np.bincount(group, weights=weight[order])
         marked = np.zeros(len(text) + 1, dtype=bool)
         marked[order[(total[group] >= 2) & (weight[order] > 0)]] = True
-    out = []
-    for at, n in zip(starts, own, strict=True):
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], marked[at:at + n], [False]]).astype(np.int8)))
-        out.append(list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)))
+    # owned runs are never adjacent: each has LENGTH - 1 further bytes behind it
+    edges = np.flatnonzero(marked[1:] != marked[:-1]) + 1
+    edges = np.append(0, edges) if marked[0] else edges
+    which = np.searchsorted(starts, edges[::2], side="right") - 1
+    out: list[list[tuple[int, int]]] = [[] for _ in pieces]
+    for k, a, b in zip(which.tolist(), (edges[::2] - starts[which]).tolist(), (edges[1::2] - starts[which]).tolist(), strict=True):
+        out[k].append((a, b))
     return out
 
 
 def _repeats(snips: DataFrame) -> DataFrame:
-    """(sid, a, b): runs of repeated strings of the snippets, by suffix arrays of shards."""
+    """(sid, a, b): runs of repeated strings of the snippets, by suffix arrays of
+    shards; ``snips`` are dealt by key."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
 
@@ -194,7 +213,7 @@ def _repeats(snips: DataFrame) -> DataFrame:
                 rows = [(r[1], a, b) for r, runs in zip(held, found, strict=True) for a, b in runs]
             return _batch(rows, ("sid", "a", "b"), (pa.binary(), pa.int64(), pa.int64()))
 
-        for batch in batches:
+        for batch in _slices(batches, 4096):
             for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 if size >= SHARD_BYTES and row[0] != last:
                     yield done()
@@ -204,14 +223,14 @@ def _repeats(snips: DataFrame) -> DataFrame:
                 last = row[0]
         yield done()
 
-    return snips.select("key", "sid", "bytes", "own", "twice").repartition("key").sortWithinPartitions("key") \
+    return snips.select("key", "sid", "bytes", "own", "twice").sortWithinPartitions("key") \
                 .mapInArrow(find, "sid binary, a long, b long")
 
 
 def _cut(texts: DataFrame) -> DataFrame:
     """From (d, text, runs): (d, n_removed, n_spans, kept_sha256)."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for d, text, runs in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
@@ -249,57 +268,63 @@ def suffix_dedup(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     rows = frozen(docs.select("doc_id", "id", "d", F.octet_length("text").cast("long").alias("n_bytes")))
     texts = rows.groupBy("d").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
 
+    # anchors, one list per text; a text's copies are left out from here on
     path = work_dir(spark, "anchors")
-    _anchor_lists(docs).write.parquet(path)
-    place = spark.read.parquet(path).select("d", F.explode("places").alias("p"))
-    which = F.xxhash64("d", "p.lo")
-    repeated = place.select(F.col("p.h").alias("h"), which.alias("o")).groupBy("h").agg(F.min("o").alias("a"), F.max("o").alias("b")) \
-                    .filter("a <> b").select("h")
-    kept = place.select("d", "p", F.col("p.h").alias("h")).join(repeated, "h").groupBy("d").agg(F.collect_set("p").alias("places"))
-    one = frozen(kept.join(texts.select("d", "id"), "d"))
+    _anchor_lists(docs).withColumn("n", F.monotonically_increasing_id()).write.parquet(path)
+    lists = spark.read.parquet(path)
+    extra = frozen(rows.join(texts.select("d", F.col("id").alias("first")), "d").filter("id <> first").select("d", "id").distinct())
+    few = extra.count() <= BROADCAST_IDS
+    place = lists.join(F.broadcast(extra) if few else extra, ["d", "id"], "left_anti").select("n", F.inline("places"))
+    repeated = place.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
+    kept = place.join(repeated, "h").groupBy("n").agg(F.collect_list(F.struct("h", "p")).alias("places"))
+    one = frozen(kept.join(lists.select("n", "d", "id"), "n"))
     path = work_dir(spark, "pieces")
     _pieces(_picked(docs, one)).write.parquet(path)
     pieces = spark.read.parquet(path)
 
-    which = F.xxhash64("d", "lo")
-    snips = pieces.groupBy("sid").agg(F.min("key").alias("key"), F.min("own").alias("own"), F.min("at").alias("at"),
-                                      F.max("bytes").alias("bytes"), (F.min(which) != F.max(which)).alias("twice"))
-    path = work_dir(spark, "snippets")
-    snips.write.parquet(path)
-    snips = spark.read.parquet(path)
-
-    found = []
+    # equal snippets once, dealt by anchor: one shuffle of their bytes
+    which = F.xxhash64("n", "lo")
+    once = [F.min("own").alias("own"), F.min("at").alias("at"), (F.min(which) != F.max(which)).alias("twice")]
+    kinds = frozen(pieces.groupBy("key", "sid").agg(*once))  # without their bytes
+    many = frozen(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > split).select("key"))
+    hot = not many.isEmpty()
+    plain = pieces.join(many, "key", "left_anti") if hot else pieces
+    found = [(_repeats(plain.repartition("key").groupBy("key", "sid").agg(*once, F.max("bytes").alias("bytes"))), None)]
     way = None  # (sid of a whole snippet, offset, sid of the part that stands for it)
-    left = snips
+    left = None
+    if hot:
+        bodies = pieces.filter("bytes is not null").select("sid", "bytes")
+        left = kinds.join(many, "key").join(bodies, "sid").groupBy("sid", "key", "own", "at", "twice").agg(F.max("bytes").alias("bytes"))
     for run in (16, 1):
-        many = frozen(left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > split).select("key"))
-        if many.isEmpty():
+        if not hot:
             break
-        found.append((_repeats(left.join(many, "key", "left_anti")), way))
-        parts = frozen(_split(left.join(many, "key"), run))
+        parts = frozen(_split(left, run))
         subs = parts.groupBy("sub").agg(F.min("key").alias("key"), F.min("own").alias("own"), F.min("at").alias("at"),
                                         F.max("bytes").alias("bytes"), (F.max("twice") | (F.min("sid") != F.max("sid"))).alias("twice"))
         shared = subs.groupBy("key").agg(F.min("sub").alias("x"), F.max("sub").alias("y"), F.max("twice").alias("t")) \
                      .filter("t or x <> y").select("key")
         left = frozen(subs.join(shared, "key").withColumnRenamed("sub", "sid"))
         step = parts.select("sid", "off", "sub")
-        if way is None:
-            way = step
-        else:
-            way = way.withColumnRenamed("sub", "mid").join(step.withColumnRenamed("sid", "mid").withColumnRenamed("off", "more"), "mid") \
-                     .select("sid", (F.col("off") + F.col("more")).alias("off"), "sub")
-    found.append((_repeats(left), way))
-
-    places = pieces.select("d", "lo", "sid").distinct()
+        way = step if way is None else way.withColumnRenamed("sub", "mid").join(
+            step.select(F.col("sid").alias("mid"), F.col("off").alias("more"), "sub"), "mid") \
+            .select("sid", (F.col("off") + F.col("more")).alias("off"), "sub")
+        many = frozen(left.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > split).select("key"))
+        hot = run > 1 and not many.isEmpty()
+        found.append((_repeats((left.join(many, "key", "left_anti") if hot else left).repartition("key")), way))
+        left = left.join(many, "key") if hot else None
+
+    places = pieces.select("n", "lo", "sid").distinct()
     runs = None
     for repeats, how in found:
         if how is not None:
             repeats = repeats.withColumnRenamed("sid", "sub").join(how, "sub") \
                              .select("sid", (F.col("off") + F.col("a")).alias("a"), (F.col("off") + F.col("b")).alias("b"))
         runs = repeats if runs is None else runs.unionByName(repeats)
-    at = places.join(runs, "sid").select("d", F.struct((F.col("lo") + F.col("a")).alias("a"), (F.col("lo") + F.col("b")).alias("b")).alias("r"))
-    per = at.groupBy("d").agg(F.collect_list("r").alias("runs"))
-    per = frozen(per.join(texts.filter("copies = 1"), "d"))  # copies are removed whole
+    runs = runs.groupBy("sid").agg(F.collect_list(F.struct("a", "b")).alias("runs"))  # of a snippet: as many as its strings at most
+    moved = F.transform("runs", lambda r: F.struct((r["a"] + F.col("lo")).alias("a"), (r["b"] + F.col("lo")).alias("b")))
+    per = places.join(runs, "sid").select("n", moved.alias("runs")).groupBy("n").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    alone = texts.filter("copies = 1").select("d")  # texts with copies are removed whole
+    per = frozen(per.join(lists.select("n", "d", "id"), "n").join(alone, "d", "left_semi"))
     cut = _cut(_picked(docs, per))
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     out = rows.select("doc_id", "d", "n_bytes").join(texts.select("d", "copies"), "d").join(cut, "d", "left")
