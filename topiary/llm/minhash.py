@@ -16,8 +16,9 @@ is what links reach.
 4. Pairs are never listed per bucket. Round 1 compares each member of a bucket
    with one centre. Buckets whose members still belong to several groups are
    taken up again: their members outside the bucket's main group are compared,
-   in blocks of fixed size inside tasks, with all members of other groups.
-   Round 2 confirms each one's best partners first, which unites large families
+   in blocks of fixed size inside tasks, with all members of other groups; a pair
+   is taken up in the first band it shares only, and not at all if the sizes of
+   its sets rule out the threshold. Round 2 confirms each one's best partners first, which unites large families
    cheaply; round 3 confirms every survivor that is left. So no link between
    different groups is left out, and no more pairs are written than needed.
 
@@ -47,7 +48,7 @@ BANDS, ROWS = 29, 4
 #: Survivors must reach NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 80, 100
 #: Posterior probability of a true link below which a pair is dropped.
-MISS = 1e-9
+MISS = 1e-6
 BATCH = 29  # signature values looked at per step
 BLOCK_ROWS = 2048  # members of a bucket per block
 BEST = 3  # partners confirmed per member and block in round 2
@@ -187,57 +188,135 @@ def _confirm(pairs: DataFrame) -> DataFrame:
 BROADCAST_IDS = 200_000
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, screened: bool = False) -> DataFrame:
+def _sets_of(needed: DataFrame, size: int, docs: DataFrame, n: int) -> DataFrame:
+    """(id, set) of the documents named in ``needed`` (doc_id), ``size`` of them."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    wanted = texts.join(F.broadcast(needed) if size <= BROADCAST_IDS else needed, "doc_id", "left_semi")
+    return frozen(_sets(wanted, n).groupBy("id").agg(F.min("set").alias("set")))
+
+
+#: Members of a block of the confirmation: their full sets are held together.
+BLOCK_SETS = 256
+
+
+def _confirmed(asked: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """The confirmed ones of the candidate pairs given as (q, partners): x, y.
+
+    The full sets of all members go to blocks, each set once; each query's set
+    goes to the blocks of its partners and streams past the members there. So
+    what is moved grows with members and queries, not with their pairs."""
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            new = {*batch.column(0).to_pylist(), *batch.column(1).flatten().to_pylist()} - seen
+            seen |= new
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(new), pa.int64())], ["doc_id"])
+
+    needed = frozen(asked.mapInArrow(ids, "doc_id long").distinct())
+    size = needed.count()
+    sets, blocks_ = _sets_of(needed, size, docs, n), -(-size // BLOCK_SETS) or 1
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict = {}
+            for q, partners in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for p in partners:
+                    out.setdefault((p % blocks_, q), []).append(p)
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in out], pa.int64()), pa.array([k[1] for k in out], pa.int64()),
+                                              pa.array(list(out.values()), pa.list_(pa.int64()))], ["block", "id", "partners"])
+
+    queries = asked.mapInArrow(deal, "block long, id long, partners array<long>").join(sets, "id")
+    cols = ["block", "asks", "id", "set", "partners"]
+    members = sets.withColumns({"block": F.pmod("id", F.lit(blocks_)), "asks": F.lit(False), "partners": F.lit(None).cast("array<long>")})
+    rows = members.select(cols).unionByName(queries.withColumn("asks", F.lit(True)).select(cols))
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, {}
+        for batch in batches:
+            out = []
+            for at, asks, i, s, partners in zip(*(batch.column(c) for c in cols), strict=True):
+                if block != at.as_py():
+                    block, held = at.as_py(), {}
+                own = np.frombuffer(s.as_buffer(), dtype="<u8")
+                if not asks.as_py():
+                    held[i.as_py()] = own.copy()
+                    continue
+                for p in partners.as_py():
+                    other = held[p]
+                    both = len(np.intersect1d(own, other, assume_unique=True))
+                    if DENOMINATOR * both >= NUMERATOR * (len(own) + len(other) - both):
+                        out.append((min(p, i.as_py()), max(p, i.as_py())))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], ["x", "y"])
+
+    dealt = rows.repartition("block").sortWithinPartitions("block", "asks")
+    return frozen(dealt.mapInArrow(verify, "x long, y long").distinct())
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
     """The confirmed ones of candidate pairs (x, y), x < y, each once."""
-    if not screened:
-        sig = reps.select(F.col("rep"), "sig")
-        pairs = _screen(pairs.join(sig.select(F.col("rep").alias("x"), F.col("sig").alias("sx")), "x")
-                             .join(sig.select(F.col("rep").alias("y"), F.col("sig").alias("sy")), "y"))
-    pairs = frozen(pairs)
+    sig = reps.select(F.col("rep"), "sig")
+    pairs = frozen(_screen(pairs.join(sig.select(F.col("rep").alias("x"), F.col("sig").alias("sx")), "x")
+                                .join(sig.select(F.col("rep").alias("y"), F.col("sig").alias("sy")), "y")))
     needed = frozen(pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct())
-    few = needed.count() <= BROADCAST_IDS
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    wanted = texts.join(F.broadcast(needed) if few else needed, "doc_id", "left_semi")
-    sets = frozen(_sets(wanted, n).groupBy("id").agg(F.min("set").alias("set")))
+    sets = _sets_of(needed, needed.count(), docs, n)
     both = (pairs.join(sets.select(F.col("id").alias("y"), F.col("set").alias("b")), "y")
                  .join(sets.select(F.col("id").alias("x"), F.col("set").alias("a")), "x"))
     return frozen(_confirm(both))
 
 
+#: Links to a task while groups are found.
+TASK_LINKS = 20_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id each linked id reaches, by alternating
-    large-star and small-star steps (logarithmic in practice)."""
+    large-star and small-star steps (logarithmic in practice). Partitions follow
+    the number of links, which is far below that of documents."""
+    def state(e: DataFrame) -> tuple:
+        both = F.xxhash64("u", "v")
+        return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(both), F.bit_xor(F.xxhash64(both))).first())
+
     edges = frozen(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).filter("u <> v").distinct())
+    was = state(edges)
+    parts = -(-was[0] // TASK_LINKS) or 1  # the steps never add links
+    side = F.broadcast if was[0] <= BROADCAST_IDS else (lambda x: x)
+    edges = edges.coalesce(parts)
     while True:
         ways = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = ways.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = ways.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = ways.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = ways.join(side(least), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (large.join(side(least), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        small = frozen(small)
-        same = (small.count() == edges.count() and small.join(edges, ["u", "v"], "left_anti").isEmpty())
-        edges = small
-        if same:
+        edges = frozen(small.coalesce(parts))
+        now = state(edges)
+        if now == was:
             return edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id")
+        was = now
 
 
 def _compared(rows: DataFrame, best: int | None) -> DataFrame:
-    """Surviving pairs of each (bucket, block, qblock): its queries against its
-    members of other groups; at most ``best`` partners of a query if given."""
+    """(q, partners): surviving pairs of each (bucket, block, qblock), its queries
+    against its members of other groups; at most ``best`` partners of a query if given."""
     width = BANDS * ROWS
 
-    def group(ids, groups, asks, sigs):
+    def group(ids, groups, asks, sigs, sizes, band):
         out = []
         members = np.flatnonzero(~asks)
-        m = sigs[members]
+        m, n, of, name = sigs[members], sizes[members], groups[members], ids[members]
         for q in np.flatnonzero(asks):
-            others = np.flatnonzero(groups[members] != groups[q])
+            # another group, and sizes that allow the threshold
+            fits = ((of != groups[q]) & (DENOMINATOR * np.minimum(n, sizes[q]) >= NUMERATOR * np.maximum(n, sizes[q])))
+            others = np.flatnonzero(fits)
+            if band and len(others):  # pairs that met in an earlier band were taken up there
+                before = (m[others, :band * ROWS] == sigs[q, :band * ROWS]).reshape(len(others), band, ROWS)
+                others = others[~before.all(axis=2).any(axis=1)]
             agree = survivors(np.broadcast_to(sigs[q], (len(others), width)), m[others])
             found = np.flatnonzero(agree >= 0)
             if best is not None and len(found) > best:
                 found = found[np.argsort(-agree[found], kind="stable")[:best]]
-            out += [(min(ids[q], p), max(ids[q], p)) for p in ids[members[others[found]]].tolist()]
+            if len(found):
+                out.append((ids[q], name[others[found]].tolist()))
         return out
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,8 +327,8 @@ def _compared(rows: DataFrame, best: int | None) -> DataFrame:
                 return []
             whole = pa.Table.from_batches(held)
             sigs = np.frombuffer(b"".join(whole.column("sig").to_pylist()), dtype="<u2").reshape(-1, width)
-            return group(whole.column("rep").to_numpy(), whole.column("component").to_numpy(),
-                         whole.column("asks").to_numpy(), sigs)
+            return group(*(whole.column(c).to_numpy() for c in ("rep", "component", "asks")), sigs,
+                         whole.column("n_shingles").to_numpy(), whole.column("band")[0].as_py())
 
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy() for c in ("bucket", "block", "qblock")], axis=1)
@@ -263,13 +342,16 @@ def _compared(rows: DataFrame, best: int | None) -> DataFrame:
                     held = []
                 key = tuple(keys[a])
                 held.append(batch.slice(a, b - a))
-            yield pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in pairs], pa.int64()) for k in (0, 1)], ["x", "y"])
-        pairs = done()
-        yield pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in pairs], pa.int64()) for k in (0, 1)], ["x", "y"])
+            yield made(pairs)
+        yield made(done())
+
+    def made(pairs):
+        return pa.RecordBatch.from_arrays([pa.array([int(p[0]) for p in pairs], pa.int64()),
+                                           pa.array([p[1] for p in pairs], pa.list_(pa.int64()))], ["q", "partners"])
 
-    cols = ["bucket", "block", "qblock", "rep", "component", "asks", "sig"]
+    cols = ["bucket", "block", "qblock", "band", "rep", "component", "asks", "n_shingles", "sig"]
     return (rows.select(*cols).repartition("bucket", "block", "qblock").sortWithinPartitions("bucket", "block", "qblock")
-                .mapInArrow(compared, "x long, y long").distinct())
+                .mapInArrow(compared, "q long, partners array<long>"))
 
 
 def _open_rows(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
@@ -284,14 +366,14 @@ def _open_rows(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFr
     main = main.select("bucket", F.col("main.component").alias("most"),
                        F.ceil(F.col("n") / BLOCK_ROWS).alias("m_blocks"),
                        F.ceil((F.col("n") - F.col("main.k")) / BLOCK_ROWS).alias("q_blocks"))
-    rows = at.drop("n", "center").join(main, "bucket").join(reps.select("rep", "sig"), "rep")
+    rows = at.drop("n", "center").join(main, "bucket").join(reps.select("rep", "n_shingles", "sig"), "rep")
     spread = F.xxhash64("rep", F.lit(7))
     every = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     members_ = rows.withColumn("block", F.pmod(spread, F.col("m_blocks"))) \
                    .withColumn("qblock", F.explode(every(F.col("q_blocks")))).withColumn("asks", F.lit(False))
     queries_ = rows.filter("component <> most").withColumn("qblock", F.pmod(spread, F.col("q_blocks"))) \
                    .withColumn("block", F.explode(every(F.col("m_blocks")))).withColumn("asks", F.lit(True))
-    cols = ["bucket", "block", "qblock", "rep", "component", "asks", "sig"]
+    cols = ["bucket", "block", "qblock", "band", "rep", "component", "asks", "n_shingles", "sig"]
     return members_.select(*cols).unionByName(queries_.select(*cols))
 
 
@@ -299,9 +381,9 @@ def near_groups(docs: DataFrame, n: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     rows = frozen(_sketch(docs, n))
     known = rows.filter("key is not null and doc_id is not null")
-    reps = frozen(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig"),
-                                           F.any_value("bands").alias("bands")))
-    buckets = reps.select("rep", F.explode("bands").alias("bucket"))
+    reps = frozen(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n_shingles"),
+                                           F.any_value("sig").alias("sig"), F.any_value("bands").alias("bands")))
+    buckets = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
     centers = buckets.groupBy("bucket").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = frozen(buckets.join(centers, "bucket"))
     star = members.filter("rep <> center").select(F.col("center").alias("x"), F.col("rep").alias("y")).distinct()
@@ -312,10 +394,10 @@ def near_groups(docs: DataFrame, n: int = 5) -> DataFrame:
     links = frozen(links.unionByName(of.join(several, "doc_id").filter("rep > x").select("x", F.col("rep").alias("y"))))
     labels = frozen(components(links))
     for best in (BEST, None):
-        more = frozen(_compared(_open_rows(members, labels, reps), best))
-        if more.isEmpty():
+        asked = frozen(_compared(_open_rows(members, labels, reps), best))
+        if asked.isEmpty():
             break
-        links = links.unionByName(_linked(more, docs, reps, n, screened=True))
+        links = links.unionByName(_confirmed(asked, docs, n))
         labels = frozen(components(links))
     named = rows.join(reps.select("key", "rep"), "key", "left").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
