@@ -31,7 +31,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_words long"
 @pytest.fixture(scope="session")
 def awkward(spark):
     df = spark.createDataFrame([*AWKWARD, (7, "word " * 60_000, "en", "s", 1)], SCHEMA)
-    return df.withColumnsRenamed({}).selectExpr("*", "'x' AS kept", "0 AS shard", "1.0 AS score", "'y' AS d", "1L AS id", "2L AS n")
+    return df.selectExpr("*", "'x' AS kept", "0 AS shard", "1.0 AS score", "'y' AS d", "1L AS id", "2L AS n")
 
 
 @pytest.fixture(scope="session")

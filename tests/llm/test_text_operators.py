@@ -61,6 +61,14 @@ def test_entropy_spans():
     assert hot <= token_only
 
 
+def test_secret_scan_is_linear():
+    import time
+    began = time.monotonic()
+    for text in ("a" * 300_000 + "B!", "deadbeef" * 20_000 + "X", "ab1" * 80_000 + "!", "token" * 50_000):
+        secrets.scan_text(text)
+    assert time.monotonic() - began < 20
+
+
 def test_secrets_awkward(awkward, empty):
     assert secrets.scan(awkward).count() == awkward.count() and secrets.scan(empty).count() == 0
 
