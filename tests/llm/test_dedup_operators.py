@@ -36,6 +36,25 @@ def test_minhash_groups(spark, n, seed):
     assert got == want
 
 
+def test_minhash_repeated_ids_with_different_texts(spark):
+    r = random.Random(11)
+    text = lambda: [f"w{r.randrange(10**6)}" for _ in range(60)]
+    near = lambda t: " ".join([*t[:-1], "other"])
+    rows, want = [], {}
+    for k in range(6):  # either text's set may come first; each is near another document
+        a, b, at = text(), text(), 100 + 10 * k
+        rows += [(at + 5, " ".join(a)), (at + 5, " ".join(b)), (at + 9, near(b)), (at + 7, near(a))]
+        want |= dict.fromkeys((at + 5, at + 7, at + 9), at + 5)
+    a, b, c = text(), text(), text()
+    rows += [(3, " ".join(a)), (8, " ".join(a).upper()), (8, " ".join(b)), (8, " ".join(c)), (9, near(b)), (6, near(c)), (8, ""), (50, near(text()))]
+    want |= dict.fromkeys((3, 6, 8, 9), 3) | {50: 50}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(x["doc_id"], x["component_id"]) for x in minhash.near_groups(df, 5).filter("n_shingles > 0").collect()]
+    assert len(got) == len(rows) - 1 and {i: c for i, c in got} == want and set(got) == set(want.items())
+    left = [x["doc_id"] for x in minhash.near_dedup(df.filter("text <> ''")).collect()]
+    assert sorted(left) == sorted(set(want.values()))
+
+
 def test_screen_bounds_and_blocks(monkeypatch):
     assert minhash.BOUNDS == sorted(minhash.BOUNDS) and minhash.BOUNDS[-1] < minhash.BANDS * minhash.ROWS * 0.8
     a = np.zeros((2, minhash.BANDS * minhash.ROWS), dtype=np.uint16)

@@ -4,8 +4,9 @@ A document's set is its distinct shingles of ``n`` words. Two documents are
 linked when the Jaccard similarity of their full sets is at least 4/5; a group
 is what links reach.
 
-1. Documents with equal sets become one representative (the smallest doc_id);
-   copies never enter the candidate search, however many there are.
+1. Documents with equal sets become one representative (the smallest doc_id, or
+   a number above all of them where that id has several sets); copies never
+   enter the candidate search, however many there are.
 2. Representatives get MinHash signatures of BANDS x ROWS values. Those that
    agree on a whole band are candidates; a pair at similarity 0.8 is missed by
    all bands with probability (1 - 0.8**ROWS)**BANDS, about 2e-7.
@@ -28,7 +29,7 @@ Groups are found by alternating minimum propagation over the confirmed links
 Defined cases: NULL and empty texts have an empty set and are linked with
 nothing; texts with fewer than ``n`` words have one shingle, the whole
 sequence; rows that share a doc_id are one document for the grouping (their
-texts' groups unite through it); rows without a doc_id stand alone and stay; an
+texts' groups unite through it, each text being compared by its own set); rows without a doc_id stand alone and stay; an
 empty table gives an empty result; only ``doc_id`` and ``text`` are read.
 """
 
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topiary.llm.common import frozen
+from topiary.llm.common import dense_rank_all, frozen
 from topiary.llm.textbytes import NON_SPACE, Words, blocks, mixed, shingles
 
 BANDS, ROWS = 29, 4
@@ -56,6 +57,13 @@ BEST = 3  # partners confirmed per member and block in round 2
 _SALT = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
+def set_key(s: np.ndarray) -> bytes:
+    """128 bits that name a set of shingles."""
+    scattered = mixed(s ^ np.uint64(len(s)))
+    return (int(scattered.sum(dtype=np.uint64)).to_bytes(8, "big")
+            + int(np.bitwise_xor.reduce(mixed(scattered))).to_bytes(8, "big"))
+
+
 def doc_shingles(w: Words, n: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each row of the block."""
     runs = shingles(w.hash, n)
@@ -133,9 +141,7 @@ def _sketch(docs: DataFrame, n: int) -> DataFrame:
                         sig.append(None)
                         bands.append(None)
                         continue
-                    scattered = mixed(s ^ np.uint64(len(s)))
-                    key.append(int(scattered.sum(dtype=np.uint64)).to_bytes(8, "big")
-                               + int(np.bitwise_xor.reduce(mixed(scattered))).to_bytes(8, "big"))
+                    key.append(set_key(s))
                     least = minima(s)
                     sig.append((mixed(least) & np.uint64(0xFFFF)).astype("<u2").tobytes())
                     bands.append(band_keys(least).view(np.int64))
@@ -148,16 +154,18 @@ def _sketch(docs: DataFrame, n: int) -> DataFrame:
         sketch, "doc_id long, n_shingles long, key binary, sig binary, bands array<long>")
 
 
-def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """(id, set): the shingle hashes of each document, as bytes."""
+def _sets(docs: DataFrame, n: int, keyed: bool = False) -> DataFrame:
+    """(id, set): the shingle hashes of each document, as bytes; ``keyed`` adds the set's key."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in blocks(batch.column(1)):
-                found = [s.astype("<u8").tobytes() for s in doc_shingles(Words(data, offsets, NON_SPACE), n)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, end - first), pa.array(found, pa.binary())], ["id", "set"])
+                found = doc_shingles(Words(data, offsets, NON_SPACE), n)
+                columns = [batch.column(0).slice(first, end - first), pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())]
+                if keyed:
+                    columns.append(pa.array([set_key(s) for s in found], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["id", "set", "key"][:len(columns)])
 
-    return docs.mapInArrow(sets, "id long, set binary")
+    return docs.mapInArrow(sets, "id long, set binary" + (", key binary" if keyed else ""))
 
 
 def _screen(pairs: DataFrame) -> DataFrame:
@@ -188,18 +196,31 @@ def _confirm(pairs: DataFrame) -> DataFrame:
 BROADCAST_IDS = 200_000
 
 
-def _sets_of(needed: DataFrame, size: int, docs: DataFrame, n: int) -> DataFrame:
-    """(id, set) of the documents named in ``needed`` (doc_id), ``size`` of them."""
+def _sets_of(needed: DataFrame, size: int, docs: DataFrame, n: int, extra: DataFrame | None) -> DataFrame:
+    """(id, set) of the representatives named in ``needed`` (rep), ``size`` of them.
+
+    A representative is a doc_id with one set only, or one of ``extra`` (rep,
+    doc_id, key): a number for one set of a doc_id that has several."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    wanted = texts.join(F.broadcast(needed) if size <= BROADCAST_IDS else needed, "doc_id", "left_semi")
-    return frozen(_sets(wanted, n).groupBy("id").agg(F.min("set").alias("set")))
+    side = F.broadcast if size <= BROADCAST_IDS else (lambda x: x)
+    ids = needed.select(F.col("rep").alias("doc_id"))
+    own = None
+    if extra is not None:
+        own = frozen(extra.join(needed, "rep", "left_semi"))
+        ids = ids.join(own.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
+    sets = _sets(texts.join(side(ids), "doc_id", "left_semi"), n)
+    if own is not None:
+        several = _sets(texts.join(side(own.select("doc_id").distinct()), "doc_id", "left_semi"), n, keyed=True)
+        named = several.withColumnRenamed("id", "doc_id").join(own, ["doc_id", "key"])
+        sets = sets.unionByName(named.select(F.col("rep").alias("id"), "set"))
+    return frozen(sets.groupBy("id").agg(F.min("set").alias("set")))
 
 
 #: Members of a block of the confirmation: their full sets are held together.
 BLOCK_SETS = 256
 
 
-def _confirmed(asked: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+def _confirmed(asked: DataFrame, docs: DataFrame, n: int, extra: DataFrame | None) -> DataFrame:
     """The confirmed ones of the candidate pairs given as (q, partners): x, y.
 
     The full sets of all members go to blocks, each set once; each query's set
@@ -210,11 +231,11 @@ def _confirmed(asked: DataFrame, docs: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             new = {*batch.column(0).to_pylist(), *batch.column(1).flatten().to_pylist()} - seen
             seen |= new
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(new), pa.int64())], ["doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(new), pa.int64())], ["rep"])
 
-    needed = frozen(asked.mapInArrow(ids, "doc_id long").distinct())
+    needed = frozen(asked.mapInArrow(ids, "rep long").distinct())
     size = needed.count()
-    sets, blocks_ = _sets_of(needed, size, docs, n), -(-size // BLOCK_SETS) or 1
+    sets, blocks_ = _sets_of(needed, size, docs, n, extra), -(-size // BLOCK_SETS) or 1
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,13 +273,13 @@ def _confirmed(asked: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     return frozen(dealt.mapInArrow(verify, "x long, y long").distinct())
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, extra: DataFrame | None) -> DataFrame:
     """The confirmed ones of candidate pairs (x, y), x < y, each once."""
     sig = reps.select(F.col("rep"), "sig")
     pairs = frozen(_screen(pairs.join(sig.select(F.col("rep").alias("x"), F.col("sig").alias("sx")), "x")
                                 .join(sig.select(F.col("rep").alias("y"), F.col("sig").alias("sy")), "y")))
-    needed = frozen(pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct())
-    sets = _sets_of(needed, needed.count(), docs, n)
+    needed = frozen(pairs.select(F.explode(F.array("x", "y")).alias("rep")).distinct())
+    sets = _sets_of(needed, needed.count(), docs, n, extra)
     both = (pairs.join(sets.select(F.col("id").alias("y"), F.col("set").alias("b")), "y")
                  .join(sets.select(F.col("id").alias("x"), F.col("set").alias("a")), "x"))
     return frozen(_confirm(both))
@@ -377,27 +398,46 @@ def _open_rows(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFr
     return members_.select(*cols).unionByName(queries_.select(*cols))
 
 
+def _numbered(known: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """``reps`` with ``rep``; the sets (rep, doc_id, key) that got a number of
+    their own, and the links of doc_ids with their sets, both None if no doc_id
+    has several sets. The numbers lie above all doc_ids, and each is linked with
+    its doc_id, so a group's least id is always a doc_id."""
+    several = frozen(known.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a < b").select("doc_id"))
+    size = several.count()
+    if not size:
+        return reps.withColumnRenamed("doc_id", "rep"), None, None
+    side = F.broadcast if size <= BROADCAST_IDS else (lambda x: x)
+    apart = reps.select("key", "doc_id").join(side(several), "doc_id", "left_semi")
+    top = known.agg(F.max("doc_id")).first()[0]
+    extra = frozen(dense_rank_all(apart, ["key"], "number").select("key", "doc_id", (F.col("number") + F.lit(top) + 1).alias("rep")))
+    if top + extra.count() >= 1 << 63:
+        raise ValueError("no room above the largest doc_id to number the sets of repeated doc_ids")
+    reps = frozen(reps.join(extra.select("key", "rep"), "key", "left").withColumn("rep", F.coalesce("rep", "doc_id")).drop("doc_id"))
+    pairs = known.select("doc_id", "key").join(side(several), "doc_id", "left_semi").distinct()
+    return reps, extra, frozen(pairs.join(reps.select("key", "rep"), "key").select(F.col("doc_id").alias("x"), F.col("rep").alias("y")))
+
+
 def near_groups(docs: DataFrame, n: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     rows = frozen(_sketch(docs, n))
     known = rows.filter("key is not null and doc_id is not null")
-    reps = frozen(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n_shingles"),
+    reps = frozen(known.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n_shingles"),
                                            F.any_value("sig").alias("sig"), F.any_value("bands").alias("bands")))
+    reps, extra, same = _numbered(known, reps)
     buckets = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
     centers = buckets.groupBy("bucket").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = frozen(buckets.join(centers, "bucket"))
     star = members.filter("rep <> center").select(F.col("center").alias("x"), F.col("rep").alias("y")).distinct()
-    links = _linked(star, docs, reps, n)
-    # rows that share a doc_id are one document
-    of = known.join(reps.select("key", "rep"), "key").select("doc_id", "rep")
-    several = of.groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x < y").select("doc_id", "x")
-    links = frozen(links.unionByName(of.join(several, "doc_id").filter("rep > x").select("x", F.col("rep").alias("y"))))
+    links = _linked(star, docs, reps, n, extra)
+    if same is not None:  # rows that share a doc_id are one document
+        links = links.unionByName(same)
     labels = frozen(components(links))
     for best in (BEST, None):
         asked = frozen(_compared(_open_rows(members, labels, reps), best))
         if asked.isEmpty():
             break
-        links = links.unionByName(_confirmed(asked, docs, n))
+        links = links.unionByName(_confirmed(asked, docs, n, extra))
         labels = frozen(components(links))
     named = rows.join(reps.select("key", "rep"), "key", "left").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
