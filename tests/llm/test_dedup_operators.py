@@ -63,6 +63,24 @@ def test_screen_bounds_and_blocks(monkeypatch):
     assert minhash.survivors(a, b).tolist() == [minhash.BANDS * minhash.ROWS, -1]
 
 
+def test_prune_rate():
+    assert minhash.prune_rate(0.8, minhash.BOUNDS) < 1e-6
+
+
+def test_pairs_that_agree_only_by_truncation_are_compared(spark):
+    width = minhash.BANDS * minhash.ROWS
+    base = np.arange(width, dtype="<u2")
+    other = base.copy()
+    other[4:20] = 7  # band 0 agrees in all 16-bit values, though the buckets differ
+    rows = [(5, 0, 0, rep, rep, asks, 100, bytearray(sig.tobytes()), [rep])
+            for rep, asks, sig in ((1, False, base), (2, False, other), (2, True, other))]
+    df = spark.createDataFrame(rows, "bucket long, block long, qblock long, rep long, component long, asks boolean, "
+                                     "n_shingles long, sig binary, earlier array<long>").withColumn("band", F.lit(1))
+    assert [(r["q"], r["partners"]) for r in minhash._compared(df, None).collect()] == [(2, [1])]
+    met = df.withColumn("earlier", F.array(F.lit(3).cast("long")))
+    assert minhash._compared(met, None).collect() == []
+
+
 def test_near_dedup_awkward(spark, awkward, empty):
     kept = minhash.near_dedup(awkward).collect()
     ids = [r["doc_id"] for r in kept]

@@ -13,12 +13,13 @@ is what links reach.
 3. Candidates are verified sequentially: after each batch of signature values
    the posterior probability (uniform prior) that the similarity reaches the
    threshold is bounded, and the pair is dropped as soon as it falls below
-   MISS. Survivors are confirmed on their full sets.
+   MISS. With the bounds that follow, a pair at similarity 0.8 is dropped with
+   probability 8.7e-7 (``prune_rate``). Survivors are confirmed on their full sets.
 4. Pairs are never listed per bucket. Round 1 compares each member of a bucket
    with one centre. Buckets whose members still belong to several groups are
    taken up again: their members outside the bucket's main group are compared,
    in blocks of fixed size inside tasks, with all members of other groups; a pair
-   is taken up in the first band it shares only, and not at all if the sizes of
+   is taken up in the first band it shares only (by the 64-bit band keys that make the buckets), and not at all if the sizes of
    its sets rule out the threshold. Round 2 confirms each one's best partners first, which unites large families
    cheaply; round 3 confirms every survivor that is left. So no link between
    different groups is left out, and no more pairs are written than needed.
@@ -35,6 +36,7 @@ empty table gives an empty result; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,8 +50,9 @@ from topiary.llm.textbytes import NON_SPACE, Words, blocks, mixed, shingles
 BANDS, ROWS = 29, 4
 #: Survivors must reach NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 80, 100
-#: Posterior probability of a true link below which a pair is dropped.
-MISS = 1e-6
+#: Posterior probability of a true link below which a pair is dropped; what it
+#: costs a pair at the threshold is ``prune_rate``, which is to stay below 1e-6.
+MISS = 2e-7
 BATCH = 29  # signature values looked at per step
 BLOCK_ROWS = 2048  # members of a bucket per block
 BEST = 3  # partners confirmed per member and block in round 2
@@ -114,6 +117,17 @@ def posterior_bounds(threshold: float, miss: float) -> list[int]:
 BOUNDS = posterior_bounds(NUMERATOR / DENOMINATOR, MISS)
 
 
+def prune_rate(similarity: float, bounds: list[int]) -> float:
+    """Probability that a pair of that similarity is dropped by the bounds."""
+    step = np.array([math.comb(BATCH, k) * similarity ** k * (1 - similarity) ** (BATCH - k) for k in range(BATCH + 1)])
+    agree, lost = np.ones(1), 0.0
+    for least in bounds:
+        agree = np.convolve(agree, step)
+        lost += agree[:least].sum()
+        agree[:least] = 0
+    return float(lost)
+
+
 def survivors(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Agreements of rows of ``a`` and ``b`` (signatures), -1 once pruned."""
     agree = np.zeros(len(a), dtype=np.int32)
@@ -285,6 +299,18 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, extra: D
     return frozen(_confirm(both))
 
 
+def met_before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which rows of ``a`` share a bucket with ``b``: bucket ids of the same earlier bands."""
+    return (a == b).any(axis=1)
+
+
+def _matrix(lists: pa.ListArray) -> np.ndarray:
+    """The lists as rows, cut to the shortest (they differ only if buckets of two bands got one id)."""
+    ends = np.cumsum(lists.value_lengths().to_numpy())
+    size = int(np.diff(ends, prepend=0).min())
+    return lists.flatten().to_numpy()[np.concatenate([[0], ends[:-1]])[:, None] + np.arange(size)]
+
+
 #: Links to a task while groups are found.
 TASK_LINKS = 20_000
 
@@ -321,17 +347,15 @@ def _compared(rows: DataFrame, best: int | None) -> DataFrame:
     against its members of other groups; at most ``best`` partners of a query if given."""
     width = BANDS * ROWS
 
-    def group(ids, groups, asks, sigs, sizes, band):
+    def group(ids, groups, asks, sigs, sizes, earlier):
         out = []
         members = np.flatnonzero(~asks)
-        m, n, of, name = sigs[members], sizes[members], groups[members], ids[members]
+        m, n, of, name, met = sigs[members], sizes[members], groups[members], ids[members], earlier[members]
         for q in np.flatnonzero(asks):
             # another group, and sizes that allow the threshold
             fits = ((of != groups[q]) & (DENOMINATOR * np.minimum(n, sizes[q]) >= NUMERATOR * np.maximum(n, sizes[q])))
             others = np.flatnonzero(fits)
-            if band and len(others):  # pairs that met in an earlier band were taken up there
-                before = (m[others, :band * ROWS] == sigs[q, :band * ROWS]).reshape(len(others), band, ROWS)
-                others = others[~before.all(axis=2).any(axis=1)]
+            others = others[~met_before(met[others], earlier[q])]  # those pairs were taken up there
             agree = survivors(np.broadcast_to(sigs[q], (len(others), width)), m[others])
             found = np.flatnonzero(agree >= 0)
             if best is not None and len(found) > best:
@@ -349,7 +373,7 @@ def _compared(rows: DataFrame, best: int | None) -> DataFrame:
             whole = pa.Table.from_batches(held)
             sigs = np.frombuffer(b"".join(whole.column("sig").to_pylist()), dtype="<u2").reshape(-1, width)
             return group(*(whole.column(c).to_numpy() for c in ("rep", "component", "asks")), sigs,
-                         whole.column("n_shingles").to_numpy(), whole.column("band")[0].as_py())
+                         whole.column("n_shingles").to_numpy(), _matrix(whole.column("earlier").combine_chunks()))
 
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy() for c in ("bucket", "block", "qblock")], axis=1)
@@ -370,7 +394,7 @@ def _compared(rows: DataFrame, best: int | None) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([int(p[0]) for p in pairs], pa.int64()),
                                            pa.array([p[1] for p in pairs], pa.list_(pa.int64()))], ["q", "partners"])
 
-    cols = ["bucket", "block", "qblock", "band", "rep", "component", "asks", "n_shingles", "sig"]
+    cols = ["bucket", "block", "qblock", "rep", "component", "asks", "n_shingles", "sig", "earlier"]
     return (rows.select(*cols).repartition("bucket", "block", "qblock").sortWithinPartitions("bucket", "block", "qblock")
                 .mapInArrow(compared, "q long, partners array<long>"))
 
@@ -387,14 +411,15 @@ def _open_rows(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFr
     main = main.select("bucket", F.col("main.component").alias("most"),
                        F.ceil(F.col("n") / BLOCK_ROWS).alias("m_blocks"),
                        F.ceil((F.col("n") - F.col("main.k")) / BLOCK_ROWS).alias("q_blocks"))
-    rows = at.drop("n", "center").join(main, "bucket").join(reps.select("rep", "n_shingles", "sig"), "rep")
+    rows = at.drop("n", "center").join(main, "bucket").join(reps.select("rep", "n_shingles", "sig", "bands"), "rep") \
+             .withColumn("earlier", F.slice("bands", F.lit(1), F.col("band"))).drop("bands")
     spread = F.xxhash64("rep", F.lit(7))
     every = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     members_ = rows.withColumn("block", F.pmod(spread, F.col("m_blocks"))) \
                    .withColumn("qblock", F.explode(every(F.col("q_blocks")))).withColumn("asks", F.lit(False))
     queries_ = rows.filter("component <> most").withColumn("qblock", F.pmod(spread, F.col("q_blocks"))) \
                    .withColumn("block", F.explode(every(F.col("m_blocks")))).withColumn("asks", F.lit(True))
-    cols = ["bucket", "block", "qblock", "band", "rep", "component", "asks", "n_shingles", "sig"]
+    cols = ["bucket", "block", "qblock", "rep", "component", "asks", "n_shingles", "sig", "earlier"]
     return members_.select(*cols).unionByName(queries_.select(*cols))
 
 
