@@ -1,6 +1,7 @@
 """Decontamination, secrets, token counts, chat, toxicity: brute force and round trips."""
 import hashlib
 import json
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -26,6 +27,30 @@ def test_decontaminate_brute_force(spark, block_bytes):
         assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) == want
 
 
+def test_decontaminate_blocks_are_bounded_by_windows(spark, monkeypatch):
+    r = random.Random(5)
+    items = [(i, " ".join(f"w{r.randrange(400)}" for _ in range(40))) for i in range(60)] + [(i, "tail " * 14) for i in range(60)]
+    docs = [(i, "pre " + t + " post") for i, t in items[::7]] + [(900, "clean text"), (901, None)]
+    sizes, made = [], decontaminate.Index.__init__
+
+    def init(self, rows, *more):
+        made(self, rows, *more)
+        sizes.append((len(rows), len(self.length)))
+
+    monkeypatch.setattr(decontaminate.Index, "__init__", init)
+    limit = 40_000
+    got = decontaminate.find(spark.createDataFrame(docs, "doc_id long, text string"),
+                             spark.createDataFrame(items, "item_id long, text string"), block_bytes=limit).collect()
+    want = decontaminate.brute_force(docs, items)
+    key = lambda r: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"])
+    assert sorted((r["doc_id"], key(r)) for r in got if r["doc_id"] >= 900) == [(900, want[900]), (901, want[901])]
+    by = [decontaminate.brute_force([(0, t)], items)[0] for _, t in docs]
+    assert sorted(map(key, got)) == sorted(by)
+    # 60 items of 28 windows, and one window that all 60 hold: dealt by what they hold, not by 9 bytes a word
+    assert len(sizes) > 5 and sum(n for n, _ in sizes) == 60 * 28 + 60
+    assert max(n for n, _ in sizes) * (decontaminate.ROW_BYTES + 100) < 2 * limit
+
+
 def test_decontaminate_empty(spark, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find(empty, none).count() == 0

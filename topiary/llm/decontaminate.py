@@ -9,8 +9,10 @@ the window gives the start; positional and length bounds drop starts for which
 the window does not fit into the document, and exact comparison of the words
 over the item-sized window decides.
 
-Documents stay where they are: the benchmark is the query set. Its index is
-broadcast in blocks of at most ``block_bytes`` of item text; a larger benchmark
+Documents stay where they are: the benchmark is the query set. Its distinct
+(window, item) rows are made by the executors, counted with what an index holds
+of each, and dealt into blocks of about ``block_bytes`` of that. The driver sees
+one block at a time, as arrays, and broadcasts its index; a larger benchmark
 takes one pass per block, whose marks are united per document.
 
 Defined cases: NULL or empty texts have no words and are clean; items without
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +38,12 @@ from topiary.llm.textbytes import ALNUM, Words, blocks, shingles
 
 WIDTH = 13
 SHINGLE = 3
-#: Item text per broadcast block.
+#: What the windows of a broadcast block hold: words, tokens, item ids.
 BLOCK_BYTES = 32 << 20
+#: Of each window, besides its words, tokens and item id (lengths, places, offsets).
+ROW_BYTES = 64
+#: Windows per Arrow batch while they are made.
+BATCH_WINDOWS = 8192
 
 
 def tokens(w: Words) -> np.ndarray:
@@ -52,47 +59,88 @@ def tokens(w: Words) -> np.ndarray:
     return out
 
 
+def windows(items: DataFrame, width: int) -> DataFrame:
+    """(words, size, tokens, item_id), distinct, of the rows (item_id, text). ``words``
+    are joined by a blank, ``tokens`` the hashes of the window's shingles, in order; a
+    window of fewer than SHINGLE words is held by longer runs, so it has its words' hashes."""
+    def made(words, sizes, tokens_, ids):
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tokens_, pa.binary()),
+                                           pa.array(ids, pa.string())], ["words", "size", "tokens", "item_id"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: tuple = ([], [], [], [])
+            for first, _, data, offsets in blocks(batch.column(1)):
+                w = Words(data, offsets, ALNUM)
+                runs = shingles(w.hash, SHINGLE)
+                for row in range(len(offsets) - 1):
+                    a, b = int(w.first[row]), int(w.first[row + 1])
+                    size = min(width, b - a)
+                    if not size:
+                        continue
+                    item, inner = batch.column(0)[first + row].as_py(), size >= SHINGLE
+                    text = w.text(a, b)
+                    own = (runs if inner else w.hash)[a:b].astype("<u8").tobytes()
+                    held = 8 * (size - SHINGLE + 1 if inner else size)
+                    at = np.concatenate([[0], np.cumsum(w.end[a:b] - w.start[a:b] + 1)]).tolist()
+                    for i in range(b - a - size + 1):
+                        for column, value in zip(out, (text[at[i]:at[i + size] - 1], size, own[8 * i:8 * i + held], item), strict=True):
+                            column.append(value)
+                        if len(out[0]) >= BATCH_WINDOWS:
+                            yield made(*out)
+                            out = ([], [], [], [])
+            yield made(*out)
+
+    return items.select("item_id", "text").mapInArrow(cut, "words binary, size long, tokens binary, item_id string").distinct()
+
+
 class Index:
-    """Windows of a block of items; after ``choose``, keyed by prefix token."""
-
-    def __init__(self, items: list[tuple[str, str]], width: int):
-        self.windows: dict[bytes, int] = {}  # window words -> number
-        self.items: list[set] = []  # of each window, the item ids
-        self.length: list[int] = []
-        rarest: list[list[tuple[int, int]]] = []  # of each window, (token, offset)
-        vocabulary: set[int] = set()
-        for item, text in items:
-            w = Words(*_one(text), ALNUM)
-            n = len(w)
-            size = min(width, n)
-            for i in range(n - size + 1 if n else 0):
-                words = w.text(i, i + size)
-                at = self.windows.setdefault(words, len(self.windows))
-                if at == len(self.items):
-                    self.items.append(set())
-                    self.length.append(size)
-                    part = Words(*_one(words.decode("utf-8", "surrogatepass")), ALNUM)
-                    inner = min(SHINGLE, size)
-                    # a window of fewer than SHINGLE words is held by longer runs: use its single words' hashes
-                    own = shingles(part.hash, inner) if inner == SHINGLE else part.hash
-                    rarest.append([(int(h), k) for k, h in enumerate(own)])
-                    vocabulary.update(int(h) for h in own)
-                self.items[at].add(item)
-        self.candidates = rarest
-        self.vocabulary = np.array(sorted(vocabulary), dtype=np.uint64)
-
-    def choose(self, counts: dict[int, int]) -> Index:
-        """Keys each window by its rarest token (the prefix)."""
-        self.by_token: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for number, own in enumerate(self.candidates):
-            token, place = min(own, key=lambda x: (counts.get(x[0], 0), x))
-            self.by_token[token].append((number, place))
-        self.words = {number: words for words, number in self.windows.items()}
-        self.prefix = Lookup(np.array(sorted(self.by_token), dtype=np.uint64))
-        del self.candidates, self.vocabulary, self.windows
+    """Windows of a block, as arrays; after ``choose``, keyed by prefix token."""
+
+    def __init__(self, rows: pa.Table):
+        coded = rows.column("words").combine_chunks().dictionary_encode()
+        number, names = coded.indices.to_numpy(), rows.column("item_id").combine_chunks().dictionary_encode()
+        _, one = np.unique(number, return_index=True)  # a row of each window
+        self.words = _Bytes(coded.dictionary)
+        self.length = rows.column("size").to_numpy()[one]
+        order = np.argsort(number, kind="stable")
+        self.item_at = np.searchsorted(number[order], np.arange(len(one) + 1))
+        self.item = names.indices.to_numpy()[order]
+        self.names = _Bytes(names.dictionary.cast(pa.binary()))
+        own = rows.column("tokens").combine_chunks().take(pa.array(one))
+        self.tokens = np.frombuffer(b"".join(own.to_pylist()), dtype="<u8")
+        self.token_at = np.concatenate([[0], np.cumsum(pc.binary_length(own).to_numpy() // 8)]).astype(np.int64)
+        self.vocabulary = np.unique(self.tokens)
+
+    def choose(self, tokens_: np.ndarray, counts: np.ndarray) -> Index:
+        """Keys each window by its rarest token (the prefix); ``tokens_`` sorted, with their counts."""
+        n = np.zeros(len(self.vocabulary), dtype=np.int64)
+        n[np.searchsorted(self.vocabulary, tokens_)] = counts
+        window = np.repeat(np.arange(len(self.length)), np.diff(self.token_at))
+        order = np.lexsort((self.tokens, n[np.searchsorted(self.vocabulary, self.tokens)], window))
+        rarest = order[self.token_at[:-1]]  # the first of each window
+        token, place = self.tokens[rarest], rarest - self.token_at[:-1]
+        by = np.argsort(token, kind="stable")
+        self.number, self.place = by, place[by]
+        keys, self.key_at = np.unique(token[by], return_index=True)
+        self.key_at = np.append(self.key_at, len(by))
+        self.prefix = Lookup(keys)
+        del self.tokens, self.token_at, self.vocabulary
         return self
 
 
+class _Bytes:
+    """Many byte strings in one buffer."""
+
+    def __init__(self, values: pa.Array):
+        values = values.to_pylist()
+        self.data = b"".join(values)
+        self.at = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int64)
+
+    def __getitem__(self, i: int) -> bytes:
+        return self.data[self.at[i]:self.at[i + 1]]
+
+
 class Lookup:
     """Which of many hashes are in a sorted set: a bitmap first, then a search."""
 
@@ -109,18 +157,13 @@ class Lookup:
         return maybe[self.keys[at] == hashes[maybe]]
 
 
-def _one(text: str) -> tuple[np.ndarray, np.ndarray]:
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    return data, np.array([0, len(data)])
-
-
 def _token_sets(w: Words, short: bool) -> list[np.ndarray]:
     return [tokens(w), w.hash] if short else [tokens(w)]
 
 
-def _count(docs: DataFrame, vocabulary: np.ndarray, short: bool) -> dict[int, int]:
+def _count(docs: DataFrame, vocabulary: np.ndarray, short: bool) -> tuple[np.ndarray, np.ndarray]:
     """Occurrences of the benchmark's tokens over all documents: a partial count
-    per task, summed by token; the result is no larger than the vocabulary."""
+    per task, summed by token; the result (tokens, counts) is no larger than the vocabulary."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,26 +179,28 @@ def _count(docs: DataFrame, vocabulary: np.ndarray, short: bool) -> dict[int, in
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(keys.keys[seen].view(np.int64)), pa.array(total[seen])], ["token", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
-    return {r["token"] % (1 << 64): r["n"] for r in rows}
+    rows = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
+    return rows.column("token").to_numpy().view(np.uint64), rows.column("n").to_numpy()
 
 
 def _marks(index: Index, data: np.ndarray, offsets: np.ndarray, short: bool):
-    """For one block of documents: words per row, and per row the hit spans and item ids."""
+    """For one block of documents: words per row, and per row the hit spans and the items' numbers."""
     w = Words(data, offsets, ALNUM)
     spans: dict[int, list[tuple[int, int]]] = defaultdict(list)
     items: dict[int, set] = defaultdict(set)
     for t in _token_sets(w, short):
-        for p in index.prefix.find(t).tolist():
+        found = index.prefix.find(t)
+        for p, key in zip(found.tolist(), np.searchsorted(index.prefix.keys, t[found]).tolist(), strict=True):
             row = int(w.doc[p])
             low, high = int(w.first[row]), int(w.first[row + 1])
-            for number, place in index.by_token[int(t[p])]:
-                at, to = p - place, p - place + index.length[number]
+            for e in range(int(index.key_at[key]), int(index.key_at[key + 1])):
+                number, at = int(index.number[e]), p - int(index.place[e])
+                to = at + int(index.length[number])
                 if at < low or to > high:  # positional and length bounds
                     continue
                 if w.text(at, to) == index.words[number]:
                     spans[row].append((at - low, to - low))
-                    items[row] |= index.items[number]
+                    items[row].update(index.item[index.item_at[number]:index.item_at[number + 1]].tolist())
     return np.diff(w.first), spans, items
 
 
@@ -186,7 +231,7 @@ def _mark(docs: DataFrame, index: Index, short: bool, keep: list[str]) -> DataFr
                 words.append(n)
                 for row in range(len(n)):
                     spans.append([{"a": a, "b": b} for a, b in _merged(hit.get(row, ()))])
-                    items.append(sorted(ids.get(row, ())))
+                    items.append(sorted(shared.value.names[i].decode("utf-8", "surrogatepass") for i in ids.get(row, ())))
             kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
             more = [pa.array(np.concatenate(words) if words else np.zeros(0, np.int64), pa.int64()),
                     pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))]
@@ -201,20 +246,29 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes:
     contaminated. n_hit counts document words inside any occurrence of a window."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
                              F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    held = frozen(windows(items, width))
+    size = held.agg(F.sum(F.octet_length("words") + F.octet_length("tokens") + F.octet_length("item_id") + ROW_BYTES).alias("n")).first()["n"] or 0
     n_blocks = max(1, -(-size // block_bytes))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
+    part = F.pmod(F.xxhash64("words", "item_id"), F.lit(n_blocks))
     keep = docs.columns if keep is None else keep
     work = docs.select(*dict.fromkeys([*keep, "text"]))
     if n_blocks > 1:  # every pass sees the same rows under the same numbers
         work = frozen(work.withColumn("__row", F.monotonically_increasing_id()))
     marked = []
     for k in range(n_blocks):  # each block is bounded by block_bytes on average
-        own = [(r["item_id"], r["text"]) for r in items.filter(part == k).collect()]
-        index = Index(own, width)
-        short = any(n < SHINGLE for n in index.length)
-        counts = _count(docs, index.vocabulary, short) if len(index.vocabulary) else {}
-        marked.append(_mark(work, index.choose(counts), short, keep if n_blocks == 1 else ["__row"]))
+        own = held.filter(part == k).toArrow()
+        if not own.num_rows and (marked or k < n_blocks - 1):
+            continue
+        index = Index(own)
+        short = bool((index.length < SHINGLE).any())
+        if len(index.vocabulary):
+            index.choose(*_count(work, index.vocabulary, short))
+        else:
+            index.choose(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        marks = _mark(work, index, short, keep if n_blocks == 1 else ["__row"])
+        if n_blocks > 1:  # written before the next block is read; only the first one's marks have rows without hits
+            marks = frozen(marks.filter(F.size("__spans") > 0) if marked else marks)
+        marked.append(marks)
     out = marked[0]
     if n_blocks > 1:
         both = marked[0]
