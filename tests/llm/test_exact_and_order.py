@@ -38,6 +38,27 @@ def test_exact_dedup_awkward(awkward, support):
     assert set(kept.values()) == {1} and len(kept) == len(groups)
 
 
+@pytest.mark.parametrize("first", ["of the table", "of each partition"])
+def test_heavy_digests_of_rows_at_the_front(spark, first):
+    n = 24_000
+    place = F.col("id") if first == "of the table" else F.col("id") % (n // 4)
+    hot = place < (n if first == "of the table" else n // 4) // 3
+    docs = spark.range(0, n, 1, 4).select(F.col("id").alias("doc_id"), F.when(hot, "Hot text").otherwise(F.concat(F.lit("t"), "id")).alias("text"))
+    named, seen = [], exact_dedup._winners
+
+    def winners(rows):
+        out = seen(rows)
+        named.append(out)
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(exact_dedup, "_winners", winners)
+        rows = exact_dedup.exact_dedup(docs)
+    sizes = {bytes(r["digest"]).hex(): r["group_size"] for r in named[0].collect()}  # the verified heavy hitters
+    assert sizes.get(hashlib.sha256(b"hot text").hexdigest()) == n // 3 and len(sizes) <= 1 / exact_dedup.SUPPORT
+    assert rows.filter("group_size > 1").count() == n // 3 and rows.filter("kept").count() == n - n // 3 + 1
+
+
 def test_exact_dedup_empty(empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
 

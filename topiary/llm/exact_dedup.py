@@ -3,7 +3,8 @@
 1. One narrow pass computes (row, doc_id, digest) and freezes it.
 2. A Misra-Gries summary (``freqItems``) of 1/support counters names every
    digest that holds more than ``support`` of the rows. The summary is merged
-   from one partial state per task.
+   from one partial state per task. It counts digests as hex strings: binary
+   values are told apart by array identity there.
 3. The named digests (at most 1/support, a fixed number) are counted exactly;
    these verified winners are broadcast and resolve their rows map-side, so no
    shuffle ever sees the copies of a huge group.
@@ -38,11 +39,17 @@ def _winners(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
 
 
+def heavy_digests(rows: DataFrame, support: float) -> DataFrame:
+    """(digest): every digest that holds more than ``support`` of the rows, and some others."""
+    return (rows.select(F.hex("digest").alias("digest")).freqItems(["digest"], support)
+                .select(F.explode("digest_freqItems").alias("digest")).filter("digest is not null")
+                .select(F.unhex("digest").alias("digest")))
+
+
 def exact_dedup(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row per input row."""
     rows = frozen(digests(docs))
-    named = (rows.freqItems(["digest"], support)
-                 .select(F.explode("digest_freqItems").alias("digest")).filter("digest is not null"))
+    named = heavy_digests(rows, support)
     # a fixed number of rows (1 / support at most): safe to broadcast
     heavy = frozen(_winners(rows.join(F.broadcast(named), "digest", "left_semi")))
     from_heavy = rows.join(F.broadcast(heavy), "digest")
