@@ -202,3 +202,11 @@ def test_toxicity_learns_held_out(spark, awkward, empty):
     assert len(held) > 100 and sum(a == b for a, b in held) / len(held) > 0.97
     assert toxicity.score(awkward, model).count() == awkward.count()
     assert toxicity.score(empty, toxicity.fit(empty, la.limit(0))).count() == 0
+
+
+def test_clean_words_near_a_term_are_all_kept(spark):
+    near = sorted({"grimbolt"[:k] + c + "grimbolt"[k + 1:] for k in range(8) for c in "qxzjvw"} | {"grimbolt" + c for c in "abcdefgh"})
+    rows = [("grimbolt", 1)] * 40 + [(w, 0) for w in near]
+    train = spark.createDataFrame(rows, "text string, toxic int")
+    terms, clean = toxicity.learn_terms(train, {0: len(near), 1: 40}, max_terms=1)
+    assert terms == ["grimbolt"] and clean == near and len(near) > 50

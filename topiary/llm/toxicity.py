@@ -276,8 +276,9 @@ def learn_terms(train: DataFrame, totals: dict[int, int], max_terms: int = MAX_T
             for batch in batches:
                 yield batch.filter(pa.array([lexicon.match(w) == 1 for w in batch.column(0).to_pylist()], pa.bool_()))
 
+        # all of them, or clean documents would have hits; no more than the training sample's words near a term
         words = seen.filter((F.col("clean") >= 1) & ~F.col("word").endswith("*")).select("word")
-        clean = [r["word"] for r in words.mapInArrow(near, "word string").orderBy("word").limit(50 * max_terms).collect()]
+        clean = [r["word"] for r in words.mapInArrow(near, "word string").orderBy("word").collect()]
     seen.unpersist()
     return terms, clean
 
