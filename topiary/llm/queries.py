@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiary.llm import chat, decontaminate, exact_dedup, minhash, mixing, secrets, sharding, suffix_dedup, token_counts, toxicity
+from topiary.llm import (chat, decontaminate, exact_dedup, lloyd, minhash, mixing, secrets, sharding, suffix_dedup, token_counts, toxicity, urls,
+                         whitening)
 from topiary.llm.common import read
 
 QUERIES: dict = {}
@@ -91,3 +92,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_suffix_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(read(spark, sf_dir, "documents"))
+
+
+@query("op11_centroid_clusters", lloyd.oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.lloyd(read(spark, sf_dir, "embeddings"))
+
+
+@query("op12_url_filter")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
