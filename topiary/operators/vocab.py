@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiary.functions.arrays import explode_rows, with_run_lengths
-from topiary.session import checkpoint_dir
+from topiary.session import frozen
 
 # Largest vocabulary that is broadcast (terms; a term takes some 50 bytes).
 BROADCAST_MAX_TERMS = 500_000
@@ -26,8 +26,8 @@ DRIVER_MAX_TERMS = 2_000_000
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_MAX_TERMS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    """``df`` (a frozen table) with a broadcast hint if it has at most ``limit`` rows."""
+    return F.broadcast(df) if df.count() <= limit else df
 
 
 def token_counts(docs: DataFrame, tokens_col: str = "tokens", key: str = "doc_id") -> DataFrame:
@@ -74,11 +74,11 @@ def with_dense_index(df: DataFrame, order_cols: list, out: str) -> DataFrame:
     window: range-partition, number rows inside each partition, add the row
     count of all earlier partitions (a table of one row per partition)."""
     order_cols = _order(order_cols)
-    checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+    # the range exchange samples its input: frozen first, that does not run what made it again
+    ranged = (frozen(df).repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint()  # freeze partition ids before reusing them
+    ranged = frozen(ranged)  # partition ids must not change between their two uses
     per = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"), F.min("__mid").alias("__m0"))
     per = per.withColumn("__off", F.coalesce(F.sum("__c").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -101,10 +101,11 @@ def build_vocab(docs: DataFrame, tokens_col: str = "tokens", no_below: int = 5,
     return assign_ids(pruned).select("term_id", "token", "df", "cf")
 
 
-def doc2bow(docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", key: str = "doc_id",
+def doc2bow(docs: DataFrame | None, vocab: DataFrame, tokens_col: str = "tokens", key: str = "doc_id",
             counts: DataFrame | None = None) -> DataFrame:
     """V4: (doc_id, term_id, tf); out-of-vocabulary tokens dropped. A document
-    with no known token has no rows here (it keeps its row in V5)."""
+    with no known token has no rows here (it keeps its row in V5). ``counts``:
+    token_counts already computed; ``docs`` is not read then."""
     tc = counts if counts is not None else token_counts(docs, tokens_col, key)
     return tc.join(broadcast_if_small(vocab.select("token", "term_id")), "token") \
              .select(key, "term_id", F.col("n").alias("tf"))

@@ -129,15 +129,16 @@ GRID_SEEDS = INC.GRID_SEEDS
 GRID_K = INC.GRID_K
 
 
-def grid_scores(spark, sf):
-    """(k, dir_prior, random_state, num_pass, iteration, coherence_score)."""
+def grid_scores(spark, sf, digits=6):
+    """(k, dir_prior, random_state, num_pass, iteration, coherence_score),
+    rounded to ``digits`` (None: as computed)."""
     texts = standin_texts(spark, sf)
     models = [(k * 1000 + seed, k, f"{seed}/") for seed in GRID_SEEDS for k in GRID_K]
     tops = TP.standin_topic_terms_grid(TP.word_counts(texts), models, CO.TOP_N)
     scores = CO.coherence_cv(texts, tops)
     pts = INC.grid(spark).withColumn("model_id", F.col("k") * 1000 + F.col("random_state"))
-    return pts.join(F.broadcast(scores), "model_id").select(
-        *INC.GRID_KEY, F.round("coherence", 6).alias("coherence_score"))
+    score = F.col("coherence") if digits is None else F.round("coherence", digits)
+    return pts.join(F.broadcast(scores), "model_id").select(*INC.GRID_KEY, score.alias("coherence_score"))
 
 
 def q_coherence_table(spark, sf):
@@ -214,7 +215,7 @@ pts AS (
 scores AS (
   SELECT CAST(k AS INTEGER) AS k, dir_prior, CAST(random_state AS INTEGER) AS random_state,
          CAST(num_pass AS INTEGER) AS num_pass, CAST(iteration AS INTEGER) AS iteration,
-         round(coherence, 6) AS coherence_score
+         round(coherence, 6) AS coherence_score, coherence
   FROM pts JOIN cvm USING (model_id))"""
 
 
@@ -240,11 +241,13 @@ WHERE NOT EXISTS (
 
 
 @register("seed_stability", f"""{GRID_SQL}
-SELECT k, dir_prior, num_pass, iteration, round(avg(coherence_score), 6) AS mean_score,
-       round(stddev_samp(coherence_score), 6) AS std_score, count(*) AS n_seeds
-FROM scores GROUP BY ALL""")
+SELECT k, dir_prior, num_pass, iteration, round(avg(coherence), 6) AS mean_score,
+       round(stddev_samp(coherence), 6) AS std_score, count(*) AS n_seeds
+FROM scores GROUP BY k, dir_prior, num_pass, iteration""")
 def q_seed_stability(spark, sf):
-    st = TB.seed_stability(grid_scores(spark, sf))
+    """Scores are averaged as computed and rounded once: the mean of two rounded
+    scores lies on a half of the last place for every second pair."""
+    st = TB.seed_stability(grid_scores(spark, sf, digits=None))
     return st.select("k", "dir_prior", "num_pass", "iteration", F.round("mean_score", 6).alias("mean_score"),
                      F.round("std_score", 6).alias("std_score"), "n_seeds")
 

@@ -152,14 +152,17 @@ WITH pts AS (
   SELECT k, seed, p FROM range(2, 21) r(k), (VALUES (42), (99)) s(seed), (VALUES (5), (10), (15), (20)) q(p))
 SELECT CAST(k AS INTEGER) AS k, 'auto' AS dir_prior, CAST(seed AS INTEGER) AS random_state,
        CAST(p AS INTEGER) AS num_pass, CAST(200 AS INTEGER) AS iteration FROM pts
-WHERE NOT EXISTS (
-  SELECT 1 FROM documents d WHERE d.source = 'src0' AND 2 + d.n_chars % 19 = pts.k
-    AND CASE WHEN d.doc_id % 2 = 0 THEN 42 ELSE 99 END = pts.seed AND 5 * (1 + d.doc_id % 4) = pts.p)""")
+WHERE (k, seed, p) NOT IN (
+  SELECT (2 + n_chars % 19, CASE WHEN doc_id % 2 = 0 THEN 42 ELSE 99 END, 5 * (1 + doc_id // 2 % 4))
+  FROM documents GROUP BY 1 HAVING sum(doc_id // 8 + n_chars // 19) % 2 = 0)""")
 def q_skip_existing_models(spark, sf):
-    """M1 + S15: grid points without a model; each document of source src0
-    stands for one model fitted before."""
-    d = read_table(spark, sf, "documents").filter(F.col("source") == "src0")
-    registry = d.select((F.lit(2) + F.col("n_chars") % 19).cast("int").alias("k"), F.lit("auto").alias("dir_prior"),
-                        F.when(F.col("doc_id") % 2 == 0, 42).otherwise(99).alias("random_state"),
-                        (5 * (1 + F.col("doc_id") % 4)).cast("int").alias("num_pass"), F.lit(200).alias("iteration"))
+    """M1 + S15: grid points without a model. The documents are dealt into one class
+    per grid point by length and id; a point counts as fitted if the sum of what is left of
+    both over all documents of its class is even, so every row can change the answer
+    and about half the points stay open at any size."""
+    k, seed = (F.lit(2) + F.col("n_chars") % 19).cast("int"), F.when(F.col("doc_id") % 2 == 0, 42).otherwise(99)
+    passes = F.expr("cast(5 * (1 + doc_id div 2 % 4) as int)")
+    classes = read_table(spark, sf, "documents").groupBy(k.alias("k"), seed.alias("random_state"), passes.alias("num_pass")) \
+        .agg(F.expr("sum(doc_id div 8 + n_chars div 19) % 2").alias("odd"))
+    registry = classes.filter("odd = 0").select("k", F.lit("auto").alias("dir_prior"), "random_state", "num_pass", F.lit(200).alias("iteration"))
     return INC.skip_existing_models(INC.grid(spark), registry)

@@ -14,7 +14,7 @@ from topiary.operators import vocab as V
 from topiary.plans import sql as S
 from topiary.plans.catalog import register
 from topiary.plans.q_vocab import TOKS, VOCAB_CTES, corpus_tokens
-from topiary.session import work_dir
+from topiary.session import frozen, work_dir
 from topiary.sources import store as ST
 from topiary.sources import web
 from topiary.sources.corpus import pdf_paths, publications_raw, read_table
@@ -90,10 +90,10 @@ def q_read_csv(spark, sf):
 @register("write_bow", f"""{TOKS}, {VOCAB_CTES}
 SELECT doc_id, token, n AS tf FROM tc JOIN vocab USING (token)""")
 def q_write_bow(spark, sf):
-    t = corpus_tokens(spark, sf)
+    counts = frozen(V.token_counts(corpus_tokens(spark, sf)))
     folder = work_dir(spark, "lda_files")
-    vocab = V.build_vocab(t)  # frozen term ids: written and used without a second pass
-    ST.write_bow(vocab, V.doc2bow(t, vocab), folder)
+    vocab = V.build_vocab(read_table(spark, sf, "documents"), counts=counts)  # frozen term ids: built once
+    ST.write_bow(vocab, V.doc2bow(None, vocab, counts=counts), folder)
     v, b = ST.read_bow(spark, folder)
     return b.join(V.broadcast_if_small(v.select("term_id", "token")), "term_id").select("doc_id", "token", "tf")
 

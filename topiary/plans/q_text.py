@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from topiary.functions import text as T
+from topiary.functions.arrays import explode_rows
 from topiary.plans import sql as S
 from topiary.plans.catalog import register
 from topiary.sources import web
@@ -109,14 +110,19 @@ def q_harvest_links(spark, sf):
 WITH {S.PAGES}, k AS (
   SELECT page_id, 'book' AS kind, regexp_extract_all(html, '<a href="(/book.*?)">', 1) AS l FROM dpages
   UNION ALL SELECT page_id, 'paper', regexp_extract_all(html, '<a href="(/paper.*?)">', 1) FROM dpages
-  UNION ALL SELECT page_id, 'pdf', list_filter([regexp_extract(html, 'href="(/paper/.*\\.pdf)">', 1)], lambda x: x <> '') FROM dpages)
+  UNION ALL SELECT page_id, 'pdf', list_filter([regexp_extract(html, 'href="(/paper/.*\\.pdf)">', 1)], lambda x: x <> '') FROM dpages
+  UNION ALL SELECT page_id, 'other', list_filter(regexp_extract_all(html, '<a href="(/.*?)">', 1),
+                                                 lambda x: NOT starts_with(x, '/book') AND NOT starts_with(x, '/paper')) FROM dpages)
 SELECT page_id, kind, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS link FROM k""")
 def q_harvest_kinds(spark, sf):
-    """S10, its three patterns: book links, paper links, the first PDF link."""
+    """S10, its three patterns (book links, paper links, the first PDF link) and all other links."""
     pages = decorated_pages(read_table(spark, sf, "pages"))
     kind = lambda name, pattern: web.harvest_kind(pages, pattern, ["page_id"]).withColumn("kind", F.lit(name))
     pdf = pages.select("page_id", F.lit(0).alias("pos"), web.first_pdf_link("html").alias("link"), F.lit("pdf").alias("kind"))
-    return kind("book", web.BOOK_LINK).unionByName(kind("paper", web.PAPER_LINK)).unionByName(pdf.filter("link <> ''"))
+    every = F.regexp_extract_all("html", F.lit(web.link_pattern("/")), 1)
+    rest = F.filter(every, lambda x: ~x.startswith("/book") & ~x.startswith("/paper"))
+    other = explode_rows(pages, ["page_id"], rest, ["pos", "link"], with_pos=True).withColumn("kind", F.lit("other"))
+    return kind("book", web.BOOK_LINK).unionByName(kind("paper", web.PAPER_LINK)).unionByName(pdf.filter("link <> ''")).unionByName(other)
 
 
 @register("link_metadata", f"""
@@ -124,17 +130,17 @@ WITH {S.PAGES}, links AS (
   SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS domain,
          regexp_extract(html, 'href="(/paper/.*\\.pdf)">', 1) AS pdf_link,
          regexp_extract(html, '<a href="(/book.*?)">', 1) AS book_link,
-         unnest(regexp_extract_all(html, '<a href="(/paper.*?)">', 1)) AS link
-  FROM dpages)
-SELECT page_id, link, right(book_link, 4) AS year, try_cast(right(book_link, 4) AS INTEGER) AS year_int, domain || link AS abs_url,
+         unnest(regexp_extract_all(html, '<a href="(/.*?)">', 1)) AS link
+  FROM dpages), dated AS (SELECT *, right(coalesce(nullif(book_link, ''), link), 4) AS year FROM links)
+SELECT page_id, link, year, try_cast(year AS INTEGER) AS year_int, domain || link AS abs_url,
        string_split(link, '/')[-1] AS name, pdf_link
-FROM links""")
+FROM dated""")
 def q_link_metadata(spark, sf):
-    """S11 for the paper links of a page; the year is that of the page's book link."""
+    """S11 for every link of a page; the year is that of the page's book link if it has one."""
     pages = decorated_pages(read_table(spark, sf, "pages"))
-    links = web.harvest_kind(pages, web.PAPER_LINK, [
+    links = web.harvest_kind(pages, web.link_pattern("/"), [
         "page_id", web.site_domain("url").alias("domain"), web.first_pdf_link("html").alias("pdf_link"),
-        F.regexp_extract("html", web.BOOK_LINK, 1).alias("book_link")])
+        F.nullif(F.regexp_extract("html", web.BOOK_LINK, 1), F.lit("")).alias("book_link")])
     out = web.link_metadata(links, year_col="book_link")
     return out.select("page_id", "link", "year", F.col("year").try_cast("int").alias("year_int"), "abs_url", "name", "pdf_link")
 

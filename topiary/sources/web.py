@@ -52,10 +52,11 @@ def site_domain(url) -> Column:
 def link_metadata(links: DataFrame, domain_col: str = "domain", link_col: str = "link",
                   year_col: str | None = None) -> DataFrame:
     """year = last 4 chars of the link, or of the book link ``year_col``
-    that led to it; absolute url = domain + link, name = last segment."""
+    that led to it if there is one; absolute url = domain + link, name = last segment."""
     link = F.col(link_col)
+    dated = link if year_col is None else F.coalesce(F.col(year_col), link)
     return links.withColumns({
-        "year": F.right(F.col(year_col or link_col), F.lit(4)),
+        "year": F.right(dated, F.lit(4)),
         "abs_url": F.concat(F.col(domain_col), link),
         "name": F.element_at(F.split(link, "/"), -1),
     })
