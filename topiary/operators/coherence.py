@@ -107,10 +107,12 @@ def pair_grid(top: DataFrame) -> DataFrame:
 
 
 def npmi(top: DataFrame, occ: DataFrame, co: DataFrame, nwin: DataFrame, eps: float = EPSILON) -> DataFrame:
-    """(model_id, topic_id, wi, wj, npmi, co_ij) over the top-word grid."""
+    """(model_id, topic_id, wi, wj, npmi, co_ij) over the top-word grid.
+    ``occ`` holds a row per word, or per model and word."""
     g = pair_grid(top)
-    g = (g.join(F.broadcast(occ.select(F.col("word").alias("wi"), F.col("occ").alias("occ_i"))), "wi", "left")
-          .join(F.broadcast(occ.select(F.col("word").alias("wj"), F.col("occ").alias("occ_j"))), "wj", "left"))
+    by = [c for c in occ.columns if c == "model_id"]
+    g = (g.join(F.broadcast(occ.select(*by, F.col("word").alias("wi"), F.col("occ").alias("occ_i"))), [*by, "wi"], "left")
+          .join(F.broadcast(occ.select(*by, F.col("word").alias("wj"), F.col("occ").alias("occ_j"))), [*by, "wj"], "left"))
     c = co.select("model_id", "topic_id", "w1", "w2", "co")
     g = g.join(c, (g.model_id == c.model_id) & (g.topic_id == c.topic_id)
                & (F.least(g.wi, g.wj) == c.w1) & (F.greatest(g.wi, g.wj) == c.w2), "left") \

@@ -30,6 +30,7 @@ def load_all() -> None:
         q_coherence,
         q_extensions,
         q_model,
+        q_online_lda,
         q_store,
         q_text,
         q_tokens,

@@ -162,19 +162,8 @@ def q_skip_scored_models(spark, sf):
     return INC.skip_scored_models(INC.grid(spark), scored)
 
 
-GRID_SQL = f"""WITH {S.TEXTS},
-models AS (
-  SELECT k * 1000 + seed AS model_id, k, CAST(seed AS VARCHAR) || '/' AS salt
-  FROM range({min(GRID_K)}, {max(GRID_K) + 1}) r(k), (VALUES {', '.join(f'({s})' for s in GRID_SEEDS)}) s(seed)),
-words AS (SELECT w AS word, count(*) AS cf FROM (SELECT unnest(tokens) AS w FROM texts) GROUP BY w),
-wt AS (SELECT model_id, word, cf, CAST({S.word_topic('word', 'k', 'salt')} AS INTEGER) AS topic_id FROM words, models),
-tot AS (SELECT model_id, topic_id, sum(cf) AS tot FROM wt GROUP BY ALL),
-ranked AS (
-  SELECT model_id, topic_id, word,
-         row_number() OVER (PARTITION BY model_id, topic_id ORDER BY cf / tot DESC, word) AS rank
-  FROM wt JOIN tot USING (model_id, topic_id)),
-top AS (SELECT model_id, topic_id, word FROM ranked WHERE rank <= {CO.TOP_N}),
-tk AS (SELECT doc_id, len(tokens) AS n, unnest(tokens) AS w, generate_subscripts(tokens, 1) - 1 AS pos FROM texts),
+#: Window counts and c_v of the topics of ``top``(model_id, topic_id, word), to ``cvt``.
+COUNT_CTES = f"""tk AS (SELECT doc_id, len(tokens) AS n, unnest(tokens) AS w, generate_subscripts(tokens, 1) - 1 AS pos FROM texts),
 hits AS (SELECT doc_id, n, w, pos FROM tk WHERE w IN (SELECT word FROM top)),
 starts AS (
   SELECT DISTINCT doc_id, w, s FROM (
@@ -206,7 +195,21 @@ vn AS (SELECT model_id, topic_id, sqrt(sum(vj * vj)) AS vnorm FROM v GROUP BY AL
 pw AS (
   SELECT nm.model_id, nm.topic_id, wi, sum(npmi * vj) AS dot, sqrt(sum(npmi * npmi)) AS norm
   FROM nm JOIN v USING (model_id, topic_id, wj) GROUP BY ALL),
-cvt AS (SELECT model_id, topic_id, avg(dot / (norm * vnorm)) AS coherence FROM pw JOIN vn USING (model_id, topic_id) GROUP BY ALL),
+cvt AS (SELECT model_id, topic_id, avg(dot / (norm * vnorm)) AS coherence FROM pw JOIN vn USING (model_id, topic_id) GROUP BY ALL),"""
+
+GRID_SQL = f"""WITH {S.TEXTS},
+models AS (
+  SELECT k * 1000 + seed AS model_id, k, CAST(seed AS VARCHAR) || '/' AS salt
+  FROM range({min(GRID_K)}, {max(GRID_K) + 1}) r(k), (VALUES {', '.join(f'({s})' for s in GRID_SEEDS)}) s(seed)),
+words AS (SELECT w AS word, count(*) AS cf FROM (SELECT unnest(tokens) AS w FROM texts) GROUP BY w),
+wt AS (SELECT model_id, word, cf, CAST({S.word_topic('word', 'k', 'salt')} AS INTEGER) AS topic_id FROM words, models),
+tot AS (SELECT model_id, topic_id, sum(cf) AS tot FROM wt GROUP BY ALL),
+ranked AS (
+  SELECT model_id, topic_id, word,
+         row_number() OVER (PARTITION BY model_id, topic_id ORDER BY cf / tot DESC, word) AS rank
+  FROM wt JOIN tot USING (model_id, topic_id)),
+top AS (SELECT model_id, topic_id, word FROM ranked WHERE rank <= {CO.TOP_N}),
+{COUNT_CTES}
 cvm AS (SELECT model_id, avg(coherence) AS coherence FROM cvt GROUP BY model_id),
 pts AS (
   SELECT k, 'auto' AS dir_prior, seed AS random_state, p AS num_pass, 200 AS iteration, k * 1000 + seed AS model_id
