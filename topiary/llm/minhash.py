@@ -44,6 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from topiary.llm.bloom import bloom_of
 from topiary.llm.common import dense_rank_all, frozen
 from topiary.llm.textbytes import NON_SPACE, Words, blocks, mixed, shingles
 
@@ -168,18 +169,19 @@ def _sketch(docs: DataFrame, n: int) -> DataFrame:
         sketch, "doc_id long, n_shingles long, key binary, sig binary, bands array<long>")
 
 
-def _sets(docs: DataFrame, n: int, keyed: bool = False) -> DataFrame:
-    """(id, set): the shingle hashes of each document, as bytes; ``keyed`` adds the set's key."""
+def _sets(docs: DataFrame, n: int, bloom) -> DataFrame:
+    """(id, set, key): the shingle hashes of each document whose id the filter
+    knows, as bytes, and the set's key."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(bloom.value.knows(batch.column(0))))
             for first, end, data, offsets in blocks(batch.column(1)):
                 found = doc_shingles(Words(data, offsets, NON_SPACE), n)
-                columns = [batch.column(0).slice(first, end - first), pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())]
-                if keyed:
-                    columns.append(pa.array([set_key(s) for s in found], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["id", "set", "key"][:len(columns)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, end - first), pa.array([s.astype("<u8").tobytes() for s in found], pa.binary()),
+                     pa.array([set_key(s) if len(s) else None for s in found], pa.binary())], ["id", "set", "key"])
 
-    return docs.mapInArrow(sets, "id long, set binary" + (", key binary" if keyed else ""))
+    return docs.mapInArrow(sets, "id long, set binary, key binary")
 
 
 def _screen(pairs: DataFrame) -> DataFrame:
@@ -206,28 +208,24 @@ def _confirm(pairs: DataFrame) -> DataFrame:
     return pairs.select("x", "y", "a", "b").mapInArrow(confirm, "x long, y long")
 
 
-#: Ids up to this number (8 bytes each) may be broadcast; beyond it the texts are shuffled to the ids.
-BROADCAST_IDS = 200_000
-
-
-def _sets_of(needed: DataFrame, size: int, docs: DataFrame, n: int, extra: DataFrame | None) -> DataFrame:
-    """(id, set) of the representatives named in ``needed`` (rep), ``size`` of them.
+def _sets_of(needed: DataFrame, docs: DataFrame, n: int, extra: DataFrame | None) -> DataFrame:
+    """(id, set) of the representatives named in ``needed`` (rep).
 
-    A representative is a doc_id with one set only, or one of ``extra`` (rep,
+    A Bloom filter of their doc_ids picks the texts where they are read; sets are
+    made of those only, and the exact join moves nothing else. A representative is a doc_id with one set only, or one of ``extra`` (rep,
     doc_id, key): a number for one set of a doc_id that has several."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    side = F.broadcast if size <= BROADCAST_IDS else (lambda x: x)
-    ids = needed.select(F.col("rep").alias("doc_id"))
-    own = None
+    ids, own = needed.select(F.col("rep").alias("id")), None
     if extra is not None:
         own = frozen(extra.join(needed, "rep", "left_semi"))
-        ids = ids.join(own.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
-    sets = _sets(texts.join(side(ids), "doc_id", "left_semi"), n)
+        ids = frozen(ids.join(own.select(F.col("rep").alias("id")), "id", "left_anti"))
+    # each set once, dealt by id; the same layout serves the exact join
+    sets = _sets(texts, n, bloom_of(ids)).groupBy("id").agg(F.min("set").alias("set")).join(ids, "id", "left_semi")
     if own is not None:
-        several = _sets(texts.join(side(own.select("doc_id").distinct()), "doc_id", "left_semi"), n, keyed=True)
+        several = _sets(texts, n, bloom_of(frozen(own.select("doc_id").distinct())))
         named = several.withColumnRenamed("id", "doc_id").join(own, ["doc_id", "key"])
-        sets = sets.unionByName(named.select(F.col("rep").alias("id"), "set"))
-    return frozen(sets.groupBy("id").agg(F.min("set").alias("set")))
+        sets = sets.unionByName(named.groupBy(F.col("rep").alias("id")).agg(F.min("set").alias("set")))
+    return frozen(sets)
 
 
 #: Members of a block of the confirmation: their full sets are held together.
@@ -248,8 +246,7 @@ def _confirmed(asked: DataFrame, docs: DataFrame, n: int, extra: DataFrame | Non
             yield pa.RecordBatch.from_arrays([pa.array(sorted(new), pa.int64())], ["rep"])
 
     needed = frozen(asked.mapInArrow(ids, "rep long").distinct())
-    size = needed.count()
-    sets, blocks_ = _sets_of(needed, size, docs, n, extra), -(-size // BLOCK_SETS) or 1
+    sets, blocks_ = _sets_of(needed, docs, n, extra), -(-needed.count() // BLOCK_SETS) or 1
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,7 +290,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, extra: D
     pairs = frozen(_screen(pairs.join(sig.select(F.col("rep").alias("x"), F.col("sig").alias("sx")), "x")
                                 .join(sig.select(F.col("rep").alias("y"), F.col("sig").alias("sy")), "y")))
     needed = frozen(pairs.select(F.explode(F.array("x", "y")).alias("rep")).distinct())
-    sets = _sets_of(needed, needed.count(), docs, n, extra)
+    sets = _sets_of(needed, docs, n, extra)
     both = (pairs.join(sets.select(F.col("id").alias("y"), F.col("set").alias("b")), "y")
                  .join(sets.select(F.col("id").alias("x"), F.col("set").alias("a")), "x"))
     return frozen(_confirm(both))
@@ -326,14 +323,13 @@ def components(links: DataFrame) -> DataFrame:
     edges = frozen(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).filter("u <> v").distinct())
     was = state(edges)
     parts = -(-was[0] // TASK_LINKS) or 1  # the steps never add links
-    side = F.broadcast if was[0] <= BROADCAST_IDS else (lambda x: x)
     edges = edges.coalesce(parts)
     while True:
         ways = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = ways.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = ways.join(side(least), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = ways.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(side(least), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         edges = frozen(small.coalesce(parts))
         now = state(edges)
@@ -429,17 +425,15 @@ def _numbered(known: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame |
     has several sets. The numbers lie above all doc_ids, and each is linked with
     its doc_id, so a group's least id is always a doc_id."""
     several = frozen(known.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a < b").select("doc_id"))
-    size = several.count()
-    if not size:
+    if several.isEmpty():
         return reps.withColumnRenamed("doc_id", "rep"), None, None
-    side = F.broadcast if size <= BROADCAST_IDS else (lambda x: x)
-    apart = reps.select("key", "doc_id").join(side(several), "doc_id", "left_semi")
+    apart = reps.select("key", "doc_id").join(several, "doc_id", "left_semi")
     top = known.agg(F.max("doc_id")).first()[0]
     extra = frozen(dense_rank_all(apart, ["key"], "number").select("key", "doc_id", (F.col("number") + F.lit(top) + 1).alias("rep")))
     if top + extra.count() >= 1 << 63:
         raise ValueError("no room above the largest doc_id to number the sets of repeated doc_ids")
     reps = frozen(reps.join(extra.select("key", "rep"), "key", "left").withColumn("rep", F.coalesce("rep", "doc_id")).drop("doc_id"))
-    pairs = known.select("doc_id", "key").join(side(several), "doc_id", "left_semi").distinct()
+    pairs = known.select("doc_id", "key").join(several, "doc_id", "left_semi").distinct()
     return reps, extra, frozen(pairs.join(reps.select("key", "rep"), "key").select(F.col("doc_id").alias("x"), F.col("rep").alias("y")))
 
 

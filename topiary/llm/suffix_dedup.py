@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topiary.llm.bloom import bloom_of, known_rows
 from topiary.llm.common import frozen
 from topiary.llm.induced_sort import CAP, Space, suffix_array
 from topiary.llm.textbytes import _Powers, blocks, mixed
@@ -51,8 +52,8 @@ WIDTH = LENGTH - K + 1  # K-grams in a string
 SHARD_BYTES = 2 << 20
 #: Different snippets of one anchor beyond which it is split.
 SPLIT = 256
-#: Ids up to this number may be broadcast to pick texts; beyond it texts are shuffled to the ids.
-BROADCAST_IDS = 200_000
+#: An anchor with more than this share of all repeated places is met map-side (so there are 1 / share at most).
+COMMON = 0.0005
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -94,8 +95,9 @@ def _packed(lo, own, at):
     return lo * _OWN + own * _AT + at
 
 
-def _anchor_lists(docs: DataFrame) -> DataFrame:
-    """(d, id, places: hash, place): the anchors of each text; d names the text."""
+def _anchor_lists(docs: DataFrame, copies) -> DataFrame:
+    """(d, id, maybe, places: hash, place): the anchors of each text; d names the
+    text; ``maybe`` is false where the filter ``copies`` rules out a further copy."""
     kind = pa.list_(pa.struct([("h", pa.int64()), ("p", pa.int64())]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,10 +110,11 @@ def _anchor_lists(docs: DataFrame) -> DataFrame:
                     [pa.array(fields[0].view(np.int64)), pa.array(_packed(fields[1], fields[2], fields[3] - fields[1]), pa.int64())], ["h", "p"])
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 own = [batch.column(c).slice(first, end - first) for c in (1, 2)]
-                yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(pa.array(ends), flat).cast(kind)], ["d", "id", "places"])
+                maybe = pa.array(copies.value.knows(own[1]))
+                yield pa.RecordBatch.from_arrays([*own, maybe, pa.ListArray.from_arrays(pa.array(ends), flat).cast(kind)], ["d", "id", "maybe", "places"])
 
     long_ones = docs.filter(F.octet_length("text") >= LENGTH).select("text", "d", "id")
-    return long_ones.mapInArrow(find, "d binary, id long, places array<struct<h: long, p: long>>")
+    return long_ones.mapInArrow(find, "d binary, id long, maybe boolean, places array<struct<h: long, p: long>>")
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -253,30 +256,35 @@ def _cut(texts: DataFrame) -> DataFrame:
 
 
 def _picked(docs: DataFrame, one: DataFrame) -> DataFrame:
-    """The texts of ``docs`` named by (d, id) of ``one``, with its other columns."""
-    ids = one.select("id")
-    if one.count() <= BROADCAST_IDS:
-        docs = docs.join(F.broadcast(ids.distinct()), "id", "left_semi")
-    return docs.join(one, ["d", "id"])
+    """The texts of ``docs`` (id, text) named by (d, id) of ``one``, with its other columns."""
+    near = known_rows(docs, "id", bloom_of(one.select("id")))
+    return near.withColumn("d", _digest(F.col("text"))).join(one, ["d", "id"])
 
 
 def suffix_dedup(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per row."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("id"),
-                       F.coalesce("text", F.lit("")).alias("text")).withColumn("d", _digest(F.col("text")))
-    rows = frozen(docs.select("doc_id", "id", "d", F.octet_length("text").cast("long").alias("n_bytes")))
+    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = frozen(docs.select("doc_id", "id", _digest(F.col("text")).alias("d"), F.octet_length("text").cast("long").alias("n_bytes")))
+    docs = docs.select("id", "text")
     texts = rows.groupBy("d").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
 
     # anchors, one list per text; a text's copies are left out from here on
+    extra = frozen(rows.join(texts.select("d", F.col("id").alias("first")), "d").filter("id <> first").select("d", "id").distinct())
     path = work_dir(spark, "anchors")
-    _anchor_lists(docs).withColumn("n", F.monotonically_increasing_id()).write.parquet(path)
+    named = docs.withColumn("d", _digest(F.col("text")))
+    _anchor_lists(named, bloom_of(extra.select("id"))).withColumn("n", F.monotonically_increasing_id()).write.parquet(path)
     lists = spark.read.parquet(path)
-    extra = frozen(rows.join(texts.select("d", F.col("id").alias("first")), "d").filter("id <> first").select("d", "id").distinct())
-    few = extra.count() <= BROADCAST_IDS
-    place = lists.join(F.broadcast(extra) if few else extra, ["d", "id"], "left_anti").select("n", F.inline("places"))
-    repeated = place.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
-    kept = place.join(repeated, "h").groupBy("n").agg(F.collect_list(F.struct("h", "p")).alias("places"))
+    first = lists.filter("maybe").select("n", "d", "id").join(extra, ["d", "id"], "left_anti").select("n")
+    sole = lists.filter("not maybe").select("n", "places").unionByName(lists.filter("maybe").select("n", "places").join(first, "n", "left_semi"))
+    place = sole.select("n", F.inline("places"))
+    repeated = frozen(place.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"))
+    # places of a very common anchor stay in their tasks; the others meet their anchor's row by a join
+    total = repeated.agg(F.sum("k")).first()[0] or 0
+    common = F.col("k") > COMMON * total
+    hot_ones = F.broadcast(repeated.filter(common).select("h"))
+    rest = place.join(hot_ones, "h", "left_anti").join(repeated.filter(~common).select("h"), "h")
+    kept = place.join(hot_ones, "h", "left_semi").unionByName(rest).groupBy("n").agg(F.collect_list(F.struct("h", "p")).alias("places"))
     one = frozen(kept.join(lists.select("n", "d", "id"), "n"))
     path = work_dir(spark, "pieces")
     _pieces(_picked(docs, one)).write.parquet(path)
@@ -288,13 +296,17 @@ def suffix_dedup(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     kinds = frozen(pieces.groupBy("key", "sid").agg(*once))  # without their bytes
     many = frozen(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > split).select("key"))
     hot = not many.isEmpty()
-    plain = pieces.join(many, "key", "left_anti") if hot else pieces
-    found = [(_repeats(plain.repartition("key").groupBy("key", "sid").agg(*once, F.max("bytes").alias("bytes"))), None)]
+    # what is dealt is a row per snippet and the bytes that some tasks hold of it, not a row per place
+    bodies = pieces.filter("bytes is not null").select("key", "sid", "bytes")
+    cols = ["key", "sid", "own", "at", "twice", "bytes"]
+    dealt = kinds.withColumn("bytes", F.lit(None).cast("binary")).select(cols).unionByName(
+        bodies.withColumns({"own": F.lit(None).cast("int"), "at": F.lit(None).cast("int"), "twice": F.lit(None).cast("boolean")}).select(cols))
+    plain = dealt.join(many, "key", "left_anti") if hot else dealt
+    found = [(_repeats(plain.repartition("key").groupBy("key", "sid").agg(*[F.max(c).alias(c) for c in cols[2:]])), None)]
     way = None  # (sid of a whole snippet, offset, sid of the part that stands for it)
     left = None
     if hot:
-        bodies = pieces.filter("bytes is not null").select("sid", "bytes")
-        left = kinds.join(many, "key").join(bodies, "sid").groupBy("sid", "key", "own", "at", "twice").agg(F.max("bytes").alias("bytes"))
+        left = kinds.join(many, "key").join(bodies.select("sid", "bytes"), "sid").groupBy("sid", "key", "own", "at", "twice").agg(F.max("bytes").alias("bytes"))
     for run in (16, 1):
         if not hot:
             break
