@@ -52,8 +52,6 @@ WIDTH = LENGTH - K + 1  # K-grams in a string
 SHARD_BYTES = 2 << 20
 #: Different snippets of one anchor beyond which it is split.
 SPLIT = 256
-#: An anchor with more than this share of all repeated places is met map-side (so there are 1 / share at most).
-COMMON = 0.0005
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -275,16 +273,11 @@ def suffix_dedup(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     named = docs.withColumn("d", _digest(F.col("text")))
     _anchor_lists(named, bloom_of(extra.select("id"))).withColumn("n", F.monotonically_increasing_id()).write.parquet(path)
     lists = spark.read.parquet(path)
-    first = lists.filter("maybe").select("n", "d", "id").join(extra, ["d", "id"], "left_anti").select("n")
-    sole = lists.filter("not maybe").select("n", "places").unionByName(lists.filter("maybe").select("n", "places").join(first, "n", "left_semi"))
-    place = sole.select("n", F.inline("places"))
-    repeated = frozen(place.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"))
-    # places of a very common anchor stay in their tasks; the others meet their anchor's row by a join
-    total = repeated.agg(F.sum("k")).first()[0] or 0
-    common = F.col("k") > COMMON * total
-    hot_ones = F.broadcast(repeated.filter(common).select("h"))
-    rest = place.join(hot_ones, "h", "left_anti").join(repeated.filter(~common).select("h"), "h")
-    kept = place.join(hot_ones, "h", "left_semi").unionByName(rest).groupBy("n").agg(F.collect_list(F.struct("h", "p")).alias("places"))
+    first = lists.filter("maybe").join(extra, ["d", "id"], "left_anti").select("n", "places")
+    place = lists.filter("not maybe").select("n", "places").unionByName(first).select("n", F.inline("places"))
+    # counted and frozen first: the join with nothing else in its stage is one whose large partitions Spark splits
+    repeated = frozen(place.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h"))
+    kept = place.join(repeated, "h").groupBy("n").agg(F.collect_list(F.struct("h", "p")).alias("places"))
     one = frozen(kept.join(lists.select("n", "d", "id"), "n"))
     path = work_dir(spark, "pieces")
     _pieces(_picked(docs, one)).write.parquet(path)
@@ -325,14 +318,14 @@ def suffix_dedup(docs: DataFrame, split: int = SPLIT) -> DataFrame:
         found.append((_repeats((left.join(many, "key", "left_anti") if hot else left).repartition("key")), way))
         left = left.join(many, "key") if hot else None
 
-    places = pieces.select("n", "lo", "sid").distinct()
+    places = pieces.select("n", "lo", "sid")  # one row each, but for rows given twice, whose text goes whole
     runs = None
     for repeats, how in found:
         if how is not None:
             repeats = repeats.withColumnRenamed("sid", "sub").join(how, "sub") \
                              .select("sid", (F.col("off") + F.col("a")).alias("a"), (F.col("off") + F.col("b")).alias("b"))
         runs = repeats if runs is None else runs.unionByName(repeats)
-    runs = runs.groupBy("sid").agg(F.collect_list(F.struct("a", "b")).alias("runs"))  # of a snippet: as many as its strings at most
+    runs = frozen(runs.groupBy("sid").agg(F.collect_list(F.struct("a", "b")).alias("runs")))  # of a snippet: as many as its strings at most
     moved = F.transform("runs", lambda r: F.struct((r["a"] + F.col("lo")).alias("a"), (r["b"] + F.col("lo")).alias("b")))
     per = places.join(runs, "sid").select("n", moved.alias("runs")).groupBy("n").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     alone = texts.filter("copies = 1").select("d")  # texts with copies are removed whole
