@@ -45,15 +45,12 @@ def test_entities_of_a_very_long_run(spark):
     assert got[0]["e"] == [name.lower()] and got[1]["e"] == [] and got[2]["e"] == ["big red dog"]
 
 
-def test_lemma_table_and_surface_stop_words(spark, monkeypatch):
+def test_lemma_table_and_surface_stop_words(spark):
     lemmas = spark.createDataFrame([("cats", "cat"), ("cats", "zz"), ("ran", "run")], "word string, lemma string")
     df = spark.createDataFrame([("THE cats ran The dogs",)], "content string")
     one = lambda **k: TK.general_preprocess(df, lemmas=lemmas, **k).first()["tokens"]
     assert one() == ["cat", "run", "dogs"]
     assert one(case_sensitive=True) == ["the", "cat", "run", "dogs"]  # THE is neither "the" nor "The"
-    monkeypatch.setattr(TK, "LEMMA_MAX_ROWS", 1)
-    with pytest.raises(ValueError):
-        one()
 
 
 def test_stop_words_by_language(spark):

@@ -75,26 +75,14 @@ def remove_stopwords(tokens, words=None, case_sensitive: bool = False,
 def lemmatize(tokens, lemmas: dict | None = None) -> Column:
     """Token -> lemma via a small literal lookup; others keep their form."""
     lemmas = LEMMAS if lemmas is None else lemmas
+    if not lemmas:
+        return _col(tokens)
     m = F.create_map(*[F.lit(x) for kv in sorted(lemmas.items()) for x in kv])
     keys = sorted(lemmas)
     # hash-set probe first: most tokens have no entry and skip the map scan
     return F.transform(_col(tokens), lambda x: F.when(x.isin(keys), F.try_element_at(m, x)).otherwise(x))
 
 
-#: Largest lemma table that becomes part of the plan (rows).
-LEMMA_MAX_ROWS = 200_000
-
-
-def lemma_map(table: DataFrame) -> dict:
-    """A (word, lemma) table as the lookup of ``lemmatize``. Counted first: a
-    larger one than LEMMA_MAX_ROWS is refused (join it to exploded tokens then).
-    Several lemmas of one word: the smallest."""
-    rows = table.groupBy("word").agg(F.min("lemma").alias("lemma")).limit(LEMMA_MAX_ROWS + 1).collect()
-    if len(rows) > LEMMA_MAX_ROWS:
-        raise ValueError(f"more than {LEMMA_MAX_ROWS} lemmas")
-    return {r["word"]: r["lemma"] for r in rows}
-
-
 def bigrams(tokens) -> Column:
     """T4: adjacent pairs of the filtered list, 'a b'."""
     return adjacent_pairs(_col(tokens), " ")
@@ -142,11 +130,14 @@ def general_preprocess(df: DataFrame, content_col: str = "content", out: str = "
                        min_bigram_count: int = 5, stop=None, lemmas=None, lang=None,
                        case_sensitive: bool = False) -> DataFrame:
     """Content -> tokens (unigrams + frequent bigrams + entities).
-    ``lemmas``: a dict, or a (word, lemma) DataFrame (see lemma_map)."""
-    if isinstance(lemmas, DataFrame):
-        lemmas = lemma_map(lemmas)
+    ``lemmas``: a dict, or a (word, lemma) DataFrame of any size, which is joined."""
     df = df.withColumn("__tok", tokenize(content_col, lowercase=not case_sensitive))
-    df = df.withColumn("__uni", unigrams_of("__tok", stop, lemmas, lang, case_sensitive))
+    if isinstance(lemmas, DataFrame):
+        from topiary.operators.phrases import lemmatize_by_table
+        df = df.withColumn("__uni", unigrams_of("__tok", stop, {}, lang, case_sensitive)).drop("__tok")
+        df = lemmatize_by_table(df, lemmas, "__uni").withColumn("__tok", F.lit(None).cast("array<string>"))
+    else:
+        df = df.withColumn("__uni", unigrams_of("__tok", stop, lemmas, lang, case_sensitive))
     df = df.withColumn("__bg", bigrams("__uni"))
     df = with_frequent_bigrams(df, "__bg", "__fbg", min_bigram_count)
     df = df.withColumn(out, assemble_tokens("__uni", "__fbg", entities(content_col)))
