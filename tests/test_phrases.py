@@ -63,7 +63,7 @@ def test_a_lemma_table_of_300_000_words(spark):
     table = table.unionByName(spark.createDataFrame([("w5", "a"), ("w5", None), (None, "x")], "word string, lemma string"))
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("x").alias("word"), F.array(
         F.lit("w5"), F.concat(F.lit("w"), F.col("id") * 100), F.lit("zz"), F.lit("w5")).alias("tokens"))
-    docs = docs.unionByName(spark.createDataFrame([(-1, "x", None), (-2, "x", []), (-3, "x", ["w6", None])], docs.schema))
+    docs = docs.unionByName(spark.createDataFrame([(-1, "x", None), (-2, "x", []), (-3, "x", ["w6", None])], "doc_id long, word string, tokens array<string>"))
     got = {r["doc_id"]: r["tokens"] for r in PH.lemmatize_by_table(docs, table, chunk_docs=100).collect()}
     assert len(got) == 3003 and got[-1] is None and got[-2] == [] and got[-3] == ["l6", None]
     assert all(got[i] == ["a", f"l{i * 100 % 7}", "zz", "a"] for i in range(1, 3000))

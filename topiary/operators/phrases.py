@@ -20,6 +20,7 @@ import math
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from topiary.functions.arrays import explode_rows
 from topiary.operators.tokens import tokenize
@@ -80,4 +81,5 @@ def lemmatize_by_table(df: DataFrame, table: DataFrame, tokens_col: str = "token
         new = [None if t is None else [lemma.get(w, w) for w in t] for t in docs.column(at).to_pylist()]
         return docs.set_column(at, tokens_col, pa.array(new, pa.list_(pa.string()))).drop_columns(["__chunk"])
 
-    return rows.groupBy("__chunk").cogroup(found.groupBy("__of")).applyInArrow(replace, df.schema)
+    schema = StructType([StructField(f.name, ArrayType(StringType())) if f.name == tokens_col else f for f in df.schema])
+    return rows.groupBy("__chunk").cogroup(found.groupBy("__of")).applyInArrow(replace, schema)
