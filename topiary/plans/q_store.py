@@ -15,6 +15,7 @@ from topiary.plans import sql as S
 from topiary.plans.catalog import register
 from topiary.plans.q_vocab import TOKS, VOCAB_CTES, corpus_tokens
 from topiary.session import frozen, work_dir
+from topiary.sources import manifest as MF
 from topiary.sources import store as ST
 from topiary.sources import web
 from topiary.sources.corpus import pdf_paths, publications_raw, read_table
@@ -48,17 +49,34 @@ SELECT p.doc_id, p.journal, p.year, p.title, md5(coalesce(u.content, p.content))
 FROM pubs p LEFT JOIN upd u USING (doc_id)"""
 
 
-@register("replace_by_key", _UPD_SQL)
-def q_replace_by_key(spark, sf):
+def _base_and_updates(spark, sf):
     base = _pubs(spark, sf).select("doc_id", "journal", "year", "title", "content")
     upd = (base.filter(F.col("doc_id") % 3 == 0).withColumn("content", F.concat(F.lit("updated "), F.col("title")))
            .unionByName(base.filter(F.col("doc_id") % 7 == 0)
                         .withColumn("doc_id", F.col("doc_id") + 1000000000)
                         .withColumn("content", F.lit("phantom"))))
+    return base, upd
+
+
+@register("replace_by_key", _UPD_SQL)
+def q_replace_by_key(spark, sf):
+    base, upd = _base_and_updates(spark, sf)
     out = ST.replace_by_key(base, upd, "doc_id")
     return out.select("doc_id", "journal", "year", "title", F.md5("content").alias("content_md5"))
 
 
+@register("replace_in_files", _UPD_SQL)
+def q_replace_in_files(spark, sf):
+    """S3 on a stored table, file by file: the updates of a third of the documents, in two batches."""
+    base, upd = _base_and_updates(spark, sf)
+    root = work_dir(spark, "publications")
+    MF.create(base.repartitionByRange(8, "doc_id"), root)
+    for i in (0, 1):
+        MF.replace(root, upd.filter(F.col("doc_id") % 2 == i), "doc_id")
+    out = MF.read(spark, root)
+    return out.select("doc_id", "journal", "year", "title", F.md5("content").alias("content_md5"))
+
+
 @register("list_files", "SELECT DISTINCT source AS journal FROM documents WHERE source IS NOT NULL")
 def q_list_files(spark, sf):
     """The documents stored in a folder per journal; the journals found by listing the files."""
