@@ -88,6 +88,71 @@ def test_shard_law_and_rerun(spark, awkward):
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == want
 
 
+def plain_hilbert(cell: list, bits: int) -> int:
+    """One cell's place on the curve, bit plane by bit plane."""
+    x, n = list(cell), len(cell)
+    for level in range(bits - 1, 0, -1):
+        low = (1 << level) - 1
+        for i in range(n):
+            if x[i] >> level & 1:
+                x[0] ^= low
+            else:
+                swap = (x[0] ^ x[i]) & low
+                x[0], x[i] = x[0] ^ swap, x[i] ^ swap
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    flip = 0
+    for level in range(bits - 1, 0, -1):
+        if x[-1] >> level & 1:
+            flip ^= (1 << level) - 1
+    x = [v ^ flip for v in x]
+    out = 0
+    for level in range(bits - 1, -1, -1):
+        for v in x:
+            out = out * 2 + (v >> level & 1)
+    return out
+
+
+def brute_shards(rows: list, shards: int = 40, bits: int = 5) -> Counter:
+    """(doc_id, size, shard, slot, curve) of rows (doc_id, text, lang, source)."""
+    buckets = []
+    for c in (2, 3):
+        names = sorted(r[c] or "" for r in rows)
+        buckets.append({v: names.index(v) * (1 << bits) // len(names) for v in set(names)})
+    keyed = []
+    for i, t, lang, source in rows:
+        raw = (t or "").encode()
+        half = next((h for h in range(1 << bits) if (len(raw) + 16) ** 2 < 256 * 2 ** (h + 1)), (1 << bits) - 1)
+        cell = [buckets[0][lang or ""], buckets[1][source or ""], half]
+        keyed.append((plain_hilbert(cell, bits), zlib.crc32(raw), (i is not None, i or 0), i, len(raw) + 16))
+    keyed.sort(key=lambda k: k[:3])
+    starts = [-(-s * len(rows) // shards) for s in range(shards)]
+    at = [r * shards // len(rows) for r in range(len(rows))]
+    return Counter((k[3], k[4], s, r - starts[s], k[0]) for r, (k, s) in enumerate(zip(keyed, at)))
+
+
+def test_shards_are_the_plain_ones(spark, awkward):
+    for df in (spark.read.parquet(f"{SMALL}/documents.parquet"), awkward):
+        clash = df.withColumns({c: F.lit(None).cast("string") for c in ("x", "curve", "bucket", "name", "size", "n")})
+        got = Counter(tuple(r) for r in sharding.shard(clash).select("doc_id", "size", "shard", "slot", "curve").collect())
+        rows = [tuple(r) for r in df.select("doc_id", "text", *(F.col(c).cast("string") for c in ("lang", "source"))).collect()]
+        assert got == brute_shards(rows)
+
+
+def test_a_filter_opens_few_shards(spark):
+    """By each shard's least and greatest name, as a Parquet reader prunes files."""
+    docs = spark.read.parquet(SMALL.replace("0.001", "0.01") + "/documents.parquet")
+    rows = sharding.shard(docs).select("doc_id", "shard").join(docs.select("doc_id", "lang", "source"), "doc_id").collect()
+    for c in ("lang", "source"):
+        names = defaultdict(set)
+        for r in rows:
+            names[r["shard"]].add(r[c])
+        for name in {r[c] for r in rows}:
+            held = sum(name in held for held in names.values())
+            opened = sum(min(held) <= name <= max(held) for held in names.values())
+            assert opened <= 1.5 * held, (c, name)
+
+
 def test_shard_empty(empty):
     assert sharding.shard(empty).count() == 0
 
