@@ -86,6 +86,41 @@ def test_entropy_spans():
     assert hot <= token_only
 
 
+#: Class -> (characters, least share found of planted random keys of 32 characters, 22 for digits: longer ones are base rule hex).
+PLANTED = {"digits": ("0123456789", 0.95), "hex": ("0123456789ABCDEF", 0.95), "lower": ("abcdefghijklmnopqrstuvwxyz", 0.85),
+           "upper": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 0.85), "letters": ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 0.99),
+           "base64": ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", 0.99)}
+
+
+def test_planted_keys_of_each_class():
+    r, n = random.Random(3), 400
+    for name, (chars, least) in PLANTED.items():
+        hits = 0
+        for _ in range(n):
+            key = "".join(r.choice(chars) for _ in range(22 if name == "digits" else 32))
+            spans = [s for s in secrets.scan_text(f"see {key} there") if s[2] == "entropy"]
+            assert all(4 <= a < b <= 4 + len(key) for a, b, _ in spans)
+            hits += bool(spans)
+        assert hits >= least * n, (name, hits)
+
+
+def test_allow_list():
+    calm = ["Zk3J9xQ7vW1mT5rY8bN2.png", "https://example.org/2020/03/how-a-small-town-of-rivers-was-saved-in-2019", "src/main/java/ApplicationContextFactory",
+            "123e4567-e89b-12d3-a456-426614174000", "01234567890123456789", "internationalizationAndLocalization", "==========================",
+            "donaudampfschifffahrtsgesellschaft", "MAXIMUM_ALLOWED_CONNECTIONS_2", "chapter12/section03/paragraph0041"]
+    for text in calm:
+        assert secrets.scan_text(f"see {text} there") == [], text
+    assert [k for *_, k in secrets.scan_text("a key qzXvTbNmKjHgFdRwPlCsYtWbVq without a digit")] == ["entropy"]
+    assert [k for *_, k in secrets.scan_text("Zk3J9xQ7vW1mT5rY8bN2.pngx")] == ["entropy"]  # no known extension
+
+
+def test_entropy_adds_few_spans_to_prose(spark):
+    rows = [r[0] for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()]
+    words = sum(len((t or "").split()) for t in rows)
+    found = sum(s[2] == "entropy" for t in rows for s in secrets.scan_text(t or ""))
+    assert found * 10_000 <= words
+
+
 def test_secret_scan_is_linear():
     import time
     began = time.monotonic()
@@ -95,7 +130,11 @@ def test_secret_scan_is_linear():
 
 
 def test_secrets_awkward(awkward, empty):
-    assert secrets.scan(awkward).count() == awkward.count() and secrets.scan(empty).count() == 0
+    assert secrets.scan(empty).count() == 0
+    got = secrets.scan(awkward).collect()
+    assert len(got) == awkward.count()
+    for r in got:
+        assert [tuple(s) for s in r["secret_spans"]] == secrets.scan_text(r["text"] or "")
 
 
 def test_token_counts_equal_the_library(spark, small_docs, awkward, empty):
