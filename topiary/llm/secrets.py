@@ -14,7 +14,7 @@ known extension, strings whose parts between separators all read like words or s
 numbers (paths, article addresses, identifiers in camel case), numbers that count up or
 down, and digests that a base rule reports already. A part reads like a word if its
 letters, cut at capitals, come in humps of three or more with vowels among them and no five
-consonants (sch, ch, ck, th are one) in a row; no word list is asked, so a random key that passes for
+consonants (sch, ch, ck, th are one, h after a vowel is none) in a row; no word list is asked, so a random key that passes for
 syllables is missed (tests state the recall by class).
 
 Spans are code points, end exclusive. Defined cases: NULL and empty texts give
@@ -57,7 +57,7 @@ _NUMBER = re.compile(r"[0-9]{1,8}")
 _WORD = re.compile(r"([A-Za-z]+)[0-9]{0,4}")
 _HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _VOWEL = re.compile(r"[aeiouyAEIOUY]")
-_CONSONANTS = re.compile(r"(?>sch|ch|ck|th|[b-df-hj-np-tv-xz]){5}", re.I)  # five sounds
+_CONSONANTS = re.compile(r"(?>sch|ch|ck|th|(?<![aeiouy])h|[b-dfgj-np-tv-xz]){5}", re.I)  # five sounds; an h after a vowel is none
 _BITS = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
