@@ -27,6 +27,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module (registration happens at import)."""
     from topiary.plans import (  # noqa: F401
+        q_alignment,
         q_coherence,
         q_extensions,
         q_model,

@@ -111,13 +111,19 @@ def q_lda_views(spark, sf):
 OTHER = 99
 
 
-def _two_models_sql() -> str:
-    """``top``(model_id, topic_id, word) of the models that the seeds give after one update."""
+def updated_ctes(seeds) -> list[str]:
+    """new_<seed>(term_id, k, lam) of each model after one update."""
     parts = []
-    for seed in (SEED, OTHER):
+    for seed in seeds:
         own = SL.start_ctes(K, seed).replace("lam AS", f"lam_{seed} AS").replace(" lam GROUP", f" lam_{seed} GROUP").replace("FROM lam JOIN", f"FROM lam_{seed} JOIN")
         own = own.replace("beta_tot", f"beta_{seed}_tot").replace("beta AS", f"beta_{seed} AS")
         parts += [own, SL.e_ctes(ROUNDS, 1 / K, f"beta_{seed}", f"e{seed}"), SL.m_ctes(1 / K, RHO, f"lam_{seed}", f"e{seed}", f"new_{seed}")]
+    return parts
+
+
+def _two_models_sql() -> str:
+    """``top``(model_id, topic_id, word) of the models that the seeds give after one update."""
+    parts = updated_ctes((SEED, OTHER))
     both = " UNION ALL ".join(f"SELECT {s}::BIGINT AS model_id, * FROM new_{s}" for s in (SEED, OTHER))
     parts.append(f"""top AS MATERIALIZED (
   SELECT model_id, k AS topic_id, token AS word FROM (
