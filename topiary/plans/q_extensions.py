@@ -86,3 +86,17 @@ def q_stream_preprocess(spark, sf):
     back = spark.read.parquet(out)
     return back.select("doc_id", F.size("tokens").alias("n_tokens"),
                        F.md5(F.array_join("tokens", "|")).alias("tokens_md5"))
+
+
+@register("stream_unique", f"""WITH {S.PUBS}, {S.DECORATED}, {S.CLEANED}, {S.tokens_ctes('cleaned')}
+SELECT doc_id, len(tokens) AS n_tokens, {S.md5_list('tokens')} AS tokens_md5 FROM toks""")
+def q_stream_unique(spark, sf):
+    """S13 in the stream: two thirds of the documents are delivered and processed, then
+    all of them in new files, and the stream starts again: each document comes out once."""
+    docs = read_table(spark, sf, "documents").select(*[c.split()[0] for c in ingest.DOCUMENTS_SCHEMA.split(", ")])
+    into, out, ckpt = (work_dir(spark, f"stream_unique_{x}") for x in ("in", "out", "ckpt"))
+    for delivery in (docs.filter(F.col("doc_id") % 3 != 0), docs):
+        delivery.write.mode("append").parquet(into)
+        ingest.start_unique_stream(spark, into, out, ckpt).awaitTermination()
+    return spark.read.parquet(out).select("doc_id", F.size("tokens").alias("n_tokens"),
+                                          F.md5(F.array_join("tokens", "|")).alias("tokens_md5"))

@@ -41,8 +41,8 @@ def year_of(doc_id) -> F.Column:
     return (F.lit(2000) + doc_id % 10).cast("string")
 
 
-def publications_raw(docs: DataFrame) -> DataFrame:
-    """documents -> publications_raw(doc_id, journal, year, title, content, lang)."""
+def publications_raw(docs: DataFrame, keep: tuple = ()) -> DataFrame:
+    """documents -> publications_raw(doc_id, journal, year, title, content, lang), and the columns ``keep``."""
     d = F.col("doc_id")
     return docs.select(
         d.alias("doc_id"),
@@ -51,6 +51,7 @@ def publications_raw(docs: DataFrame) -> DataFrame:
         F.concat(F.lit("doc-"), d.cast("string")).alias("title"),
         F.col("text").alias("content"),
         F.col("lang"),
+        *keep,
     )
 
 
@@ -95,7 +96,7 @@ def decorated_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", F.concat(head, F.lit(PAGE_REFS), F.col("html")).alias("html"))
 
 
-def decorated_publications(docs: DataFrame) -> DataFrame:
+def decorated_publications(docs: DataFrame, keep: tuple = ()) -> DataFrame:
     """publications_raw with decorated raw content (input to C2-C8)."""
-    pubs = publications_raw(docs)
+    pubs = publications_raw(docs, keep)
     return pubs.withColumn("content", decorated_text(F.col("doc_id"), F.col("content")))
