@@ -11,7 +11,7 @@ FAST = ["clean_fulltext", "path_metadata", "general_preprocess", "doc2bow", "ass
         "topics_by_journal", "cooccurrence_matrix", "topic_word_stats", "coherence_cv",
         "replace_by_key", "skip_processed_docs", "html_to_text", "topic_table", "tfidf_filter",
         "lda_update", "infer_topics_stored", "phrase_entities", "lemmatize_by_table", "replace_in_files",
-        "topic_alignment", "stream_unique", "lda_topic_stability", "lda_merge_candidates", "skip_existing_models", "link_metadata", "harvest_kinds", "write_bow"]
+        "topic_alignment", "stream_unique", "write_bow_buckets", "lda_topic_stability", "lda_merge_candidates", "skip_existing_models", "link_metadata", "harvest_kinds", "write_bow"]
 
 
 def norm(v):

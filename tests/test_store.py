@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from topiary.operators import incremental as INC
@@ -22,6 +23,27 @@ def test_replace_by_key_with_repeated_updates(spark):
     assert sorted(map(tuple, ST.replace_by_key(base, upd, "k").collect())) == [(1, "y"), (2, "b"), (3, "c")]
 
 
+def test_bow_buckets_are_joined_without_an_exchange(spark, tmp_path):
+    from topiary.plans.q_store import _per_term
+    vocab = spark.createDataFrame([(i, f"w{i}", 5) for i in range(50)], "term_id long, token string, df long")
+    bow = spark.createDataFrame([(d, t, d % 3 + 1) for d in range(40) for t in range(d, 50)] + [(99, 7, None)], "doc_id long, term_id long, tf long")
+    folder = str(tmp_path / "it's here")
+    ST.write_bow_buckets(vocab, bow, folder, 4)
+    v, b = ST.read_bow_buckets(spark, folder)
+    assert sorted(map(tuple, b.collect()), key=str) == sorted(map(tuple, bow.collect()), key=str)
+    out = _per_term(v, b)
+    rows = sorted(map(tuple, out.collect()))
+    assert rows == sorted(map(tuple, _per_term(vocab, bow).collect())) and len(rows) == 50
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    files = [f for f in os.listdir(f"{folder}/bow") if f.endswith(".parquet")]
+    assert len(files) == 4
+    ST.write_bow_buckets(vocab.limit(0), bow.limit(0), str(tmp_path / "none"), 4)
+    assert _per_term(*ST.read_bow_buckets(spark, str(tmp_path / "none"))).count() == 0
+    with pytest.raises(AnalysisException):
+        ST.read_bow_buckets(spark, str(tmp_path / "missing"))
+
+
 def test_list_files_is_the_walk(spark, tmp_path):
     for name in ("a.txt", "x/b.csv", "x/y/c.d.e", "x/nodot"):
         p = tmp_path / name

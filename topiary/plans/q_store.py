@@ -116,6 +116,23 @@ def q_write_bow(spark, sf):
     return b.join(V.broadcast_if_small(v.select("term_id", "token")), "term_id").select("doc_id", "token", "tf")
 
 
+@register("write_bow_buckets", f"""{TOKS}, {VOCAB_CTES}
+SELECT token, count(*) AS n_docs, sum(n) AS n, max(n) AS most FROM tc JOIN vocab USING (token) GROUP BY token""")
+def q_write_bow_buckets(spark, sf):
+    """S8 read back by term: joined and counted where the buckets lie, without an exchange."""
+    counts = frozen(V.token_counts(corpus_tokens(spark, sf)))
+    folder = work_dir(spark, "lda_buckets")
+    vocab = V.build_vocab(read_table(spark, sf, "documents"), counts=counts)
+    ST.write_bow_buckets(vocab, V.doc2bow(None, vocab, counts=counts), folder)
+    return _per_term(*ST.read_bow_buckets(spark, folder))
+
+
+def _per_term(vocab, bow):
+    per = bow.join(vocab.select("term_id", "token").hint("merge"), "term_id").groupBy("term_id", "token").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum("tf").alias("n"), F.max("tf").alias("most"))
+    return per.select("token", "n_docs", "n", "most")
+
+
 # --- skip logic ----------------------------------------------------------------------
 
 @register("skip_processed_docs", f"""WITH {S.PATHS}, {S.PUBS},

@@ -7,6 +7,8 @@ writes are whole-DataFrame jobs (one task per partition), never row by row.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +86,33 @@ def write_bow(vocab: DataFrame, bow: DataFrame, folder: str) -> None:
 def read_bow(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """A missing folder raises AnalysisException (the reference exits)."""
     return spark.read.parquet(f"{folder}/vocab"), spark.read.parquet(f"{folder}/bow")
+
+
+BOW_BUCKETS = 64
+
+
+def write_bow_buckets(vocab: DataFrame, bow: DataFrame, folder: str, buckets: int = BOW_BUCKETS) -> None:
+    """S8 laid out for joins on the term: both tables hashed on ``term_id`` into the same
+    number of buckets, one sorted file each, so that joining them back moves no row. Size ``buckets``
+    for the corpus: a bucket is read by one task, and a term's rows (one per document
+    that holds it at most) are in one bucket."""
+    name = "topiary_bow_" + uuid.uuid4().hex[:12]
+    for part, df in (("vocab", vocab), ("bow", bow)):
+        df.repartition(buckets, "term_id").write.mode("overwrite").bucketBy(buckets, "term_id").sortBy("term_id") \
+          .option("path", f"{folder}/{part}").saveAsTable(f"{name}_{part}")
+        df.sparkSession.sql(f"DROP TABLE {name}_{part}")  # the entry; the files of a table with a path stay
+    layout = [(part, buckets, df.schema.toDDL()) for part, df in (("vocab", vocab), ("bow", bow))]
+    bow.sparkSession.createDataFrame(layout, "part string, buckets int, columns string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/layout")
+
+
+def read_bow_buckets(spark: SparkSession, folder: str, name: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(vocab, bow) as bucketed tables, in any session; they are entered in the
+    catalog as <name>_vocab and <name>_bow (made up if not given). A missing folder raises AnalysisException."""
+    layout = {r["part"]: r for r in spark.read.parquet(f"{folder}/layout").collect()}
+    name, out = name or "topiary_bow_" + uuid.uuid4().hex[:12], []
+    for part in ("vocab", "bow"):
+        where = f"{folder}/{part}".replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name}_{part} ({layout[part]['columns']}) USING parquet CLUSTERED BY (term_id) "
+                  f"SORTED BY (term_id) INTO {layout[part]['buckets']} BUCKETS LOCATION '{where}'")
+        out.append(spark.table(f"{name}_{part}"))
+    return out[0], out[1]
