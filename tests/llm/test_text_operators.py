@@ -12,43 +12,45 @@ from conftest import SMALL
 from topiary.llm import chat, decontaminate, queries, secrets, token_counts, toxicity
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 25, 400])
-def test_decontaminate_brute_force(spark, block_bytes):
+def judged(got, docs, items):
+    key = lambda r: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"])
+    want = [((d, t), *decontaminate.brute_force([(0, t)], items)[0]) for d, t in docs]
+    assert sorted(map(repr, (((r["doc_id"], r["text"]), *key(r)) for r in got))) == sorted(map(repr, want))
+
+
+def test_decontaminate_brute_force(spark):
     passage = " ".join(f"w{i}" for i in range(40))
     docs = [(1, None), (2, ""), (3, "x " + passage.upper() + " y " * 10), (4, " ".join(passage.split()[:12])),
             (5, "a b"), (6, "A-B a  b"), (7, passage + " " + passage), (7, passage), (None, "solo"), (8, "été " * 13),
-            (9, "pre " * 400 + " ".join(passage.split()[5:18]))]
-    items = [(1, passage), (1, "été " * 13), (2, "a b"), (3, None), (4, ""), (5, "solo"), (10, passage[:60])]
+            (9, "pre " * 400 + " ".join(passage.split()[5:18])), (10, "solo" * 90_000 + " solo"), (11, " ".join(passage.split()[-13:])),
+            (12, "a a b a"), (13, "pre " + " ".join(passage.split()[-12:]) + " post")]
+    items = [(1, passage), (1, "été " * 13), (2, "a b"), (3, None), (4, ""), (5, "solo"), (10, passage[:60]), (None, "a b a"), (11, "been \x00 there")]
     got = decontaminate.find(spark.createDataFrame(docs, "doc_id long, text string").withColumn("n_words_", F.lit(1)),
-                             spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes).collect()
-    assert len(got) == len(docs)
-    for r in got:
-        want = decontaminate.brute_force([(0, r["text"])], items)[0]
-        assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) == want
+                             spark.createDataFrame(items, "item_id long, text string"))
+    assert got.columns == ["doc_id", "text", "n_words_", *decontaminate.ADDED]
+    judged(got.collect(), docs, items)
 
 
-def test_decontaminate_blocks_are_bounded_by_windows(spark, monkeypatch):
+def test_decontaminate_random(spark):
+    """Few words, so that windows overlap, prefixes are shared and most candidates are none."""
     r = random.Random(5)
-    items = [(i, " ".join(f"w{r.randrange(400)}" for _ in range(40))) for i in range(60)] + [(i, "tail " * 14) for i in range(60)]
-    docs = [(i, "pre " + t + " post") for i, t in items[::7]] + [(900, "clean text"), (901, None)]
-    sizes, made = [], decontaminate.Index.__init__
-
-    def init(self, rows, *more):
-        made(self, rows, *more)
-        sizes.append((len(rows), len(self.length)))
-
-    monkeypatch.setattr(decontaminate.Index, "__init__", init)
-    limit = 40_000
-    got = decontaminate.find(spark.createDataFrame(docs, "doc_id long, text string"),
-                             spark.createDataFrame(items, "item_id long, text string"), block_bytes=limit).collect()
-    want = decontaminate.brute_force(docs, items)
-    key = lambda r: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"])
-    assert sorted((r["doc_id"], key(r)) for r in got if r["doc_id"] >= 900) == [(900, want[900]), (901, want[901])]
-    by = [decontaminate.brute_force([(0, t)], items)[0] for _, t in docs]
-    assert sorted(map(key, got)) == sorted(by)
-    # 60 items of 28 windows, and one window that all 60 hold: dealt by what they hold, not by 9 bytes a word
-    assert len(sizes) > 5 and sum(n for n, _ in sizes) == 60 * 28 + 60
-    assert max(n for n, _ in sizes) * (decontaminate.ROW_BYTES + 100) < 2 * limit
+    said = lambda n, words: " ".join(f"w{int(words * r.random() ** 2)}" for _ in range(n))
+    items = [(i, said(r.choice([1, 2, 3, 12, 13, 40]), 30)) for i in range(60)] + [(i, "tail " * 14) for i in range(60)]
+    docs = [(i, said(r.randrange(5), 30) + " " + t + " post " + said(r.randrange(60), 30)) for i, t in items[::7]]
+    docs += [(100 + i, said(80, 30)) for i in range(20)] + [(900, "clean text"), (901, None)] + [(200 + i, docs[0][1]) for i in range(50)]
+    judged(decontaminate.find(spark.createDataFrame(docs, "doc_id long, text string"),
+                              spark.createDataFrame(items, "item_id long, text string")).collect(), docs, items)
+
+
+def test_decontaminate_replaces_columns_of_its_names(spark):
+    docs = spark.createDataFrame([(1, "a b", 7, "x", "y")], "__key long, text string, n_words int, __digest string, window string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    items = spark.createDataFrame([(5, "b")], "item_id long, text string")
+    for keep in (None, docs.columns):
+        got = decontaminate.find(docs, none, keep=keep)
+        assert got.columns == ["__key", "text", "__digest", "window", *decontaminate.ADDED]
+        assert (got.first()["n_words"], got.first()["__digest"]) == (2, "x")
+        assert decontaminate.find(docs, items, keep=keep).first()["n_hit"] == 1
 
 
 def test_decontaminate_empty(spark, empty):

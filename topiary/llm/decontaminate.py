@@ -4,46 +4,45 @@ A window is ``width`` consecutive words of a benchmark item (the whole item if
 shorter). As a set, a window is its runs of three words (shingles); a document
 holds the window only if it holds every shingle of it, so one prefix token,
 the window's rarest shingle, is enough to find all candidates. Rarity is
-counted over all documents. At a candidate place the shingle's offset inside
-the window gives the start; positional and length bounds drop starts for which
-the window does not fit into the document, and exact comparison of the words
-over the item-sized window decides.
-
-Documents stay where they are: the benchmark is the query set. Its distinct
-(window, item) rows are made by the executors, counted with what an index holds
-of each, and dealt into blocks of about ``block_bytes`` of that. The driver sees
-one block at a time, as arrays, and broadcasts its index; a larger benchmark
-takes one pass per block, whose marks are united per document.
+counted over all documents; a window with a token that no document has is dropped there.
+
+The benchmark is as distributed as the documents: windows, their tokens, the
+counts and the prefixes are tables. Documents are read, never moved: tasks probe
+their tokens against a Bloom filter, and a place that may begin a candidate leaves
+with its digest and the words around it. These places meet the prefixes in a join on the
+token; the offset inside the window gives the start, positional and length bounds drop
+starts for which the window does not fit into the document, and exact comparison of the
+words over the item-sized window decides. Marks are kept per distinct text and
+come back to the documents that another Bloom filter knows; the other
+documents are clean. So documents are read four times, whatever the size of the benchmark.
 
 Defined cases: NULL or empty texts have no words and are clean; items without
 words have no windows; several rows with one item_id are one item, a NULL
 item_id is written as the empty string; repeated document rows are judged one by
-one; an empty benchmark leaves every document clean.
+one; an empty benchmark leaves every document clean. Other columns of ``docs`` are
+handed through by ``keep``; one with a name that ``find`` adds is replaced by the added one.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from topiary.llm.bloom import bloom_of
 from topiary.llm.common import frozen
 from topiary.llm.textbytes import ALNUM, Words, blocks, shingles
 
 WIDTH = 13
 SHINGLE = 3
-#: What the windows of a broadcast block hold: words, tokens, item ids.
-BLOCK_BYTES = 32 << 20
-#: Of each window, besides its words, tokens and item id (lengths, places, offsets).
-ROW_BYTES = 64
-#: Windows per Arrow batch while they are made.
+#: Windows, or places with their words, per Arrow batch while they are made.
 BATCH_WINDOWS = 8192
+ADDED = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def tokens(w: Words) -> np.ndarray:
@@ -64,7 +63,7 @@ def windows(items: DataFrame, width: int) -> DataFrame:
     are joined by a blank, ``tokens`` the hashes of the window's shingles, in order; a
     window of fewer than SHINGLE words is held by longer runs, so it has its words' hashes."""
     def made(words, sizes, tokens_, ids):
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tokens_, pa.binary()),
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tokens_, pa.list_(pa.int64())),
                                            pa.array(ids, pa.string())], ["words", "size", "tokens", "item_id"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,213 +79,135 @@ def windows(items: DataFrame, width: int) -> DataFrame:
                         continue
                     item, inner = batch.column(0)[first + row].as_py(), size >= SHINGLE
                     text = w.text(a, b)
-                    own = (runs if inner else w.hash)[a:b].astype("<u8").tobytes()
-                    held = 8 * (size - SHINGLE + 1 if inner else size)
+                    own = (runs if inner else w.hash)[a:b].view(np.int64).tolist()
+                    held = size - SHINGLE + 1 if inner else size
                     at = np.concatenate([[0], np.cumsum(w.end[a:b] - w.start[a:b] + 1)]).tolist()
                     for i in range(b - a - size + 1):
-                        for column, value in zip(out, (text[at[i]:at[i + size] - 1], size, own[8 * i:8 * i + held], item), strict=True):
+                        for column, value in zip(out, (text[at[i]:at[i + size] - 1], size, own[i:i + held], item), strict=True):
                             column.append(value)
                         if len(out[0]) >= BATCH_WINDOWS:
                             yield made(*out)
                             out = ([], [], [], [])
             yield made(*out)
 
-    return items.select("item_id", "text").mapInArrow(cut, "words binary, size long, tokens binary, item_id string").distinct()
-
-
-class Index:
-    """Windows of a block, as arrays; after ``choose``, keyed by prefix token."""
-
-    def __init__(self, rows: pa.Table):
-        coded = rows.column("words").combine_chunks().dictionary_encode()
-        number, names = coded.indices.to_numpy(), rows.column("item_id").combine_chunks().dictionary_encode()
-        _, one = np.unique(number, return_index=True)  # a row of each window
-        self.words = _Bytes(coded.dictionary)
-        self.length = rows.column("size").to_numpy()[one]
-        order = np.argsort(number, kind="stable")
-        self.item_at = np.searchsorted(number[order], np.arange(len(one) + 1))
-        self.item = names.indices.to_numpy()[order]
-        self.names = _Bytes(names.dictionary.cast(pa.binary()))
-        own = rows.column("tokens").combine_chunks().take(pa.array(one))
-        self.tokens = np.frombuffer(b"".join(own.to_pylist()), dtype="<u8")
-        self.token_at = np.concatenate([[0], np.cumsum(pc.binary_length(own).to_numpy() // 8)]).astype(np.int64)
-        self.vocabulary = np.unique(self.tokens)
-
-    def choose(self, tokens_: np.ndarray, counts: np.ndarray) -> Index:
-        """Keys each window by its rarest token (the prefix); ``tokens_`` sorted, with their counts."""
-        n = np.zeros(len(self.vocabulary), dtype=np.int64)
-        n[np.searchsorted(self.vocabulary, tokens_)] = counts
-        window = np.repeat(np.arange(len(self.length)), np.diff(self.token_at))
-        order = np.lexsort((self.tokens, n[np.searchsorted(self.vocabulary, self.tokens)], window))
-        rarest = order[self.token_at[:-1]]  # the first of each window
-        token, place = self.tokens[rarest], rarest - self.token_at[:-1]
-        by = np.argsort(token, kind="stable")
-        self.number, self.place = by, place[by]
-        keys, self.key_at = np.unique(token[by], return_index=True)
-        self.key_at = np.append(self.key_at, len(by))
-        self.prefix = Lookup(keys)
-        del self.tokens, self.token_at, self.vocabulary
-        return self
-
-
-class _Bytes:
-    """Many byte strings in one buffer."""
-
-    def __init__(self, values: pa.Array):
-        values = values.to_pylist()
-        self.data = b"".join(values)
-        self.at = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int64)
-
-    def __getitem__(self, i: int) -> bytes:
-        return self.data[self.at[i]:self.at[i + 1]]
-
-
-class Lookup:
-    """Which of many hashes are in a sorted set: a bitmap first, then a search."""
-
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys
-        self.bits = np.zeros(1 << 18, dtype=bool)
-        self.bits[(keys & np.uint64((1 << 18) - 1)).astype(np.int64)] = True
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        maybe = np.flatnonzero(self.bits[(hashes & np.uint64((1 << 18) - 1)).astype(np.int64)])
-        if not len(self.keys):
-            return maybe[:0]
-        at = np.minimum(np.searchsorted(self.keys, hashes[maybe]), len(self.keys) - 1)
-        return maybe[self.keys[at] == hashes[maybe]]
+    return items.select("item_id", "text").mapInArrow(cut, "words binary, size long, tokens array<long>, item_id string").distinct()
+
+
+def _known(hashes: np.ndarray, bloom) -> np.ndarray:
+    return np.flatnonzero(bloom.knows(pa.array(hashes.view(np.int64))))
 
 
 def _token_sets(w: Words, short: bool) -> list[np.ndarray]:
+    """``short``: some windows have fewer than SHINGLE words, whose tokens are words."""
     return [tokens(w), w.hash] if short else [tokens(w)]
 
 
-def _count(docs: DataFrame, vocabulary: np.ndarray, short: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences of the benchmark's tokens over all documents: a partial count
-    per task, summed by token; the result (tokens, counts) is no larger than the vocabulary."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-
+def _counts(docs: DataFrame, vocabulary, short: bool) -> DataFrame:
+    """(token, n): occurrences over all documents of the tokens that the filter knows, added up map-side."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = Lookup(shared.value)
-        total = np.zeros(len(keys.keys), dtype=np.int64)
         for batch in batches:
             for _, _, data, offsets in blocks(batch.column(0)):
                 w = Words(data, offsets, ALNUM)
                 for t in _token_sets(w, short):
-                    found = t[keys.find(t)]
-                    if len(found):
-                        total += np.bincount(np.searchsorted(keys.keys, found), minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.keys[seen].view(np.int64)), pa.array(total[seen])], ["token", "n"])
-
-    rows = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
-    return rows.column("token").to_numpy().view(np.uint64), rows.column("n").to_numpy()
-
-
-def _marks(index: Index, data: np.ndarray, offsets: np.ndarray, short: bool):
-    """For one block of documents: words per row, and per row the hit spans and the items' numbers."""
-    w = Words(data, offsets, ALNUM)
-    spans: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    items: dict[int, set] = defaultdict(set)
-    for t in _token_sets(w, short):
-        found = index.prefix.find(t)
-        for p, key in zip(found.tolist(), np.searchsorted(index.prefix.keys, t[found]).tolist(), strict=True):
-            row = int(w.doc[p])
-            low, high = int(w.first[row]), int(w.first[row + 1])
-            for e in range(int(index.key_at[key]), int(index.key_at[key + 1])):
-                number, at = int(index.number[e]), p - int(index.place[e])
-                to = at + int(index.length[number])
-                if at < low or to > high:  # positional and length bounds
-                    continue
-                if w.text(at, to) == index.words[number]:
-                    spans[row].append((at - low, to - low))
-                    items[row].update(index.item[index.item_at[number]:index.item_at[number + 1]].tolist())
-    return np.diff(w.first), spans, items
-
-
-def _merged(spans: list) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+                    token, n = np.unique(t[_known(t, vocabulary.value)], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))], ["token", "n"])
+
+    return docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def _places(docs: DataFrame, prefixes, short: bool, width: int) -> DataFrame:
+    """(digest, at, token, before, around) of each document word whose token may be a prefix:
+    its place, and the words up to ``width`` - 1 before (``before`` of them) and after it."""
+    names = ["digest", "at", "token", "before", "around"]
+    types = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.string()]
+
+    def find_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, _, data, offsets in blocks(batch.column(1)):
+                w = Words(data, offsets, ALNUM)
+                for t in _token_sets(w, short):
+                    found = _known(t, prefixes.value)
+                    for k in range(0, len(found), BATCH_WINDOWS):
+                        p = found[k:k + BATCH_WINDOWS]
+                        row = w.doc[p]
+                        low = np.maximum(w.first[row], p - width + 1)
+                        high = np.minimum(w.first[row + 1], p + width)
+                        around = [w.text(a, b) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+                        columns = [batch.column(0).take(pa.array(first + row)), p - w.first[row], t[p].view(np.int64), p - low, around]
+                        yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kind)
+                                                          for c, kind in zip(columns, types, strict=True)], names)
+
+    return docs.select("__digest", "text").mapInArrow(find_places, "digest binary, at long, token long, before int, around string")
 
 
-def _mark(docs: DataFrame, index: Index, short: bool, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with ``__n_words``, ``__spans`` (word places) and ``__items``."""
-    from pyspark.sql import types as T
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-    span = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("__n_words", T.LongType()),
-                           T.StructField("__spans", span), T.StructField("__items", T.ArrayType(T.StringType()))])
-    at = docs.columns.index("text")
+def _with_words(docs: DataFrame, bloom, known: bool) -> DataFrame:
+    """``__keep`` and ``__digest`` of the rows whose digest the filter knows (or not), with ``n_words``."""
+    schema = T.StructType([docs.schema["__keep"], docs.schema["__digest"], T.StructField("n_words", T.LongType())])
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, spans, items = [], [], []
-            for _, _, data, offsets in blocks(batch.column(at)):
-                n, hit, ids = _marks(shared.value, data, offsets, short)
-                words.append(n)
-                for row in range(len(n)):
-                    spans.append([{"a": a, "b": b} for a, b in _merged(hit.get(row, ()))])
-                    items.append(sorted(shared.value.names[i].decode("utf-8", "surrogatepass") for i in ids.get(row, ())))
-            kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-            more = [pa.array(np.concatenate(words) if words else np.zeros(0, np.int64), pa.int64()),
-                    pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *more], [*keep, "__n_words", "__spans", "__items"])
-
-    return docs.mapInArrow(mark, schema)
-
-
-def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES,
-         keep: list[str] | None = None) -> DataFrame:
+            hit = bloom.value.knows(batch.column("__key"))
+            batch = batch.filter(pa.array(hit if known else ~hit))
+            n = [np.diff(Words(data, offsets, ALNUM).first) for _, _, data, offsets in blocks(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("__keep"), batch.column("__digest"),
+                                              pa.array(np.concatenate(n) if n else np.zeros(0, np.int64), pa.int64())], schema.names)
+
+    return docs.mapInArrow(cut, schema)
+
+
+def _prefixes(windows_: DataFrame, docs: DataFrame, short: bool) -> DataFrame:
+    """(token, place, window, words, size): each window under its rarest token; ties take the least hash."""
+    places = frozen(windows_.select("window", F.posexplode("tokens").alias("place", "token")))
+    counts = _counts(docs, bloom_of(frozen(places.select("token").distinct())), short)
+    rarest = (places.join(counts, "token", "left").groupBy("window")
+              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "place")).alias("r")).filter("r.n > 0"))
+    return frozen(rarest.select("window", "r.token", "r.place").join(windows_.select("window", "words", "size"), "window"))
+
+
+def _hits(docs: DataFrame, prefixes: DataFrame, short: bool, width: int) -> DataFrame:
+    """(digest, a, b, window), distinct: the occurrences of windows, by word places."""
+    found = frozen(_places(docs, bloom_of(frozen(prefixes.select("token").distinct())), short, width))
+    start = F.col("before") - F.col("place")  # in the words around the place
+    words = F.split("around", " ", -1)
+    both = found.join(prefixes, "token").filter((start >= 0) & (start + F.col("size") <= F.size(words)))
+    own = F.array_join(F.slice(words, (start + 1).cast("int"), F.col("size").cast("int")), " ")
+    return both.filter(own == F.col("words").cast("string")).select(
+        "digest", (F.col("at") - F.col("place")).alias("a"), (F.col("at") - F.col("place") + F.col("size")).alias("b"), "window").distinct()
+
+
+def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (needs ``text``), or only its columns ``keep``, with n_words, n_hit, n_items, items_sha256,
     contaminated. n_hit counts document words inside any occurrence of a window."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
                              F.coalesce(F.col("text"), F.lit("")).alias("text"))
     held = frozen(windows(items, width))
-    size = held.agg(F.sum(F.octet_length("words") + F.octet_length("tokens") + F.octet_length("item_id") + ROW_BYTES).alias("n")).first()["n"] or 0
-    n_blocks = max(1, -(-size // block_bytes))
-    part = F.pmod(F.xxhash64("words", "item_id"), F.lit(n_blocks))
-    keep = docs.columns if keep is None else keep
-    work = docs.select(*dict.fromkeys([*keep, "text"]))
-    if n_blocks > 1:  # every pass sees the same rows under the same numbers
-        work = frozen(work.withColumn("__row", F.monotonically_increasing_id()))
-    marked = []
-    for k in range(n_blocks):  # each block is bounded by block_bytes on average
-        own = held.filter(part == k).toArrow()
-        if not own.num_rows and (marked or k < n_blocks - 1):
-            continue
-        index = Index(own)
-        short = bool((index.length < SHINGLE).any())
-        if len(index.vocabulary):
-            index.choose(*_count(work, index.vocabulary, short))
-        else:
-            index.choose(np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        marks = _mark(work, index, short, keep if n_blocks == 1 else ["__row"])
-        if n_blocks > 1:  # written before the next block is read; only the first one's marks have rows without hits
-            marks = frozen(marks.filter(F.size("__spans") > 0) if marked else marks)
-        marked.append(marks)
-    out = marked[0]
-    if n_blocks > 1:
-        both = marked[0]
-        for p in marked[1:]:
-            both = both.unionByName(p)
-        both = both.groupBy("__row").agg(F.max("__n_words").alias("__n_words"),
-                                         F.flatten(F.collect_list("__spans")).alias("__spans"),
-                                         F.array_sort(F.array_distinct(F.flatten(F.collect_list("__items")))).alias("__items"))
-        out = work.select("__row", *keep).join(both, "__row").drop("__row")
-    ordered = F.array_sort("__spans")
-    hit = F.aggregate(ordered, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto")),
+    distinct = frozen(held.select("words", "size", "tokens").distinct().withColumn("window", F.monotonically_increasing_id()))
+    short = distinct.filter(F.col("size") < SHINGLE).limit(1).count() > 0
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    work = docs.select(F.struct(*keep).alias("__keep"), "text", digest.alias("__digest"))
+    hits = frozen(_hits(work, _prefixes(distinct, work, short), short, width))
+
+    spans = hits.groupBy("digest").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
+    hit = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto")),
                       lambda s, x: F.struct((s["n"] + F.greatest(x["b"] - F.greatest(x["a"], s["upto"]), F.lit(0))).alias("n"),
                                             F.greatest(s["upto"], x["b"]).alias("upto")), lambda s: s["n"])
-    out = out.withColumn("__hit", hit)
-    return out.select(*keep, F.col("__n_words").alias("n_words"), F.col("__hit").alias("n_hit"),
-                      F.size("__items").cast("long").alias("n_items"),
-                      F.sha2(F.array_join("__items", ",").cast("binary"), 256).alias("items_sha256"),
-                      ((F.col("__hit") > 0) & (20 * F.col("__hit") >= F.col("__n_words"))).alias("contaminated"))
+    of_items = held.select("words", "item_id").join(distinct.select("words", "window"), "words").select("window", "item_id")
+    ids = (hits.select("digest", "window").distinct().join(of_items, "window").groupBy("digest")
+               .agg(F.array_sort(F.collect_set("item_id")).alias("items")))
+    marks = frozen(spans.select("digest", hit.alias("n_hit")).join(ids, "digest").select(
+        F.col("digest").alias("__digest"), "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")))
+
+    key = F.xxhash64("__digest").alias("__key")
+    bloom = bloom_of(frozen(marks.select(key)))
+    work = work.select("*", key)
+    clean = _with_words(work, bloom, False).select(
+        "__keep.*", "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"), F.sha2(F.lit("").cast("binary"), 256).alias("items_sha256"))
+    rest = _with_words(work, bloom, True).join(marks, "__digest", "left").select(
+        "__keep.*", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"))
+    return clean.unionByName(rest).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def brute_force(docs: list[tuple], items: list[tuple], width: int = WIDTH) -> dict:
@@ -295,7 +216,7 @@ def brute_force(docs: list[tuple], items: list[tuple], width: int = WIDTH) -> di
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     cut = lambda t: pattern.findall((t or "").translate(lower))
-    windows = [(str(i), w[k:k + min(width, len(w))]) for i, t in items if (w := cut(t))
+    windows = [("" if i is None else str(i), w[k:k + min(width, len(w))]) for i, t in items if (w := cut(t))
                for k in range(len(w) - min(width, len(w)) + 1)]
     out = {}
     for doc, text in docs:
