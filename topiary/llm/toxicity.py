@@ -43,9 +43,9 @@ from pyspark.sql import types as T
 
 #: Bound on the labelled rows that are read to fit (half of them per label).
 TRAIN_ROWS = 24_000
-#: Bound on the lexicon (terms) that is sent to every task.
-MAX_TERMS = 4_000
-#: A term occurs in so many different toxic training documents at least, and in this share of them.
+#: A term occurs in so many different toxic training documents at least, and in this share of
+#: them. So the lexicon, which every task holds, has at most 1 / LEAST_SHARE = 250 times as many terms as a
+#: toxic training document has different words and stems on average; all that qualify are kept.
 LEAST_TOXIC, LEAST_SHARE = 4, 0.004
 WINDOW = 8
 #: Words from this length on may be misspelled by one edit.
@@ -239,7 +239,7 @@ def train_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Da
     return marked.groupBy("mark", "toxic").agg(F.min(F.struct("doc_id", "text")).alias("row")).select("row.text", "toxic")
 
 
-def learn_terms(train: DataFrame, totals: dict[int, int], max_terms: int = MAX_TERMS) -> tuple[list[str], list[str]]:
+def learn_terms(train: DataFrame, totals: dict[int, int]) -> tuple[list[str], list[str]]:
     """(terms, clean words): terms by their documents' labels; words of clean
     documents that one edit would turn into a term."""
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +266,7 @@ def learn_terms(train: DataFrame, totals: dict[int, int], max_terms: int = MAX_T
     odds = F.log((F.col("toxic") + 0.5) / (bad + 1.0)) - F.log((F.col("clean") + 0.5) / (good + 1.0))
     weight = odds * F.sqrt(F.col("toxic"))
     picked = (seen.filter((F.col("toxic") >= max(LEAST_TOXIC, LEAST_SHARE * bad)) & (odds > 3.0) & (F.col("clean") * 20 * bad <= F.col("toxic") * good))
-              .select("word", weight.alias("w")).orderBy(F.desc("w"), "word").limit(max_terms).collect())
+              .select("word", weight.alias("w")).orderBy(F.desc("w"), "word").collect())
     terms = [r["word"] for r in picked]
     matcher = [t for t in terms if not t.endswith("*") and len(t) >= FUZZY_FROM]
     clean: list[str] = []
@@ -314,14 +314,14 @@ class Model:
         return score
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, max_terms: int = MAX_TERMS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     from topiary.llm.common import frozen
     train = frozen(train_rows(docs, labels, rows))
     totals = {r["t"]: r["n"] for r in train.groupBy((F.col("toxic") > 0).cast("int").alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(totals.values())
     if not totals.get(1) or not totals.get(0):
         return Model([], [], None, totals.get(1, 0) / n if n else 0.0)
-    terms, clean = learn_terms(train, totals, max_terms)
+    terms, clean = learn_terms(train, totals)
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(terms, clean)
