@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topiary.operators.vocab import broadcast_if_small
 from topiary.session import frozen
 
 SCALE = 1_000_000
@@ -33,9 +34,10 @@ def cosines(dist: DataFrame, pairs: DataFrame) -> DataFrame:
     the (model_a, model_b) in ``pairs``; a model may be paired with itself."""
     rows = dist.filter("p > 0").select(F.col("model_id").cast("long").alias("model_id"), F.col("topic_id").cast("int").alias("t"), "term_id", "p")
     norms = frozen(rows.groupBy("model_id", "t").agg(F.sqrt(F.sum(F.col("p") * F.col("p"))).alias("norm")))
-    pairs = frozen(pairs.select(F.col("model_a").cast("long").alias("model_a"), F.col("model_b").cast("long").alias("model_b")).distinct())
-    a = rows.select(F.col("model_id").alias("model_a"), F.col("t").alias("t1"), "term_id", F.col("p").alias("pa")).join(pairs, "model_a")
-    b = rows.select(F.col("model_id").alias("model_b"), F.col("t").alias("t2"), "term_id", F.col("p").alias("pb"))
+    pairs = frozen(pairs.select(F.col("model_a").cast("long").alias("model_a"), F.col("model_b").cast("long").alias("model_b")).distinct().coalesce(1))
+    few, others = broadcast_if_small(pairs), broadcast_if_small(frozen(pairs.select("model_b").distinct().coalesce(1)))  # counted: a model's rows stay where they are
+    a = rows.select(F.col("model_id").alias("model_a"), F.col("t").alias("t1"), "term_id", F.col("p").alias("pa")).join(few, "model_a")
+    b = rows.select(F.col("model_id").alias("model_b"), F.col("t").alias("t2"), "term_id", F.col("p").alias("pb")).join(others, "model_b", "left_semi")
     dot = a.join(b, ["model_b", "term_id"]).groupBy("model_a", "model_b", "t1", "t2").agg(F.sum(F.col("pa") * F.col("pb")).alias("dot"))
     na = norms.select(F.col("model_id").alias("model_a"), F.col("t").alias("t1"), F.col("norm").alias("na"))
     nb = norms.select(F.col("model_id").alias("model_b"), F.col("t").alias("t2"), F.col("norm").alias("nb"))

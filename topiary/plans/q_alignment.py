@@ -13,7 +13,7 @@ from topiary.operators import topics as TP
 from topiary.plans import q_online_lda as Q
 from topiary.plans import sql as S
 from topiary.plans.catalog import register
-from topiary.plans.q_views import standin_texts
+from topiary.plans.q_vocab import corpus_tokens
 from topiary.session import frozen
 
 KS = tuple(range(2, 8))
@@ -52,8 +52,8 @@ dist AS MATERIALIZED (
 SELECT a AS model_a, b AS model_b, t1, t2, cosine FROM matched""")
 def q_topic_alignment(spark, sf):
     """The topics of two seeds paired one to one, for each K."""
-    words = TP.word_counts(standin_texts(spark, sf))
-    dist = frozen(X.topic_word_distributions(words, [(k * 1000 + s, k, f"{s}/") for k in KS for s in (42, 99)]))
+    words = frozen(TP.word_counts(corpus_tokens(spark, sf)))  # one row per word; the tokens are read once and not written
+    dist = X.topic_word_distributions(words, [(k * 1000 + s, k, f"{s}/") for k in KS for s in (42, 99)])
     pairs = spark.createDataFrame([(k * 1000 + 42, k * 1000 + 99) for k in KS], "model_a long, model_b long")
     return A.match_topics(A.cosines(dist.withColumnRenamed("word", "term_id"), pairs))
 
