@@ -37,3 +37,12 @@ def test_old_keys_leave_the_state(spark, tmp_path):
         found = _run(spark, tmp_path, keep_for="0 seconds")
     assert {k[0] for k in found} == {3, 7, 11}
     assert sum(found.values()) == 4  # the first key was forgotten: its copy passes
+
+
+def test_documents_in_part_files(spark, tmp_path):
+    """A table may be one file or a folder of parts."""
+    from topiary.plans.q_extensions import q_stream_preprocess
+    rows = [(i, f"gray whales swim {i}", "en", "a", 0) for i in range(6)]
+    df = spark.createDataFrame(rows, ingest.DOCUMENTS_SCHEMA)
+    df.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(r["doc_id"] for r in q_stream_preprocess(spark, str(tmp_path)).collect()) == list(range(6))

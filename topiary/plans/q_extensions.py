@@ -81,7 +81,8 @@ def q_stream_preprocess(spark, sf):
     """Structured Streaming: new document files -> clean -> tokens -> parquet
     sink (exactly once via the checkpoint), run until caught up, read back."""
     out, ckpt = work_dir(spark, "stream_tokens"), work_dir(spark, "stream_ckpt")
-    q = ingest.start_preprocess_stream(spark, sf, out, ckpt)
+    # a pattern: the table is one file, or a folder of part files with names of their own
+    q = ingest.start_preprocess_stream(spark, f"{sf.rstrip('/')}/documents*.parquet", out, ckpt, glob="*")
     q.awaitTermination()
     back = spark.read.parquet(out)
     return back.select("doc_id", F.size("tokens").alias("n_tokens"),

@@ -37,7 +37,8 @@ DOCUMENTS_SCHEMA = "doc_id bigint, text string, lang string, source string, n_ch
 
 def document_stream(spark: SparkSession, directory: str, glob: str = "documents*.parquet",
                     max_files_per_trigger: int = 16) -> DataFrame:
-    """New document files appearing in ``directory`` (schema fixed up front)."""
+    """New document files appearing in ``directory`` (schema fixed up front) whose own
+    names fit ``glob``; ``directory`` may be a pattern of files and folders."""
     return (spark.readStream.schema(DOCUMENTS_SCHEMA)
             .option("pathGlobFilter", glob)
             .option("maxFilesPerTrigger", max_files_per_trigger)
@@ -70,8 +71,8 @@ def start_unique_stream(spark: SparkSession, directory: str, out_path: str, chec
 
 
 def start_preprocess_stream(spark: SparkSession, directory: str, out_path: str,
-                            checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    w = (preprocess(document_stream(spark, directory)).writeStream.format("parquet")
+                            checkpoint: str, available_now: bool = True, glob: str = "documents*.parquet") -> StreamingQuery:
+    w = (preprocess(document_stream(spark, directory, glob)).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start(out_path)
