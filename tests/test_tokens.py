@@ -57,3 +57,24 @@ def test_stopwords_per_language(spark):
                                "lang string, t array<string>")
     out = [r["r"] for r in df.select(TK.remove_stopwords("t", lang="lang").alias("r")).collect()]
     assert out == [["le", "modèle"], ["the", "modèle"], ["the", "le"]]
+
+
+def test_frequent_pairs_equal_bigrams_counted(spark):
+    """T4 -> T5 in one pass; counts neither cross rows nor meet NULL words."""
+    rows = [(1, ["a", "b"] * 6), (2, ["b", "a", "é", "a", "é", "a"] * 3 + ["b"]), (3, []), (4, None), (5, ["a"]), (6, ["b", "a", "b"])]
+    df = spark.createDataFrame(rows, "doc_id long, u array<string>")
+    both = TK.with_frequent_bigrams(df.withColumn("b", TK.bigrams("u")), "b", "fb", 5).withColumn("fp", TK.frequent_pairs("u", 5))
+    got = {r["doc_id"]: r for r in both.collect()}
+    assert all(r["fp"] == r["fb"] for r in got.values())
+    assert got[1]["fp"] == ["a b"] * 6 + ["b a"] * 5 and got[2]["fp"] == ["a é"] * 6 + ["é a"] * 6
+    assert got[3]["fp"] == [] and got[4]["fp"] is None
+
+
+def test_document_work_is_counted_in_batches(spark):
+    """Pairs, words and stand-in topics of a document are counted on Arrow batches, not in sorted arrays per row."""
+    from topiary.operators import topics as TP
+    from topiary.operators import vocab as V
+    d = TK.general_preprocess(spark.createDataFrame([(1, "a b", "j", "y", "t")], "doc_id long, content string, journal string, year string, title string"), "content")
+    for df in (d.select("tokens"), V.token_counts(d), TP.standin_doc_topics(d), TP.word_counts(d)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "sort_array" not in plan and "md5" not in plan and ("ArrowEvalPython" in plan or "MapInArrow" in plan)
