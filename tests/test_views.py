@@ -26,3 +26,22 @@ def test_cooccurrence_absent_column_and_diag(spark):
 def test_means_by_year(spark):
     v = VW.topics_by_year(dt(spark, [[1.0, 0.0], [0.0, 1.0]])).orderBy("topic_id").collect()
     assert [(r["year"], r["mean_share"]) for r in v] == [(2001, 0.5), (2001, 0.5)]
+
+
+def test_top_words_of_hashed_models(spark):
+    """The best of each task, whatever the partitions and batches, are the best of all; models of one salt share its hashes."""
+    from topiary.functions.batches import word_hash
+    from topiary.operators import topics as TP
+    rows = [(f"w{i}é", 1 + i * 7 % 5) for i in range(300)]
+    models = [(7, 3, "a/"), (8, 4, "a/"), (9, 2, None)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        got = TP.standin_topic_terms_grid(spark.createDataFrame(rows, "word string, cf long").repartition(5), models, 4).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = set()
+    for m, k, salt in models:
+        for t in range(k):
+            own = sorted((-cf, w) for w, cf in rows if word_hash(w, salt or "") % k == t)
+            want |= {(m, t, i + 1, w, -n / -sum(c for c, _ in own)) for i, (n, w) in enumerate(own[:4])}
+    assert {(r["model_id"], r["topic_id"], r["rank"], r["word"], r["p"]) for r in got} == want
