@@ -54,3 +54,19 @@ def test_cv_in_range(spark):
                                 "model_id int, topic_id int, word string")
     c = CO.coherence_cv(df, top, 10).first()["coherence"]
     assert -1.0 <= c <= 1.0 and not math.isnan(c)
+
+
+def test_windows_over_blocks_and_models(spark):
+    """Texts longer than a block of window starts, and pairs that several models share, are counted once each."""
+    rnd = random.Random(5)
+    vocab = [f"w{i}" for i in range(9)] + ["zz"] * 8
+    texts = [[rnd.choice(vocab) for _ in range(n)] for n in (CO.BLOCK * 2 + 57, CO.BLOCK + 2, 3, 700)]
+    top = [(m, t, w) for m in (1, 2) for t, ws in enumerate([vocab[0:4], vocab[4 - m:8]]) for w in ws]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, tokens array<string>").repartition(2)
+    occ, co, nwin = CO.window_counts(df, spark.createDataFrame(top, "model_id int, topic_id int, word string"))
+    assert "Window" not in co._jdf.queryExecution().executedPlan().toString()
+    all_occ, all_co, _ = brute(texts, top, CO.WINDOW)
+    assert {r["word"]: r["occ"] for r in occ.collect()} == all_occ
+    want = {(m, t, a, b): all_co[a, b] for m, t, a in top for n, u, b in top if (m, t) == (n, u) and a < b and all_co.get((a, b))}
+    assert {(r["model_id"], r["topic_id"], r["w1"], r["w2"]): r["co"] for r in co.collect()} == want
+    assert {r["model_id"]: r["num_windows"] for r in nwin.collect()} == {m: brute(texts, [x for x in top if x[0] == m], CO.WINDOW)[2] for m in (1, 2)}

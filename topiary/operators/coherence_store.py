@@ -47,7 +47,7 @@ def registered(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, os.path.join(root, "registry"), REGISTRY)
 
 
-def add_batch(root: str, batch: str, texts: DataFrame, top: DataFrame, window: int = CO.WINDOW, key: str = "doc_id") -> int:
+def add_batch(root: str, batch: str, texts: DataFrame, top: DataFrame, window: int = CO.WINDOW) -> int:
     """Count the windows of a batch for the models of ``top`` (model_id, topic_id,
     word) that have not been counted there; the number of these models."""
     spark = texts.sparkSession
@@ -57,7 +57,7 @@ def add_batch(root: str, batch: str, texts: DataFrame, top: DataFrame, window: i
     if not missing:
         return 0
     top = frozen(top.filter(F.col("model_id").isin(missing)))
-    occ, co, nwin = CO.window_counts(texts, top, window, key)
+    occ, co, nwin = CO.window_counts(texts, top, window)
     of_model = top.select("model_id", "word").distinct()
     part = hashlib.sha256(",".join(map(str, missing)).encode()).hexdigest()[:16]
     counts = {"occ": of_model.join(occ, "word"), "co": co, "nwin": nwin}
