@@ -62,3 +62,12 @@ def test_dense_index_without_cap(spark):
     out = V.assign_ids(df).collect()
     assert sorted(r["term_id"] for r in out) == list(range(1000))
     assert all(r["term_id"] == 999 - r["df"] for r in out)
+
+
+def test_large_vocabulary_is_hashed_not_sorted(spark, monkeypatch):
+    """Beyond the broadcast limit the rows of documents and terms are moved, but no task sorts them."""
+    docs = spark.createDataFrame([(1, ["x", "x", "y"]), (2, ["y"])], "doc_id long, tokens array<string>")
+    vocab = V.build_vocab(docs, no_below=1, no_above=1.0)
+    monkeypatch.setattr(V.broadcast_if_small, "__defaults__", (0,))
+    plan = V.doc2bow(docs, vocab)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan

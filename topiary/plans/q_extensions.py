@@ -13,7 +13,7 @@ from topiary.plans import sql as S
 from topiary.plans.catalog import register
 from topiary.plans.q_views import standin_texts
 from topiary.plans.q_vocab import TOKS, VOCAB_CTES, corpus_tokens
-from topiary.session import frozen, work_dir
+from topiary.session import stored, work_dir
 from topiary.sources.corpus import decorated_publications, read_table
 from topiary.streaming import ingest
 
@@ -35,7 +35,7 @@ SELECT doc_id, token, tc.n AS tf, round(tc.n * ln((nd.n + 1) / (df + 1)), 6) AS
 FROM tc JOIN vocab USING (token), nd
 WHERE tc.n * ln((nd.n + 1) / (df + 1)) >= 2.0""")
 def q_tfidf_filter(spark, sf):
-    counts, docs = frozen(V.token_counts(corpus_tokens(spark, sf))), read_table(spark, sf, "documents")
+    counts, docs = stored(V.token_counts(corpus_tokens(spark, sf)), "counts"), read_table(spark, sf, "documents")
     vocab = V.build_vocab(docs, counts=counts)  # frozen: built once
     band = X.tfidf_band(V.doc2bow(None, vocab, counts=counts), vocab, V.n_documents(docs), 2.0)
     return band.select("doc_id", "token", "tf", F.round("tfidf", 6).alias("tfidf"))

@@ -14,7 +14,7 @@ from topiary.operators import vocab as V
 from topiary.plans import sql as S
 from topiary.plans.catalog import register
 from topiary.plans.q_vocab import TOKS, VOCAB_CTES, corpus_tokens
-from topiary.session import frozen, work_dir
+from topiary.session import stored, work_dir
 from topiary.sources import manifest as MF
 from topiary.sources import store as ST
 from topiary.sources import web
@@ -108,7 +108,7 @@ def q_read_csv(spark, sf):
 @register("write_bow", f"""{TOKS}, {VOCAB_CTES}
 SELECT doc_id, token, n AS tf FROM tc JOIN vocab USING (token)""")
 def q_write_bow(spark, sf):
-    counts = frozen(V.token_counts(corpus_tokens(spark, sf)))
+    counts = stored(V.token_counts(corpus_tokens(spark, sf)), "counts")
     folder = work_dir(spark, "lda_files")
     vocab = V.build_vocab(read_table(spark, sf, "documents"), counts=counts)  # frozen term ids: built once
     ST.write_bow(vocab, V.doc2bow(None, vocab, counts=counts), folder)
@@ -120,7 +120,7 @@ def q_write_bow(spark, sf):
 SELECT token, count(*) AS n_docs, sum(n) AS n, max(n) AS most FROM tc JOIN vocab USING (token) GROUP BY token""")
 def q_write_bow_buckets(spark, sf):
     """S8 read back by term: joined and counted where the buckets lie, without an exchange."""
-    counts = frozen(V.token_counts(corpus_tokens(spark, sf)))
+    counts = stored(V.token_counts(corpus_tokens(spark, sf)), "counts")
     folder = work_dir(spark, "lda_buckets")
     vocab = V.build_vocab(read_table(spark, sf, "documents"), counts=counts)
     ST.write_bow_buckets(vocab, V.doc2bow(None, vocab, counts=counts), folder)
