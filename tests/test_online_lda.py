@@ -137,3 +137,20 @@ def test_empty_corpus(spark, small):
     corpus = L.pack(bow.limit(0), 2, 7)
     model = L.fit(vocab, corpus, 3, 7, 1, batches=2)
     assert model.updates == 0 and model.terms.count() == 30 and L.infer(corpus, model).count() == 0
+
+
+def test_documents_stop_on_their_own():
+    """Documents that take their rounds together get what each gets alone, one without terms the prior."""
+    rnd = np.random.default_rng(3)
+    sizes, alpha = np.array([5, 0, 1, 40, 12]), np.array([0.3, 0.2, 0.9])
+    weights, counts = rnd.random((sizes.sum(), 3)) ** 4, rnd.integers(1, 9, sizes.sum()).astype(float)
+    gamma, theta = L.shares_of(weights, counts, sizes, alpha, 50, 1e-3)
+    assert gamma[1].tolist() == alpha.tolist()
+    for i, (a, z) in enumerate(zip(np.cumsum(sizes) - sizes, np.cumsum(sizes))):
+        w, n, g = weights[a:z], counts[a:z], np.ones(3)
+        for _ in range(50):
+            t, before = np.exp(L.digamma(g) - L.digamma(g.sum())), g
+            g = alpha + t * ((n / (w @ t + L.TINY)) @ w)
+            if np.abs(g - before).mean() < 1e-3:
+                break
+        assert gamma[i] == pytest.approx(g, rel=1e-9) and theta[i] == pytest.approx(np.exp(L.digamma(g) - L.digamma(g.sum())), rel=1e-9)
