@@ -78,3 +78,18 @@ def test_document_work_is_counted_in_batches(spark):
     for df in (d.select("tokens"), V.token_counts(d), TP.standin_doc_topics(d), TP.word_counts(d)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "sort_array" not in plan and "md5" not in plan and ("ArrowEvalPython" in plan or "MapInArrow" in plan)
+
+
+def test_large_batches_are_counted_in_pieces(monkeypatch):
+    import pyarrow as pa
+
+    from topiary.functions import batches as B
+    lists = pa.array([["a", "b"] * 5, None, ["c"] * 9, [], ["a", "b"] * 2, ["b", "a", "b"]], pa.list_(pa.string()))
+    batch = pa.record_batch({"doc_id": pa.array(range(6)), "t": lists})
+    flat = lambda found: [r for b in found for r in b.to_pylist()]
+    whole = B.frequent_pairs(lists, 4), flat(B.rows_of_counts([batch]))
+    monkeypatch.setattr(B, "WORDS_AT_ONCE", 4)
+    assert len(list(B.pieces([batch], 1))) > 2 and flat(B.pieces([batch], 1)) == batch.to_pylist()
+    assert B.frequent_pairs(lists, 4).equals(whole[0])
+    rows = lambda found: sorted(tuple(r.values()) for r in found)
+    assert rows(flat(B.rows_of_counts([batch]))) == rows(whole[1])
