@@ -163,3 +163,23 @@ def test_pipeline(spark, tmp_path):
     assert shards.count() == mixed.count()
     sizes = [r["count"] for r in shards.groupBy("shard").count().collect()]
     assert max(sizes) - min(sizes) <= 1
+
+
+def test_snippets_without_rivals_are_not_sorted(monkeypatch):
+    """An anchor with one snippet, or with repeated ones only, needs no suffix array; the rest goes there with its anchors as one symbol."""
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    gram = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes()
+    anchor, left, right = gram(suffix_dedup.K), gram(60), gram(104)
+    alone, known, rival = gram(230), gram(230), left + anchor + right
+    other = gram(20) + left[20:] + anchor + right[:90] + gram(14)
+    rows = [(1, b"a", alone, 31, True, 40), (2, b"b", alone, 31, False, 40), (3, b"c", known, 31, True, 40), (3, b"d", known[::-1], 31, True, 40),
+            (4, b"e", rival, 61, False, 60), (4, b"f", other, 61, False, 60)]
+    sorted_ones, real = [], suffix_dedup.repeated_in_shard
+    monkeypatch.setattr(suffix_dedup, "repeated_in_shard", lambda pieces, *more: sorted_ones.extend(pieces) or real(pieces, *more))
+    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.bool_(), pa.int32())
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["key", "sid", "bytes", "own", "twice", "at"])
+    got = sorted(tuple(r.values()) for b in suffix_dedup.shard_repeats(iter([batch])) for r in b.to_pylist())
+    same = [i for i in range(61) if rival[i:i + 200] == other[i:i + 200]]
+    assert same and got == [(b"a", 0, 31), (b"c", 0, 31), (b"d", 0, 31), (b"e", same[0], same[-1] + 1), (b"f", same[0], same[-1] + 1)]
+    assert sorted_ones == [rival, other]

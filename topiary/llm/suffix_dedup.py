@@ -13,7 +13,8 @@ repeat go into suffix arrays:
    snippets are kept once, marked as repeated.
 3. Snippets are dealt by anchor into shards of bounded size. A shard's suffix
    array is built by recursive induced sorting (``induced_sort``); neighbouring
-   owned suffixes whose common prefix is at least LENGTH mark repeated strings.
+   owned suffixes whose common prefix is a whole string mark repeated strings.
+   An anchor whose snippets are one, or all marked as repeated, needs none.
 4. An anchor with very many different snippets (the edge of a passage that very
    many texts share) is split first: its strings are dealt by their common core
    in sub-runs of 16 strings, and if that is still too many, one by one. Equal
@@ -33,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -175,23 +177,28 @@ def _split(snips: DataFrame, run: int) -> DataFrame:
     return snips.select("sid", "key", "own", "at", "bytes", "twice").mapInArrow(split, schema)
 
 
-def repeated_in_shard(pieces: list[bytes], own: list[int], twice: list[bool], limit: int | None = None) -> list[list[tuple[int, int]]]:
-    """For each snippet, the runs (a, b) of its owned strings that repeat within the shard."""
-    sizes = np.array([len(p) for p in pieces])
+def repeated_in_shard(pieces: list[bytes], own: list[int], twice: list[bool], at: list[int], limit: int | None = None) -> list[list[tuple[int, int]]]:
+    """For each snippet, the runs (a, b) of its owned strings that repeat within the shard. Every
+    owned string holds the whole anchor, ``at`` bytes into the snippet, so the anchor's K bytes are put down as one symbol
+    (the same for the same bytes) and a string has WIDTH symbols."""
+    anchor: dict[bytes, int] = {}
+    marks = np.array([anchor.setdefault(p[i:i + K], len(anchor) + 257) for p, i in zip(pieces, at, strict=True)])
+    sizes = np.array([len(p) - K + 1 for p in pieces])
     starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-    joined = np.frombuffer(b"\0".join(pieces) + b"\0", dtype=np.uint8)
-    text = joined + np.uint8(1) if joined.max() < 254 else joined.astype(np.uint16) + np.uint16(1)  # UTF-8 has no such bytes
+    joined = np.frombuffer(b"\0".join([p[:i] + p[i + K - 1:] for p, i in zip(pieces, at, strict=True)]) + b"\0", dtype=np.uint8)
+    text = joined.astype(np.uint16) + np.uint16(1)
     text[starts + sizes] = 0
+    text[starts + np.array(at)] = marks
     weight = np.zeros(len(text), dtype=np.uint8)
-    for at, n, t in zip(starts, own, twice, strict=True):
-        weight[at:at + n] = 2 if t else 1
+    for first, n, t in zip(starts, own, twice, strict=True):
+        weight[first:first + n] = 2 if t else 1
     with Space() if limit is None else Space(limit) as space:
         order, lcp = suffix_array(text, space)
-        group = np.cumsum(lcp < LENGTH)
+        group = np.cumsum(lcp < WIDTH)
         total = np.bincount(group, weights=weight[order])
         marked = np.zeros(len(text) + 1, dtype=bool)
         marked[order[(total[group] >= 2) & (weight[order] > 0)]] = True
-    # owned runs are never adjacent: each has LENGTH - 1 further bytes behind it
+    # owned runs are never adjacent: each has WIDTH - 1 further symbols behind it
     edges = np.flatnonzero(marked[1:] != marked[:-1]) + 1
     edges = np.append(0, edges) if marked[0] else edges
     which = np.searchsorted(starts, edges[::2], side="right") - 1
@@ -201,31 +208,38 @@ def repeated_in_shard(pieces: list[bytes], own: list[int], twice: list[bool], li
     return out
 
 
+def shard_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sid, a, b) from (key, sid, bytes, own, twice, at) in the order of the keys."""
+    held, size, known = [], 0, []
+
+    def done():
+        rows = list(known)
+        if held:
+            found = repeated_in_shard(*([r[k] for r in held] for k in (2, 3, 4, 5)))
+            rows += [(r[1], a, b) for r, runs in zip(held, found, strict=True) for a, b in runs]
+        return _batch(rows, ("sid", "a", "b"), (pa.binary(), pa.int64(), pa.int64()))
+
+    rows = (row for batch in _slices(batches, 4096) for row in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True))
+    for _, own in groupby(rows, key=lambda r: r[0]):
+        own = list(own)
+        if len(own) == 1 or all(r[4] for r in own):
+            # nothing to compare: a string is found under its own anchor only, so those of a single
+            # snippet repeat if the snippet does, and those of snippets that all do repeat anyway
+            known += [(r[1], 0, r[3]) for r in own if r[4]]
+        else:
+            held += own
+            size += sum(len(r[2]) for r in own)
+        if size >= SHARD_BYTES or len(known) >= 1 << 16:
+            yield done()
+            held, size, known = [], 0, []
+    yield done()
+
+
 def _repeats(snips: DataFrame) -> DataFrame:
     """(sid, a, b): runs of repeated strings of the snippets, by suffix arrays of
     shards; ``snips`` are dealt by key."""
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None
-
-        def done():
-            rows = []
-            if held:
-                found = repeated_in_shard([r[2] for r in held], [r[3] for r in held], [r[4] for r in held])
-                rows = [(r[1], a, b) for r, runs in zip(held, found, strict=True) for a, b in runs]
-            return _batch(rows, ("sid", "a", "b"), (pa.binary(), pa.int64(), pa.int64()))
-
-        for batch in _slices(batches, 4096):
-            for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                if size >= SHARD_BYTES and row[0] != last:
-                    yield done()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[2])
-                last = row[0]
-        yield done()
-
-    return snips.select("key", "sid", "bytes", "own", "twice").sortWithinPartitions("key") \
-                .mapInArrow(find, "sid binary, a long, b long")
+    return snips.select("key", "sid", "bytes", "own", "twice", "at").sortWithinPartitions("key") \
+                .mapInArrow(shard_repeats, "sid binary, a long, b long")
 
 
 def _cut(texts: DataFrame) -> DataFrame:
