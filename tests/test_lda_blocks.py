@@ -120,3 +120,40 @@ def test_no_query_of_a_fit_takes_the_vocabulary_to_the_driver(spark, monkeypatch
     assert row["log_likelihood"] < 0 < row["log_perplexity"]
     with pytest.raises(ValueError, match="terms"):
         Q.fitted(spark, sf)[0].topicsMatrix()
+
+
+def test_exp_log_is_that_of_digamma():
+    x = np.random.default_rng(1).gamma(0.3, 30, (2000, 7)) + 1e-6
+    x[0, 0], x[1] = 1e9, 1e-4
+    want = np.exp(L.digamma(x) - L.digamma(x.sum(axis=1, keepdims=True)))
+    assert L._exp_log(x) == pytest.approx(want, rel=1e-8, abs=1e-280)
+    lam, totals = x.astype(np.float32), x.sum(axis=0)
+    lam[5] = 0
+    want = np.where(lam > 0, np.exp(L.digamma(np.where(lam > 0, lam, 1).astype(float)) - L.digamma(totals)), 0)
+    assert L.exp_log_beta(lam, totals) == pytest.approx(want, rel=1e-8, abs=1e-280)
+
+
+def test_rounds_are_taken_by_many_documents_at_once(monkeypatch):
+    """A hundred documents of 300 terms: four groups took their rounds one after the other."""
+    rng, rounds, real = np.random.default_rng(2), [], L._exp_log
+    beta, sizes = rng.gamma(1.0, 1.0, (500, 5)), np.full(100, 300)
+    at, counts = rng.integers(0, 500, 30_000), np.ones(30_000)
+    monkeypatch.setattr(L, "_exp_log", lambda g: rounds.append(1) or real(g))
+    gamma, theta = L.shares_at(beta, at, counts, sizes, np.full(5, 0.2), 30, 1e-12)
+    assert len(rounds) == 31
+    alone = [L.shares_at(beta, at[i:i + 300], counts[:300], sizes[:1], np.full(5, 0.2), 30, 1e-12) for i in range(0, 30_000, 300)]
+    assert gamma == pytest.approx(np.concatenate([g for g, _ in alone])) and theta == pytest.approx(np.concatenate([t for _, t in alone]))
+
+
+def test_chunks_are_spread_over_more_partitions(spark):
+    """Chunks that share a partition take their rounds one after the other in its task."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        docs = spark.range(2000).selectExpr("id as doc_id", "named_struct('size', 9, 'indices', array(1, 2), 'values', array(1D, 2D)) as features")
+        corpus, _ = LB.pack(docs, 2)
+        chunks = [d.count() for d in corpus.docs.values()]
+        assert [d.rdd.getNumPartitions() for d in corpus.docs.values()] == [LB.SPREAD * max(chunks)] * 2
+        corpus.release()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
