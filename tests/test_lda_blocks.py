@@ -157,3 +157,13 @@ def test_chunks_are_spread_over_more_partitions(spark):
         corpus.release()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_coherence_of_a_fit_makes_the_tokens_once(spark, monkeypatch):
+    made, real = [], Q.corpus_tokens
+    monkeypatch.setattr(Q, "corpus_tokens", lambda *a: made.append(1) or real(*a))
+    monkeypatch.setattr(Q, "PASSES", 1)
+    monkeypatch.setattr(Q, "_FITTED", {})
+    monkeypatch.setattr(Q, "_TEXTS", {}, raising=False)
+    scores = Q.q_lda_coherence(spark, "/root/testdata/sf0.001").collect()
+    assert len(scores) == Q.K and made == [1]
