@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 from topiary.llm.bloom import bloom_of
 from topiary.llm.common import frozen
 from topiary.llm.textbytes import ALNUM, Words, blocks, shingles
+from topiary.session import small_batches
 
 WIDTH = 13
 SHINGLE = 3
@@ -178,6 +179,7 @@ def _hits(docs: DataFrame, prefixes: DataFrame, short: bool, width: int) -> Data
 def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (needs ``text``), or only its columns ``keep``, with n_words, n_hit, n_items, items_sha256,
     contaminated. n_hit counts document words inside any occurrence of a window."""
+    small_batches(docs.sparkSession)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
                              F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from topiary.llm.bloom import bloom_of
 from topiary.llm.common import dense_rank_all, frozen
 from topiary.llm.textbytes import NON_SPACE, Words, blocks, mixed, shingles
+from topiary.session import small_batches
 
 BANDS, ROWS = 29, 4
 #: Survivors must reach NUMERATOR / DENOMINATOR.
@@ -439,6 +440,7 @@ def _numbered(known: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame |
 
 def near_groups(docs: DataFrame, n: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
+    small_batches(docs.sparkSession)
     rows = frozen(_sketch(docs, n))
     known = rows.filter("key is not null and doc_id is not null")
     reps = frozen(known.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n_shingles"),

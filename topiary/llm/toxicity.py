@@ -41,6 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topiary.session import small_batches
+
 #: Bound on the labelled rows that are read to fit (half of them per label).
 TRAIN_ROWS = 24_000
 #: A term occurs in so many different toxic training documents at least, and in this share of
@@ -316,6 +318,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     from topiary.llm.common import frozen
+    small_batches(docs.sparkSession)
     train = frozen(train_rows(docs, labels, rows))
     totals = {r["t"]: r["n"] for r in train.groupBy((F.col("toxic") > 0).cast("int").alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(totals.values())
@@ -336,6 +339,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (needs ``text``), or only its columns ``keep``, with ``toxicity``."""
+    small_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     docs = docs.select(*dict.fromkeys([*keep, "text"]))
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("toxicity", T.DoubleType())])
