@@ -105,6 +105,27 @@ def test_any_layout_gives_one_model(spark, small):
     assert max(abs(x - y) for t in a for x, y in zip(a[t], b[t])) < 1e-9
 
 
+def test_all_documents_are_taken_a_batch_after_the_other(spark, small, monkeypatch):
+    """What an update of all documents sends is on disk for one batch at a time: it was for all."""
+    _, vocab, bow = small
+    taken, real = [], L.e_step
+    monkeypatch.setattr(L, "e_step", lambda c, m, batch=None, **kw: taken.append(batch) or real(c, m, batch, **kw))
+    corpus = L.pack(bow, 3, 4)
+    many, one = (L.update(c, L.start(vocab, 3, 42)) for c in (corpus, L.pack(bow, 1, 50)))
+    assert taken == [0, 1, 2, 0] and many.alpha == pytest.approx(one.alpha, rel=1e-9)
+    a, b = ({r["term_id"]: r["lam"] for r in m.terms.collect()} for m in (many, one))
+    assert len(a) == 30 and max(abs(x - y) for t in a for x, y in zip(a[t], b[t])) < 1e-9
+
+
+def test_chunks_ask_blocks_and_not_terms(spark, small):
+    """A chunk asked with a row per term, each answered with a row."""
+    rows, vocab, bow = small
+    corpus = L.pack(bow, 2, 50)
+    assert corpus.rows.count() <= 2 * (1 + corpus.n_blocks) and corpus.n_docs == len({d for d, _, _ in rows})
+    model = L.start(vocab, 3, 42)
+    assert L.sent(corpus, model, 0).count() <= corpus.n_blocks and L.e_step(corpus, model, 0).count() <= corpus.n_blocks + 1
+
+
 def test_save_load_infer(spark, small, tmp_path):
     _, vocab, bow = small
     docs = spark.range(45).select(F.col("id").alias("doc_id"))  # five without a word
