@@ -62,3 +62,11 @@ def test_awkward_models(spark):
     assert sorted(map(tuple, stable)) == [(1, 0, 1, 0, 0), (1, 1, 1, 1_000_000, 1_000_000), (2, 0, 1, 0, 0), (2, 1, 1, 1_000_000, 1_000_000)]
     twins = _dist(spark, {1: {0: {"a": 1.0, "b": 1.0}, 1: {"a": 2.0, "b": 2.0}, 2: {"c": 1.0}}})
     assert list(map(tuple, A.merge_candidates(twins).collect())) == [(1, 0, 1, 1_000_000)]
+
+
+def test_fitted_models_are_compressed(spark):
+    """Their rows (models x terms x K) were a checkpoint, which is uncompressed."""
+    from topiary.plans import q_alignment as Q
+    dist = Q.fitted(spark, "/root/testdata/sf0.001")
+    assert dist.inputFiles() and all(f.endswith(".zstd.parquet") for f in dist.inputFiles())
+    assert {r["model_id"] for r in dist.select("model_id").distinct().collect()} == set(Q.FITTED)
