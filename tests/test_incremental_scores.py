@@ -99,3 +99,11 @@ def test_the_mean_of_two_scores_is_rounded_once(spark):
                                    "k int, dir_prior string, random_state int, num_pass int, iteration int, coherence_score double")
     r = TB.seed_stability(scores).select(F.round("mean_score", 6), F.round("std_score", 6), "n_seeds").first()
     assert tuple(r) == (0.581828, 0.007705, 2)
+
+
+def test_two_models_are_scored_on_tokens_made_once(spark, monkeypatch):
+    """They were made for the counts and again for the windows."""
+    from topiary.plans import q_online_lda as Q
+    made, real = [], Q.corpus_tokens
+    monkeypatch.setattr(Q, "corpus_tokens", lambda *a: made.append(1) or real(*a))
+    assert Q.q_coherence_by_batches(spark, "/root/testdata/sf0.001").count() == 2 * Q.K and made == [1]
