@@ -71,3 +71,20 @@ def test_large_vocabulary_is_hashed_not_sorted(spark, monkeypatch):
     monkeypatch.setattr(V.broadcast_if_small, "__defaults__", (0,))
     plan = V.doc2bow(docs, vocab)._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_bow_vectors_of_a_larger_vocabulary(spark, monkeypatch):
+    """The query raised beyond DRIVER_MAX_TERMS; with counts the vocabulary is joined, broadcast or not."""
+    from pyspark.ml.linalg import SparseVector
+    from topiary.plans import q_vocab as Q
+    docs = spark.createDataFrame([(1, ["x", "x", "y"]), (2, ["y"]), (3, ["zz"]), (4, []), (5, None)], "doc_id long, tokens array<string>")
+    vocab = V.build_vocab(docs.filter("doc_id < 3"), no_below=1, no_above=1.0)  # y 0, x 1
+    want = {1: SparseVector(2, [0, 1], [1.0, 2.0]), 2: SparseVector(2, [0], [1.0]), **{d: SparseVector(2, [], []) for d in (3, 4, 5)}}
+    monkeypatch.setattr(V, "DRIVER_MAX_TERMS", 1)
+    for limit in (V.BROADCAST_MAX_TERMS, 0):
+        monkeypatch.setattr(V, "BROADCAST_MAX_TERMS", limit)
+        monkeypatch.setattr(V.broadcast_if_small, "__defaults__", (limit,))
+        got = V.bow_vectors(docs.select("doc_id"), vocab, counts=V.token_counts(docs))
+        assert {r["doc_id"]: r["features"] for r in got.collect()} == want
+    sf = "/root/testdata/sf0.001"
+    assert sorted(map(tuple, Q.q_bow_vectors(spark, sf).collect())) == sorted(map(tuple, Q.q_doc2bow(spark, sf).collect()))
