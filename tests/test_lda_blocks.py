@@ -167,3 +167,38 @@ def test_coherence_of_a_fit_makes_the_tokens_once(spark, monkeypatch):
     monkeypatch.setattr(Q, "_TEXTS", {}, raising=False)
     scores = Q.q_lda_coherence(spark, "/root/testdata/sf0.001").collect()
     assert len(scores) == Q.K and made == [1]
+
+
+def test_chunks_have_partitions_of_their_own(spark):
+    """Chunks were hashed over four times as many partitions, and some met."""
+    for chunks, parts in ((1, 8), (48, 48), (12, 51)):
+        found = LB.numbers(spark, chunks, parts)
+        rows = spark.createDataFrame([(c,) for c in found], "chunk int").select(F.expr(f"pmod(hash(chunk), {parts})"))
+        assert len(found) == chunks == len(set(map(tuple, rows.collect())))
+    docs = spark.range(4000).selectExpr("id as doc_id", "named_struct('size', 9, 'indices', array(1, 2), 'values', array(1D, 2D)) as features")
+    corpus, _ = LB.pack(docs, 2)
+    assert all(max(d.rdd.glom().map(len).collect()) == 1 for d in corpus.docs.values())
+    corpus.release()
+
+
+def test_scaled_single_precision_weights_give_the_shares_and_sums_of_doubles():
+    """Weights up to a factor per term: the shares and sums of those in doubles. Documents of more than SINGLE_WORDS take doubles."""
+    rng, k = np.random.default_rng(4), 10
+    lam, sizes = rng.gamma(0.3, 30, (3000, k)) + 0.1, np.append(rng.integers(0, 200, 300), [0, 2500])
+    at, counts = rng.integers(0, 3000, sizes.sum()), rng.integers(1, 4, sizes.sum()).astype(float)
+    beta, scaled = L.exp_log_beta(lam, lam.sum(axis=0)), LB._scaled(lam, lam.sum(axis=0))
+    assert scaled.dtype == np.float32 and (scaled.max(axis=1) == 1).all() and counts[-2500:].sum() > L.SINGLE_WORDS
+    each = np.empty(len(at))
+    gamma, theta = L.shares_at(scaled, at, counts, sizes, np.full(k, 0.1), 12, 1e-12, each)
+    want, theta_want = L.shares_at(beta, at, counts, sizes, np.full(k, 0.1), 12, 1e-12)
+    assert gamma == pytest.approx(want, rel=1e-4, abs=1e-4)
+    sums = L.word_sums(scaled, at, counts, sizes, theta, each) * scaled
+    assert sums.sum(axis=0) == pytest.approx((L.word_sums(beta, at, counts, sizes, theta_want) * beta).sum(axis=0), rel=1e-4)
+    assert sums.sum() == pytest.approx(counts.sum(), rel=1e-5)
+
+
+def test_many_topics_stay_in_doubles():
+    """Eta is 1 / K: weights of terms that a topic never saw would leave the range of float32."""
+    lam = np.full((4, 40), 1 / 400)
+    lam[:, 0] = 1e6
+    assert LB._scaled(lam, lam.sum(axis=0)).dtype == np.float64 and LB._scaled(lam[:, :32], lam[:, :32].sum(axis=0)).dtype == np.float32
